@@ -4,7 +4,9 @@ A pack is a DataFrame with one ``keyword`` column. Where a pack is small enough
 (``words_if_small``) its words become an ``IN`` list; otherwise it stays a table and is joined,
 always with already aggregated rows, so that a keyword found in a third of all requests costs no
 more than a rare one. A left-semi join above an aggregate is moved below it by Catalyst when the
-pack can be broadcast and stays above it when it cannot.
+pack can be broadcast and stays above it when it cannot. Packs are only tested for membership, so
+repeated words are harmless; they are not made distinct, because a join whose pack side is a plain
+shuffle is one whose hot keyword the adaptive plan can split.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from adtally.sources.packs import words_if_small
 
 def _count_in_pack(rows: DataFrame, pack: DataFrame, keys: Sequence[str]) -> DataFrame:
     counts = rows.groupBy(*keys).agg(F.count("*").alias("pv"))
-    return counts.join(pack.select("keyword").distinct(), "keyword", "left_semi").select(*keys, "pv")
+    return counts.join(pack.select("keyword"), "keyword", "left_semi").select(*keys, "pv")
 
 
 def keyword_pv(bids: DataFrame, pack: DataFrame) -> DataFrame:
@@ -56,8 +58,7 @@ def keyword_pairs(bids: DataFrame, pack: DataFrame) -> DataFrame:
     counts = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
     if words is None:
         for side in ("a", "b"):
-            known = pack.select(F.col("keyword").alias(side)).distinct()
-            counts = counts.join(known, side, "left_semi")
+            counts = counts.join(pack.select(F.col("keyword").alias(side)), side, "left_semi")
     return counts.select("a", "b", "n")
 
 
@@ -87,7 +88,7 @@ def relations_json(relations: DataFrame) -> DataFrame:
 def _matching_arrays(arrays: DataFrame, pack: DataFrame) -> DataFrame:
     """Those of the distinct ``keywords`` arrays that hold a pack word."""
     words = arrays.select("keywords", F.explode("keywords").alias("keyword"))
-    known = words.join(pack.select("keyword").distinct(), "keyword", "left_semi")
+    known = words.join(pack.select("keyword"), "keyword", "left_semi")
     return known.select("keywords").distinct()
 
 
@@ -134,7 +135,7 @@ def first_match_report(deliveries: DataFrame, pack: DataFrame) -> DataFrame:
     if words is not None:
         labelled = rows.withColumn("keyword", first_match(F.col("keywords"), words))
         return _hour_rows(_delivery_sums(labelled, ["d", "h", *REPORT_KEYS]))
-    return _joined_report(rows, pack.select("keyword").distinct(), [])
+    return _joined_report(rows, pack.select("keyword"), [])
 
 
 def active_ads(deliveries: DataFrame) -> DataFrame:
@@ -152,12 +153,10 @@ def keyword_hour_report(
     """
     rows = valid_deliveries(deliveries).withColumnRenamed("source", "platform")
     if scope == "ad":
-        return _joined_report(rows, ad_pack.select("ad_id", "keyword").distinct(), ["ad_id"])
+        return _joined_report(rows, ad_pack.select("ad_id", "keyword"), ["ad_id"])
     if scope != "hour":
         raise ValueError(f"unknown scope {scope!r}")
-    hour_words = (
-        active_ads(deliveries).join(ad_pack, "ad_id").select("d", "h", "keyword").distinct()
-    )
+    hour_words = active_ads(deliveries).join(ad_pack, "ad_id").select("d", "h", "keyword")
     return _joined_report(rows, hour_words, ["d", "h"])
 
 
@@ -172,7 +171,7 @@ def _joined_report(rows: DataFrame, words: DataFrame, scope: list[str]) -> DataF
     arrays = sums.select(*key).distinct()
     exploded = arrays.select(*key, F.posexplode("keywords").alias("at", "keyword"))
     first = (
-        exploded.join(words, [*scope, "keyword"])
+        exploded.join(words, [*scope, "keyword"], "left_semi")
         .groupBy(*key)
         .agg(F.min_by("keyword", "at").alias("keyword"))
     )

@@ -232,7 +232,7 @@ FROM tracking WHERE source IN ('letv', 'baidu_bc', 'youku', 'tencent', 'iqiyi')"
     **{name: _with(TRACKING) + _finished(_counts(keys)) for name, keys in REPORT_KEYS.items()},
     "reports_from_rollup": _with(TRACKING) + " UNION ALL ".join(
         f"""SELECT '{name}' AS report, count(*) AS rows, CAST(sum(impression) AS BIGINT) AS impression,
- CAST(sum(billed) AS DOUBLE) / 1000 AS cost
+ CAST(sum(billed) AS DOUBLE) AS billed
  FROM ({_counts(keys)}) WHERE impression > 0 AND billed > 0""" for name, keys in REPORT_KEYS.items()
     ),
     "stream_billing_report": _with(TRACKING)
@@ -304,12 +304,12 @@ FROM (SELECT keyword, CAST(sum(impression) AS BIGINT) AS impression,
     "ip_histogram": _with(BIDS, USED, IPS, IP_SCORED) + _bins("ip_scored"),
     "ip_blocklist": _with(BIDS, USED, IPS) + """
 SELECT concat('blk:', ip) AS name, vcount AS videos, idfacount AS devices, '20240228' AS expires_at
-FROM ips WHERE vcount > 290 OR idfacount > 105""",
+FROM ips WHERE vcount > 290 OR idfacount > 110""",
     "device_blocklist": _with(BIDS, USED, DEVICES) + """
 SELECT idfa AS name, vcount AS videos, '20240228' AS expires_at FROM devices WHERE vcount > 50""",
     "low_probability_blocklist": _with(BIDS, USED, DEVICES, IPS, DEVICE_SCORED, IP_SCORED) + """
 SELECT name, 'idfa' AS target FROM device_scored WHERE p < 0.1
-UNION ALL SELECT concat('blk:', name), 'ip' FROM ip_scored WHERE p < 1e-9""",
+UNION ALL SELECT concat('blk:', name), 'ip' FROM ip_scored WHERE p < 1e-4""",
     "report_merge": _halves(_finished(
         f"SELECT {ALL_SLICE}, {SUMS} FROM (SELECT * FROM old UNION ALL SELECT * FROM new) GROUP BY {ALL_SLICE}",
         positive=False,

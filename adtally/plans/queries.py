@@ -81,14 +81,14 @@ def geo_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reports_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row and cost totals of the four reports, all derived from one stored rollup."""
+    """Row and billing totals of the four reports, all derived from one stored rollup."""
     finest = materialize(reports.rollup(_tracking(spark, sf_dir), reports.FINEST), "rollup")
     parts = [
         df.agg(
             F.lit(name).alias("report"),
             F.count("*").alias("rows"),
             F.sum("impression").alias("impression"),
-            F.sum(F.col("cost").cast("decimal(28,7)")).cast("double").alias("cost"),
+            F.sum((F.col("cost") * 1000).cast("decimal(28,4)")).cast("double").alias("billed"),
         )
         for name, df in reports.reports_from(finest).items()
     ]
@@ -284,7 +284,7 @@ def ip_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ip_blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly.with_expiry(
-        anomaly.ip_blocklist(ip_profile(spark, sf_dir), videos=290, devices=105), "20240129"
+        anomaly.ip_blocklist(ip_profile(spark, sf_dir), videos=290, devices=110), "20240129"
     )
 
 
@@ -298,7 +298,7 @@ def device_blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def low_probability_blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     devices = anomaly.low_probability(_device_scores(spark, sf_dir), 0.1)
-    ips = anomaly.low_probability(_ip_scores(spark, sf_dir), 1e-9, anomaly.BLOCK_PREFIX)
+    ips = anomaly.low_probability(_ip_scores(spark, sf_dir), 1e-4, anomaly.BLOCK_PREFIX)
     return devices.withColumn("target", F.lit("idfa")).unionByName(
         ips.withColumn("target", F.lit("ip"))
     )

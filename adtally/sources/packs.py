@@ -13,7 +13,7 @@ LITERAL_WORDS = 5_000
 def read_pack(
     spark: SparkSession, paths: str | list[str], first_field: bool = False
 ) -> DataFrame:
-    """Distinct words of one or more pack files, one word per line.
+    """Words of one or more pack files, one word per line.
 
     ``first_field`` takes the text before the first tab. ``paths`` may be a comma-joined text.
     """
@@ -22,7 +22,7 @@ def read_pack(
     word = F.col("value")
     if first_field:
         word = F.split(word, "\t")[0]
-    return spark.read.text(paths).select(word.alias("keyword")).distinct()
+    return spark.read.text(paths).select(word.alias("keyword"))
 
 
 def words_if_small(pack: DataFrame, limit: int = LITERAL_WORDS) -> list[str] | None:
@@ -45,7 +45,7 @@ def ad_keyword_pack(spark: SparkSession, ad_files: DataFrame, folder: str) -> Da
     words = spark.read.text(folder).select(
         F.col("value").alias("keyword"), F.col("_metadata.file_name").alias("file")
     )
-    return words.join(ad_files, "file").select("ad_id", "keyword").distinct()
+    return words.join(ad_files, "file").select("ad_id", "keyword")
 
 
 def read_feature_columns(spark: SparkSession, path: str) -> DataFrame:

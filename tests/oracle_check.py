@@ -75,7 +75,7 @@ def main():
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = get_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    spark = get_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0
