@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 DAY_SECONDS = 86_400
 
 
+def epoch_day_number(seconds: Column, zone_offset: int = 0) -> Column:
+    """Days since 1970-01-01 in a zone ``zone_offset`` seconds east of UTC."""
+    return F.floor((seconds + zone_offset) / DAY_SECONDS).cast("int")
+
+
 def epoch_day(seconds: Column, zone_offset: int = 0) -> Column:
-    """Day of epoch seconds in a zone ``zone_offset`` seconds east of UTC."""
-    days = F.floor((seconds + zone_offset) / DAY_SECONDS).cast("int")
+    """Day of epoch seconds as ``yyyyMMdd``."""
+    days = epoch_day_number(seconds, zone_offset)
     return F.date_format(F.date_add(F.lit(dt.date(1970, 1, 1)), days), "yyyyMMdd")
 
 

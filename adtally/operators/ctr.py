@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.session import materialize
+
 SEED = 11
 
 
@@ -29,18 +31,19 @@ def train(
     """
     training, test = rows.randomSplit([train_share, test_share], seed=SEED)
     model = LogisticRegression(fitIntercept=False, regParam=0.0, maxIter=max_iter, tol=1e-6).fit(training)
-    scored = score(model, test)
+    scored = materialize(score(model, test), "scored")
     return Trained(model, _area(scored, "areaUnderPR"), _area(scored, "areaUnderROC"))
 
 
 def score(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
     """Label and raw probability of the positive class, no threshold applied."""
     probability = F.get(vector_to_array("probability"), F.lit(1))
-    return model.transform(rows).select("label", "rawPrediction", probability.alias("score"))
+    return model.transform(rows).select("label", probability.alias("score"))
 
 
 def _area(scored: DataFrame, metric: str) -> float:
-    return BinaryClassificationEvaluator(metricName=metric).evaluate(scored)
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", metricName=metric)
+    return evaluator.evaluate(scored)
 
 
 def metrics_frame(spark: SparkSession, trained: Trained) -> DataFrame:

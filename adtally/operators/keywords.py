@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from adtally.functions.keywords import UNKNOWN, any_match, first_match
 from adtally.functions.labels import os_class_pv
+from adtally.session import materialize
 from adtally.sources.packs import words_if_small
 
 
@@ -85,11 +86,21 @@ def relations_json(relations: DataFrame) -> DataFrame:
     return rows.select("keyword", F.to_json(F.struct("relation", "total")).alias("json"))
 
 
-def _matching_arrays(arrays: DataFrame, pack: DataFrame) -> DataFrame:
-    """Those of the distinct ``keywords`` arrays that hold a pack word."""
-    words = arrays.select("keywords", F.explode("keywords").alias("keyword"))
-    known = words.join(pack.select("keyword"), "keyword", "left_semi")
-    return known.select("keywords").distinct()
+def _first_positions(
+    sums: DataFrame, keys: Sequence[str], measures: Sequence[str], words: DataFrame, scope: Sequence[str]
+) -> DataFrame:
+    """``sums`` with ``at``, the position of the first keyword found in ``words``, else NULL.
+
+    ``sums`` is a stored table with one row per ``keys``, among them the keyword array; ``words``
+    applies within equal ``scope`` columns. The exploded keywords carry the keys only, meet the
+    words in a semi join and return to their row in one aggregate together with the row itself.
+    """
+    exploded = sums.select(*keys, F.posexplode("keywords").alias("at", "keyword"))
+    found = exploded.join(words, [*scope, "keyword"], "left_semi").select(*keys, "at")
+    rows = sums.select(*keys, *measures).unionByName(found, allowMissingColumns=True)
+    return rows.groupBy(*keys).agg(
+        F.min("at").alias("at"), *[F.sum(name).alias(name) for name in measures]
+    )
 
 
 def reach(rows: DataFrame, pack: DataFrame, platform: str) -> DataFrame:
@@ -97,14 +108,12 @@ def reach(rows: DataFrame, pack: DataFrame, platform: str) -> DataFrame:
     rows = rows.where("channel <> ''")
     words = words_if_small(pack)
     if words is not None:
-        hits = rows.where(any_match(F.col("keywords"), words))
-        counts = hits.groupBy("channel", "hour").agg(F.count("*").alias("count"))
+        hits = rows.where(any_match(F.col("keywords"), words)).withColumn("part", F.lit(1))
     else:
-        grouped = rows.groupBy("channel", "hour", "keywords").agg(F.count("*").alias("part"))
-        hits = grouped.join(
-            _matching_arrays(grouped.select("keywords").distinct(), pack), "keywords", "left_semi"
-        )
-        counts = hits.groupBy("channel", "hour").agg(F.sum("part").alias("count"))
+        keys = ["channel", "hour", "keywords"]
+        sums = materialize(rows.groupBy(*keys).agg(F.count("*").alias("part")), "reach")
+        hits = _first_positions(sums, keys, ["part"], pack.select("keyword"), []).where("at is not null")
+    counts = hits.groupBy("channel", "hour").agg(F.sum("part").alias("count"))
     return counts.select(F.lit(platform).alias("platform"), "channel", "hour", "count")
 
 
@@ -135,12 +144,12 @@ def first_match_report(deliveries: DataFrame, pack: DataFrame) -> DataFrame:
     if words is not None:
         labelled = rows.withColumn("keyword", first_match(F.col("keywords"), words))
         return _hour_rows(_delivery_sums(labelled, ["d", "h", *REPORT_KEYS]))
-    return _joined_report(rows, pack.select("keyword"), [])
+    return _joined_report(_array_sums(rows), pack.select("keyword"), [])
 
 
 def active_ads(deliveries: DataFrame) -> DataFrame:
-    """Ads with a valid delivery, per hour."""
-    return valid_deliveries(deliveries).select("d", "h", "ad_id").distinct()
+    """Ads with a delivery, per hour."""
+    return deliveries.select("d", "h", "ad_id").distinct()
 
 
 def keyword_hour_report(
@@ -151,31 +160,26 @@ def keyword_hour_report(
     ``scope="hour"`` matches against the words of all ads active in the hour, ``scope="ad"``
     against the words of the delivery's own ad.
     """
-    rows = valid_deliveries(deliveries).withColumnRenamed("source", "platform")
-    if scope == "ad":
-        return _joined_report(rows, ad_pack.select("ad_id", "keyword"), ["ad_id"])
-    if scope != "hour":
+    if scope not in ("hour", "ad"):
         raise ValueError(f"unknown scope {scope!r}")
-    hour_words = active_ads(deliveries).join(ad_pack, "ad_id").select("d", "h", "keyword")
-    return _joined_report(rows, hour_words, ["d", "h"])
+    sums = _array_sums(valid_deliveries(deliveries).withColumnRenamed("source", "platform"))
+    if scope == "ad":
+        return _joined_report(sums, ad_pack.select("ad_id", "keyword"), ["ad_id"])
+    hour_words = active_ads(sums).join(ad_pack, "ad_id").select("d", "h", "keyword")
+    return _joined_report(sums, hour_words, ["d", "h"])
 
 
-def _joined_report(rows: DataFrame, words: DataFrame, scope: list[str]) -> DataFrame:
-    """First-match report with the words as a table, keyed by the ``scope`` columns.
+ARRAY_KEYS = ["d", "h", "keywords", "ad_id", "platform"]
 
-    Deliveries are summed per keyword array before anything is exploded, so a delivery that
-    repeats costs nothing more, and the array itself is the key that finds its first match.
-    """
-    sums = _delivery_sums(rows, ["d", "h", "keywords", "ad_id", "platform"])
-    key = [*scope, "keywords"]
-    arrays = sums.select(*key).distinct()
-    exploded = arrays.select(*key, F.posexplode("keywords").alias("at", "keyword"))
-    first = (
-        exploded.join(words, [*scope, "keyword"], "left_semi")
-        .groupBy(*key)
-        .agg(F.min_by("keyword", "at").alias("keyword"))
-    )
-    labelled = sums.join(first, key, "left").withColumn(
-        "keyword", F.coalesce("keyword", F.lit(UNKNOWN))
-    )
+
+def _array_sums(rows: DataFrame) -> DataFrame:
+    """Delivery sums per keyword array, stored: the deliveries are read once."""
+    return materialize(_delivery_sums(rows, ARRAY_KEYS), "keyword-arrays")
+
+
+def _joined_report(sums: DataFrame, words: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """First-match report with the words as a table."""
+    placed = _first_positions(sums, ARRAY_KEYS, DELIVERY_SUMS, words, scope)
+    first = F.coalesce(F.get("keywords", F.col("at")), F.lit(UNKNOWN))
+    labelled = placed.withColumn("keyword", first)
     return _hour_rows(_delivery_sums(labelled, ["d", "h", *REPORT_KEYS]))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.functions.dates import epoch_day, epoch_hour
+from adtally.functions.dates import epoch_day_number, epoch_hour
 from adtally.functions.numbers import ratio2
 from adtally.sources.tables import day_between
 
@@ -34,7 +34,7 @@ def device_usage(
     return rows.select(
         F.col("user_id").alias("idfa"),
         "ip",
-        epoch_day(F.col("time_i"), zone_offset).alias("day"),
+        epoch_day_number(F.col("time_i"), zone_offset).alias("day"),
         F.call_function("shiftleft", F.lit(1), epoch_hour(F.col("time_i"), zone_offset)).alias("bit"),
     ).groupBy("idfa", "ip", "day").agg(
         F.count("*").alias("videos"), F.bit_or("bit").alias("mask")

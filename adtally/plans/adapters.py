@@ -37,7 +37,8 @@ def _pick(number: Column, labels: list[str], default: str | None = None) -> Colu
 
 
 def _with_k(events: DataFrame) -> DataFrame:
-    return events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    """Events with the number in ``props``; a generator, so that filters do not parse it again."""
+    return events.select("*", F.inline(F.array(F.from_json("props", "k bigint"))))
 
 
 def tracking(events: DataFrame) -> DataFrame:
