@@ -74,12 +74,10 @@ def histogram(values: DataFrame, parts: int, column: str = "probability") -> Dat
     """
     top = values.agg(F.max(F.struct(F.col(column).cast("double").alias("top")))).scalar()
     rows = values.select(F.col(column).cast("double").alias("x"), F.inline(F.array(top)))
-    guess = F.greatest(
-        F.lit(1),
-        F.least(F.lit(parts), F.ceil(F.col("x") * parts / F.nullif(F.col("top"), F.lit(0.0)))),
-    )
+    guess = F.ceil(F.col("x") * parts / F.nullif(F.col("top"), F.lit(0.0)))
+    inside = F.greatest(F.lit(1), F.least(F.lit(parts), guess))
     rows = rows.where("x is not null").select(
-        "x", "top", F.coalesce(guess, F.lit(1)).cast("int").alias("i")
+        "x", "top", F.when(F.col("x") == 0, 1).otherwise(inside).cast("int").alias("i")
     )
 
     def edge(i):

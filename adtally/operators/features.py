@@ -70,7 +70,8 @@ def labelled_rows(
 def encode(rows: DataFrame, index: DataFrame, columns: FeatureColumns) -> DataFrame:
     """Label and ascending feature indices of every row; unknown features are skipped.
 
-    One left join per feature column. Spark broadcasts the part of the dictionary that belongs to
+    One left join per feature column; ``index`` should be a stored table, since each join reads
+    it. Spark broadcasts the part of the dictionary that belongs to
     the column when its size allows and shuffles otherwise.
     """
     for at, (column, short) in enumerate(columns):

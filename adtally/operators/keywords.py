@@ -86,6 +86,12 @@ def relations_json(relations: DataFrame) -> DataFrame:
     return rows.select("keyword", F.to_json(F.struct("relation", "total")).alias("json"))
 
 
+def relation_lines(relations: DataFrame) -> DataFrame:
+    """``"keyword":{…}`` texts."""
+    line = F.concat(F.lit('"'), "keyword", F.lit('":'), "json")
+    return relations_json(relations).select(line.alias("value"))
+
+
 def _first_positions(
     sums: DataFrame, keys: Sequence[str], measures: Sequence[str], words: DataFrame, scope: Sequence[str]
 ) -> DataFrame:

@@ -426,7 +426,7 @@ def _libsvm(spark: SparkSession, sf_dir: str, index: DataFrame) -> DataFrame:
 
 @query
 def libsvm_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _libsvm(spark, sf_dir, _index(spark, sf_dir))
+    return _libsvm(spark, sf_dir, materialize(_index(spark, sf_dir), "feature-index"))
 
 
 def _trained(spark: SparkSession, sf_dir: str) -> tuple[ctr.Trained, DataFrame]:

@@ -41,20 +41,18 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def replace_partitions(
-    df: DataFrame, path: str, by: Sequence[str] = ("d", "h"), per_partition_files: int | None = None
+    df: DataFrame, path: str, by: Sequence[str] = ("d", "h"), spread: bool = True
 ) -> None:
     """Replace the partitions that occur in ``df`` and leave the others as they are.
 
     Rows are first spread by the partition columns, so that each task writes few partitions. A
     large day is not forced into one task: the rebalance hint lets the adaptive plan split it.
+    Without ``spread`` every task writes what it has, which saves the shuffle where all rows
+    belong to one partition.
     """
-    if per_partition_files is None:
-        spread = df.hint("rebalance", *by)
-    else:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(per_partition_files))
-        spread = df.repartition(*by, salt)
+    rows = df.hint("rebalance", *by) if spread else df
     (
-        spread.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)

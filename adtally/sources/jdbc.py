@@ -11,17 +11,14 @@ Slice = tuple[str, int]
 
 def slice_predicates(slices: Iterable[Slice]) -> list[str]:
     """One condition per distinct (day, hour), so no row is read twice."""
-    return [
-        f"day='{_day(day)}' and hour={int(hour)}" for day, hour in sorted(set(slices))
-    ]
+    distinct = sorted({(_day(day), int(hour)) for day, hour in slices})
+    return [f"day='{day}' and hour={hour}" for day, hour in distinct]
 
 
 def day_predicates(days: Iterable[str], first_hour: int = 0, last_hour: int = 23) -> list[str]:
     """One condition per distinct day, limited to an hour range."""
-    return [
-        f"day='{_day(day)}' and hour between {int(first_hour)} and {int(last_hour)}"
-        for day in sorted(set(days))
-    ]
+    hours = f"hour between {int(first_hour)} and {int(last_hour)}"
+    return [f"day='{day}' and {hours}" for day in sorted({_day(day) for day in days})]
 
 
 def _day(day: str) -> str:

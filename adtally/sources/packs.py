@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adtally.schemas import FEATURE_COLUMNS, FEATURE_INDEX
 
-LITERAL_WORDS = 5_000
+LITERAL_WORDS = 1_000
 
 
 def read_pack(

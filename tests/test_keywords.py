@@ -1,0 +1,162 @@
+import json
+import random
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from adtally.operators import keywords
+from adtally.sources import packs
+
+BIDS = "os string, channel string, keywords array<string>"
+DELIVERIES = (
+    "d string, h int, ad_id string, source string, keywords array<string>, impression int, click int,"
+    " bidprice int, price decimal(18,4), request_time long"
+)
+
+
+@pytest.fixture(params=["list", "table"])
+def pack_form(request, monkeypatch):
+    """Both ways to test a pack: as an IN list and as a table."""
+    if request.param == "table":
+        monkeypatch.setattr(keywords, "words_if_small", lambda pack: None)
+    return request.param
+
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def join_form(request, spark):
+    """Packs below and above the broadcast threshold."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    if request.param == "shuffle":
+        spark.conf.set(name, "-1")
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def pack(spark, *words):
+    return spark.createDataFrame([(w,) for w in words], "keyword string")
+
+
+def test_words_if_small(spark):
+    frame = pack(spark, "a", "b", "b", None)
+    assert packs.words_if_small(frame, 2) == ["a", "b"]
+    assert packs.words_if_small(frame, 1) is None
+
+
+def test_page_views(spark, join_form):
+    rows = spark.createDataFrame([
+        ("iOS 9", "c", ["a", "a", "x"]), ("Android", "", ["a", ""]), ("Windows", "c", ["a"]), ("ios", None, ["b"]), ("ios", "c", None),
+    ], BIDS)
+    words = pack(spark, "a", "b", "", "a")
+    got = sorted(map(tuple, keywords.keyword_pv(rows, words).collect()))
+    assert got == [("Android", "", 1), ("Android", "a", 1), ("IOS", "a", 2), ("IOS", "b", 1)]
+    got = sorted(map(tuple, keywords.channel_keyword_pv(rows, words).collect()))
+    assert got == [("IOS", "c", "a", 2)]
+
+
+def test_pairs_and_relations(spark, pack_form):
+    rows = spark.createDataFrame([("", "", ["a", "b", "a"]), ("", "", ["a->x", "a"]), ("", "", None), ("", "", [])], BIDS)
+    pairs = keywords.keyword_pairs(rows, pack(spark, "a", "b", "a->x"))
+    assert sorted(map(tuple, pairs.collect())) == [("a", "b", 1), ("a->x", "a", 1), ("b", "a", 1)]
+    relations = keywords.keyword_relations(pairs)
+    got = sorted(tuple(r) for r in relations.select("keyword", "neighbour", "n", "total").collect())
+    assert got == [("a", "a->x", 1, 3), ("a", "b", 2, 3), ("a->x", "a", 1, 1), ("b", "a", 2, 2)]
+    lines = {r.value for r in keywords.relation_lines(relations).collect()}
+    assert '"a":{"relation":{"a->x":1,"b":2},"total":3}' in lines
+    assert json.loads("{" + ",".join(lines) + "}")["b"] == {"relation": {"a": 2}, "total": 2}
+
+
+def test_pairs_against_brute_force(spark, pack_form, join_form):
+    random.seed(5)
+    words = list("abcdef") + [""]
+    arrays = [[random.choice(words) for _ in range(random.randint(0, 7))] for _ in range(60)]
+    chosen = {"a", "b", "c", ""}
+    want = Counter(
+        (x[i], x[j]) for x in arrays for i in range(len(x)) for j in range(i + 1, len(x))
+        if x[i] and x[j] and x[i] != x[j] and x[i] in chosen and x[j] in chosen
+    )
+    rows = spark.createDataFrame([("", "", x) for x in arrays], BIDS)
+    got = {(r.a, r.b): r.n for r in keywords.keyword_pairs(rows, pack(spark, *chosen)).collect()}
+    assert got == dict(want)
+
+
+def deliveries(seed=3, n=300, hot=True):
+    """Random deliveries; a third of them is one hot array of one hot ad."""
+    random.seed(seed)
+    rows = []
+    for i in range(n):
+        words = [random.choice("abcdefgh") for _ in range(random.randint(0, 5))]
+        ad = str(random.randint(0, 4))
+        if hot and i % 3 == 0:
+            words, ad = ["h", "c", "a"], "0"
+        rows.append((
+            "20240101", random.randint(0, 2), ad, random.choice(["x", "y"]), words, 1, random.randint(0, 1),
+            random.randint(1, 9), Decimal(random.randint(1, 99999)) / 100, random.randint(0, 3),
+        ))
+    return rows
+
+
+def brute(rows, words_of):
+    sums = {}
+    for d, h, ad, source, words, imp, click, bid, price, time in rows:
+        if time == 0:
+            continue
+        known = words_of(d, h, ad)
+        keyword = next((w for w in words if w in known), "unknown")
+        total = sums.setdefault((d, h, keyword, ad, source), [0, 0, Decimal(0), 0])
+        for i, v in enumerate((imp, click, price, bid)):
+            total[i] += v
+    return {k + (a, b, int(c), e) for k, (a, b, c, e) in sums.items()}
+
+
+def test_first_match(spark, pack_form, join_form):
+    rows = deliveries()
+    got = keywords.first_match_report(spark.createDataFrame(rows, DELIVERIES), pack(spark, "a", "c", "c"))
+    assert got.columns == ["d", "h", "keyword", "ad_id", "platform", "impression", "click", "cost", "bid"]
+    assert set(map(tuple, got.collect())) == brute(rows, lambda d, h, ad: {"a", "c"})
+
+
+@pytest.mark.parametrize("scope", ["hour", "ad"])
+def test_hour_report(spark, join_form, scope):
+    rows = deliveries(seed=9, n=60)
+    owned = {"0": "a", "1": "bc", "2": "", "3": "c", "4": "fgh"}
+    ad_pack = spark.createDataFrame([(ad, w) for ad, ws in owned.items() for w in ws], "ad_id string, keyword string")
+    active = {}
+    for d, h, ad, *_, time in rows:
+        if time:
+            active.setdefault((d, h), set()).update(owned[ad])
+    words_of = (lambda d, h, ad: active[d, h]) if scope == "hour" else (lambda d, h, ad: set(owned[ad]))
+    got = keywords.keyword_hour_report(spark.createDataFrame(rows, DELIVERIES), ad_pack, scope)
+    assert set(map(tuple, got.collect())) == brute(rows, words_of)
+
+
+def test_unknown_scope(spark):
+    with pytest.raises(ValueError):
+        keywords.keyword_hour_report(None, None, "day")
+
+
+def test_pack_files(spark, tmp_path):
+    (tmp_path / "one").write_text("a\nb\n")
+    (tmp_path / "two").write_text("c\tmore\nb\n")
+    both = f"{tmp_path}/one,{tmp_path}/two"
+    assert sorted(r.keyword for r in packs.read_pack(spark, both, first_field=True).distinct().collect()) == ["a", "b", "c"]
+    maps = spark.createDataFrame([('{"7": "one", "8": "two", "9": "gone"}',)], "value string")
+    got = packs.ad_keyword_pack(spark, packs.ad_pack_files(maps), f"{tmp_path}")
+    assert sorted(map(tuple, got.collect())) == [("7", "a"), ("7", "b"), ("8", "b"), ("8", "c\tmore")]
+
+
+def test_hot_keyword_join_can_be_split(spark):
+    """Both sides of the pack join are plain shuffles, the form the adaptive plan can split."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame(deliveries(), DELIVERIES)
+        words = rows.select(F.explode("keywords").alias("keyword"))
+        sums = keywords._array_sums(rows.withColumnRenamed("source", "platform"))
+        plan = keywords._joined_report(sums, words, [])._jdf.queryExecution().executedPlan().toString()
+        at = plan.index("SortMergeJoin")
+        sides = [line.strip(" :+-") for line in plan[at:].splitlines()[1:]]
+        assert sides[0].startswith("Sort") and sides[1].startswith("Exchange")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
