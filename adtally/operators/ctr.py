@@ -63,3 +63,8 @@ def weights(
     return numbered.join(index, "idx").select(
         F.lit(model_id).alias("model_id"), "feature", "weight"
     )
+
+
+def prefixes(feature_columns: DataFrame, model_id: str) -> DataFrame:
+    """The prefix of every feature column of a model."""
+    return feature_columns.select(F.lit(model_id).alias("model_id"), "column", "short")

@@ -21,6 +21,8 @@ from adtally.functions.labels import os_class_pv
 from adtally.session import materialize
 from adtally.sources.packs import words_if_small
 
+MESSAGE_NEIGHBOURS = 100_000
+
 
 def _count_in_pack(rows: DataFrame, pack: DataFrame, keys: Sequence[str]) -> DataFrame:
     counts = rows.groupBy(*keys).agg(F.count("*").alias("pv"))
@@ -64,7 +66,11 @@ def keyword_pairs(bids: DataFrame, pack: DataFrame) -> DataFrame:
 
 
 def keyword_relations(pairs: DataFrame) -> DataFrame:
-    """Neighbours of every keyword with the pair count of both directions and the total."""
+    """Neighbours of every keyword with the pair count of both directions and the total.
+
+    The join that adds the total meets at most one row per pair of words, however many requests
+    there were.
+    """
     both = pairs.select(
         F.inline(F.array(
             F.struct(F.col("a").alias("keyword"), F.col("b").alias("neighbour"), "n"),
@@ -76,13 +82,19 @@ def keyword_relations(pairs: DataFrame) -> DataFrame:
     return links.join(totals, "keyword")
 
 
-def relations_json(relations: DataFrame) -> DataFrame:
+def relations_json(relations: DataFrame, max_neighbours: int = MESSAGE_NEIGHBOURS) -> DataFrame:
     """One JSON text per keyword: ``{"relation": {neighbour: n, …}, "total": n}``.
 
-    A row holds the neighbours of one keyword, at most as many as the pack has words.
+    A row holds all neighbours of its keyword, so their number is checked on the stored relations
+    first; relations of more than ``max_neighbours`` are refused here and belong in rows.
     """
+    stored = materialize(relations, "relations")
+    sizes = stored.groupBy("keyword").agg(F.count("*").alias("size"))
+    largest = sizes.agg(F.max("size")).first()[0] or 0
+    if largest > max_neighbours:
+        raise ValueError(f"a keyword has {largest} neighbours; write the relation rows instead")
     entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("neighbour", "n"))))
-    rows = relations.groupBy("keyword").agg(entries.alias("relation"), F.sum("n").alias("total"))
+    rows = stored.groupBy("keyword").agg(entries.alias("relation"), F.sum("n").alias("total"))
     return rows.select("keyword", F.to_json(F.struct("relation", "total")).alias("json"))
 
 

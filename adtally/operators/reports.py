@@ -31,6 +31,9 @@ GRAIN = {
 }
 FINEST = [*GRAIN["all_report"][:-3], "city", *SLICE]
 
+# Columns the report database names differently.
+DATABASE_NAMES = {"placement_id": "placementid", "city": "city_code"}
+
 COUNTERS = list(EVENTS)
 MEASURES = [*COUNTERS, "billed"]
 
@@ -89,6 +92,21 @@ def reports_from(finest: DataFrame) -> dict[str, DataFrame]:
     return {name: finish(reroll(finest, keys)) for name, keys in GRAIN.items()}
 
 
+def database_rows(report: DataFrame) -> DataFrame:
+    """Report rows with the columns of the report database: a date, an hour, its own names."""
+    day = F.to_date("d", "yyyyMMdd")
+    rows = report.withColumn("day", day).withColumnRenamed("h", "hour").drop("d")
+    return rows.withColumnsRenamed(DATABASE_NAMES)
+
+
+def report_rows(stored: DataFrame) -> DataFrame:
+    """Rows of the report database as report rows; absent texts are empty."""
+    texts = [name for name in ("platform", "tag_id", "channel_id", "placementid") if name in stored.columns]
+    filled = stored.fillna("", subset=texts).withColumnsRenamed({v: k for k, v in DATABASE_NAMES.items()})
+    day = F.date_format("day", "yyyyMMdd")
+    return filled.withColumn("d", day).withColumnRenamed("hour", "h").drop("day")
+
+
 def time_bounds(rows: DataFrame) -> DataFrame:
     """First and last (day, hour) of a batch, one row."""
     moment = F.struct("d", "h")

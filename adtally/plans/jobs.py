@@ -16,7 +16,12 @@ from adtally.sinks.exports import json_message, save_model
 from adtally.sinks.files import replace_partitions, write_csv, write_lines
 from adtally.sources.logs import read_log_lines
 from adtally.sources.models import read_libsvm
-from adtally.sources.packs import ad_keyword_pack, ad_pack_files, read_feature_columns, read_pack
+from adtally.sources.packs import (
+    ad_keyword_pack,
+    ad_pack_files,
+    read_feature_columns,
+    read_pack,
+)
 from adtally.sources.requests import ReachSpec, ReportSpec
 from adtally.sources.tables import platform_table, read_slice
 
@@ -198,12 +203,13 @@ def conversion_model(
     train_share: float = 0.8,
     test_share: float = 0.2,
 ) -> ctr.Trained:
-    """Dictionary, training rows, model, areas and weights of a day range.
+    """Dictionary, training rows, model, areas, weights and prefixes of a day range.
 
     Everything is stored below ``root/models/model_id``.
     """
     home = f"{root}/models/{model_id}"
-    columns = features.column_list(read_feature_columns(spark, column_file))
+    feature_columns = read_feature_columns(spark, column_file)
+    columns = features.column_list(feature_columns)
     deliveries = read_slice(spark, f"{root}/deliveries", start=start, end=end, legacy_names=True)
     conversions = read_slice(spark, f"{root}/conversions", start=start, end=end)
     index = features.feature_index(features.feature_values(deliveries, columns))
@@ -215,4 +221,5 @@ def conversion_model(
     save_model(spark, trained, home)
     weights = ctr.weights(spark, trained.model, index, model_id)
     weights.write.mode("overwrite").parquet(f"{home}/weights")
+    ctr.prefixes(feature_columns, model_id).write.mode("overwrite").parquet(f"{home}/prefixes")
     return trained

@@ -50,8 +50,12 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/adtally/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses.
+
+    The paths of one application share a folder, which can be removed when it has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/adtally/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

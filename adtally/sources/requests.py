@@ -18,7 +18,10 @@ FILTERS = ("tagid", "placementid", "channel", "device", "os", "size")
 
 @dataclass(frozen=True)
 class ReportSpec:
-    """What an on-demand traffic report asks for. An empty filter lets every row pass."""
+    """What an on-demand traffic report asks for.
+
+    An empty filter lets every row pass; an unknown device name matches no row.
+    """
 
     platform: str
     start: str
@@ -35,7 +38,7 @@ class ReportSpec:
         for name in FILTERS:
             values = tuple((request.get("filters") or {}).get(name) or ())
             if name == "device":
-                values = tuple(DEVICE_CODES.get(value, value) for value in values)
+                values = tuple(DEVICE_CODES.get(value) for value in values)
             if values:
                 filters[name] = values
         return cls(

@@ -85,6 +85,8 @@ def start_report(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream_id:
+            raise RuntimeError("the batch does not name its query")
         store_batch(batch_counts(batch), path, stream_id, batch_id, by)
 
     return (

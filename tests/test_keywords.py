@@ -65,6 +65,8 @@ def test_pairs_and_relations(spark, pack_form):
     assert got == [("a", "a->x", 1, 3), ("a", "b", 2, 3), ("a->x", "a", 1, 1), ("b", "a", 2, 2)]
     lines = {r.value for r in keywords.relation_lines(relations).collect()}
     assert '"a":{"relation":{"a->x":1,"b":2},"total":3}' in lines
+    with pytest.raises(ValueError):
+        keywords.relations_json(relations, max_neighbours=1)
     assert json.loads("{" + ",".join(lines) + "}")["b"] == {"relation": {"a": 2}, "total": 2}
 
 

@@ -116,3 +116,17 @@ def test_keyword_kpis(spark):
     )
     got = [tuple(r) for r in reports.keyword_kpis(rows).collect()]
     assert got == [("c", 100, 3, 0.07, 3.0, 0.7), ("a", 20, 3, 2.0, 15.0, 100.0), ("b", 0, 0, 0.0, None, None)]
+
+
+def test_database_form(spark):
+    rows = spark.createDataFrame([("1", "p", "youku", 3, "20240102"), ("1", None, "youku", 3, "20240102")], "client_id string, placement_id string, platform string, h int, d string")
+    stored = reports.database_rows(rows)
+    assert sorted(stored.columns) == ["client_id", "day", "hour", "placementid", "platform"]
+    assert str(stored.first().day) == "2024-01-02"
+    back = reports.report_rows(stored).select(*rows.columns)
+    assert [tuple(r) for r in back.collect()] == [("1", "p", "youku", 3, "20240102"), ("1", "", "youku", 3, "20240102")]
+
+
+def test_time_bounds(spark):
+    rows = spark.createDataFrame([("20240102", 1), ("20240101", 23), ("20240102", 0)], "d string, h int")
+    assert tuple(reports.time_bounds(rows).first()) == ("20240101", 23, "20240102", 1)

@@ -60,6 +60,14 @@ def test_platform_only_report_of_nothing_is_empty(spark):
     assert traffic.traffic_report(bids(spark, dict(d="20200101")), spec).collect() == []
 
 
+def test_unknown_device_matches_nothing(spark):
+    rows = bids(spark, dict(device_type=0), dict(device_type=1))
+    spec = ReportSpec.from_json(request(filters={"device": ["Watch", "Mobile"]}, report={"columns": "device"}))
+    assert [tuple(r) for r in traffic.traffic_report(rows, spec).collect()] == [("Mobile", 1)]
+    spec = ReportSpec.from_json(request(filters={"device": ["Watch"]}, report={"columns": "device"}))
+    assert traffic.traffic_report(rows, spec).collect() == []
+
+
 def test_split_columns():
     assert split_columns(" day, hour,day,,x ") == ("day", "hour", "x")
 
