@@ -11,6 +11,8 @@ from adtally.session import materialize
 
 FeatureColumns = Sequence[tuple[str, str]]
 
+SALTS = 16
+
 
 def column_list(feature_columns: DataFrame) -> list[tuple[str, str]]:
     """The (column, short) pairs of a column file; a query needs them to name its columns."""
@@ -58,13 +60,18 @@ def labelled_rows(
 
     A click with several conversions gives several rows unless ``dedupe`` is on.
     """
+    rows = deliveries.where("request_time is not null")
     converted = conversions.select("format_uuid")
+    same_click = F.col("click_uuid") == F.col("format_uuid")
     if dedupe:
-        converted = converted.distinct()
-    rows = deliveries.where("request_time is not null").join(
-        converted, F.col("click_uuid") == F.col("format_uuid"), "left"
-    )
-    return rows.withColumn("label", F.col("format_uuid").isNotNull().cast("int")).drop("format_uuid")
+        # The salt spreads the deliveries of one click, and makes both sides plain shuffles: a
+        # side that is already partitioned by the key could not be split at run time.
+        salts = F.explode(F.array(*[F.lit(n) for n in range(SALTS)]))
+        converted = converted.distinct().select("format_uuid", salts.alias("salt"))
+        same_click = same_click & (F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)) == F.col("salt"))
+    joined = rows.join(converted, same_click, "left")
+    label = F.col("format_uuid").isNotNull().cast("int")
+    return joined.select(*rows.columns, label.alias("label"))
 
 
 def encode(rows: DataFrame, index: DataFrame, columns: FeatureColumns) -> DataFrame:

@@ -26,12 +26,14 @@ BATCH = ["stream_id", "batch_id"]
 
 
 def stream_rows(lines: DataFrame) -> DataFrame:
-    """Events of log lines with exactly three fields and a client id.
+    """Events of log lines with exactly three fields, a ``yyyyMMddHH`` stamp and a client id.
 
-    Day and hour come from the line's stamp. Spaces are removed from the key columns; absent
+    Day and hour come from the stamp; a line without one belongs to no slice. Spaces are removed from the key columns; absent
     numbers are zero and absent texts empty.
     """
-    rows = parse_lines(lines, exact_fields=True).where(~F.col(REJECT) & F.col("hqClientId").isNotNull())
+    rows = parse_lines(lines, exact_fields=True).where(
+        ~F.col(REJECT) & F.col("stamp").rlike(r"^\d{10}") & F.col("hqClientId").isNotNull()
+    )
 
     def text(name: str):
         return F.replace(F.coalesce(F.col(name), F.lit("")), F.lit(" "), F.lit(""))

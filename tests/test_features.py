@@ -46,7 +46,29 @@ def test_labels_and_duplicates(spark):
     conversions = spark.createDataFrame([("1", "d"), ("1", "d"), ("9", "d")], "format_uuid string, d string")
     got = features.labelled_rows(rows(spark), conversions)
     assert sorted((r.click_uuid, r.label) for r in got.collect()) == [("1", 1), ("1", 1), ("2", 0), ("3", 0), ("5", 0)]
-    assert features.labelled_rows(rows(spark), conversions, dedupe=True).count() == 4
+    single = features.labelled_rows(rows(spark), conversions, dedupe=True)
+    assert single.columns == got.columns
+    assert sorted((r.click_uuid, r.label) for r in single.collect()) == [("1", 1), ("2", 0), ("3", 0), ("5", 0)]
+
+
+def test_hot_click_is_labelled_whole(spark):
+    """A third of the deliveries belong to one click, converted twice."""
+    hot = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("click_uuid"),
+        F.col("id").cast("string").alias("subchannel"), F.lit("x").alias("creative_id"), F.lit(1).alias("request_time"),
+    )
+    conversions = spark.createDataFrame([("hot",), ("hot",), ("1",)], "format_uuid string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        once = features.labelled_rows(hot, conversions, dedupe=True)
+        plan = once._jdf.queryExecution().executedPlan().toString()
+        sides = [line.strip(" :+-") for line in plan[plan.index("SortMergeJoin"):].splitlines()[1:]]
+        right = [i for i, line in enumerate(sides) if line.startswith("Sort [")]
+        assert all(sides[i + 1].startswith("Exchange") for i in right) and len(right) == 2
+        assert sorted((r.label, r["count"]) for r in once.groupBy("label").count().collect()) == [(0, 599), (1, 301)]
+        assert features.labelled_rows(hot, conversions).count() == 1200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_lines(spark, tmp_path):

@@ -37,6 +37,7 @@ def test_rows(spark):
         line("2024010207", hqPrice="x", hqGroupId="", tagId=" t 1 ", plmtid=None),
         line("2024010207", hqClientId=None, hqCliendId="2"),
         line("2024010207") + "\textra",
+        line("20240102"),
         "no json",
     ]
     rows = report.stream_rows(spark.createDataFrame([(v,) for v in lines], "value string")).collect()
