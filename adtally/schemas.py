@@ -42,6 +42,16 @@ DELIVERIES = _struct(
     bidprice=_I, price=PRICE, request_time=_L, d=_S, h=_I,
 )
 
+STREAM_COUNTS = _struct(
+    client_id=_S, group_id=_I, ad_id=_I, creative_id=_I, tag_id=_S, channel_id=_S, placement_id=_S,
+    platform=_S, impression=_L, click=_L, download=_L, follow=_L, install=_L, active=_L,
+    billed=T.DecimalType(28, 4), d=_S, h=_I, stream_id=_S, batch_id=_L,
+)
+
+WINDOW_COUNTS = _struct(
+    window_start=T.TimestampType(), window_end=T.TimestampType(), word=_S, n=_L, batch_id=_L
+)
+
 CONVERSIONS = _struct(format_uuid=_S, d=_S)
 
 AD_KEYWORD_PACK = _struct(ad_id=_S, keyword=_S)

@@ -19,6 +19,7 @@ from adtally.functions.labels import source_alias
 from adtally.functions.numbers import int_or_zero, price_or_zero
 from adtally.operators.reports import GRAIN, counters, finish, reroll, stream_billing
 from adtally.operators.tracking import REJECT, parse_lines
+from adtally.schemas import STREAM_COUNTS
 from adtally.sinks.files import replace_partitions
 
 KEYS = GRAIN["all_report"]
@@ -102,9 +103,7 @@ def start_report(
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """The running totals per report key, still mergeable."""
-    parts = spark.read.parquet(path)
-    typed = parts.withColumn("d", F.col("d").cast("string")).withColumn("h", F.col("h").cast("int"))
-    return reroll(typed, KEYS)
+    return reroll(spark.read.schema(STREAM_COUNTS).parquet(path), KEYS)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

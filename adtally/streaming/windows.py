@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from adtally.schemas import WINDOW_COUNTS
 from adtally.session import DEFAULTS
 from adtally.sinks.files import replace_partitions
 
@@ -60,7 +61,7 @@ def start_sliding_counts(
 
 def read_sliding_counts(spark: SparkSession, path: str) -> DataFrame:
     """The newest count of every window and word."""
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(WINDOW_COUNTS).parquet(path)
     return stored.groupBy("window_start", "window_end", "word").agg(
-        F.max_by("n", F.col("batch_id").cast("bigint")).alias("n")
+        F.max_by("n", "batch_id").alias("n")
     )

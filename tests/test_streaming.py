@@ -89,6 +89,27 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_stream_without_a_usable_line(spark, tmp_path):
+    root = str(tmp_path)
+    write(f"{root}/in", "1", "no json", line("20240102"))
+    run(spark, root)
+    assert totals(spark, root) == {}
+    write(f"{root}/in", "2", line("2024010207"))
+    run(spark, root)
+    assert len(totals(spark, root)) == 1
+
+
+def test_slice_condition_prunes_partitions(spark, tmp_path):
+    root = str(tmp_path)
+    write(f"{root}/in", "1", line("2024010207"), line("2024010308"))
+    run(spark, root)
+    rows = report.read_report(spark, f"{root}/counts").where("d = '20240102' and h = 7")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "20240102" in filters and "h#" in filters
+    assert rows.count() == 1
+
+
 def test_fold(spark, tmp_path):
     root = str(tmp_path)
     write(f"{root}/in", "1", line("2024010207"), line("2024010208"))
