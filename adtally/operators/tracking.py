@@ -37,7 +37,7 @@ def parse_lines(lines: DataFrame, exact_fields: bool = False) -> DataFrame:
     body = F.when(enough, F.get(parts, F.lit(2)))
     parsed = F.coalesce(F.from_json(body, LOG_JSON, {"columnNameOfCorruptRecord": CORRUPT}), empty)
     return lines.select(
-        "value", F.get(parts, F.lit(0)).alias("stamp"), F.inline(F.array(parsed))
+        "value", F.substring_index("value", "\t", 1).alias("stamp"), F.inline(F.array(parsed))
     ).withColumn(REJECT, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
 
