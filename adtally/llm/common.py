@@ -35,3 +35,16 @@ def bounded(rows: DataFrame, most: int, *columns: str) -> list:
     """At most ``most`` rows on the driver, chosen by a hash of the id, so that the choice is repeatable."""
     picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id", *columns).limit(most)
     return picked.collect()
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "32m") -> None:
+    """Bound the Arrow batches that Python tasks get, by rows and by bytes, for long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def raw_texts(column) -> list[bytes | None]:
+    """The UTF-8 bytes of an Arrow text column."""
+    import pyarrow as pa
+
+    return column.cast(pa.binary()).to_pylist()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import pii, secrets
+from adtally.llm import decontam, pii, secrets
 from adtally.llm.common import table
 
 
@@ -18,12 +18,18 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_secrets": op3_secrets,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
     "op2_pii": pii.SQL,
     "op3_secrets": secrets.SQL,
+    "op10_decontamination": decontam.SQL,
 }
