@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontam, packing, pii, secrets
+from adtally.llm import decontam, neardup, packing, pii, secrets
 from adtally.llm.common import table
 
 
@@ -26,10 +26,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_secrets": op3_secrets,
     "op7_packing": op7_packing,
+    "op8_near_duplicates": op8_near_duplicates,
     "op10_decontamination": op10_decontamination,
 }
 
