@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontam, neardup, packing, pii, secrets
+from adtally.llm import decontam, lines, neardup, packing, pii, secrets
 from adtally.llm.common import table
 
 
@@ -30,9 +30,14 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_secrets": op3_secrets,
+    "op5_line_dedup": op5_line_dedup,
     "op7_packing": op7_packing,
     "op8_near_duplicates": op8_near_duplicates,
     "op10_decontamination": op10_decontamination,
@@ -41,5 +46,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_pii": pii.SQL,
     "op3_secrets": secrets.SQL,
+    "op5_line_dedup": lines.SQL,
     "op10_decontamination": decontam.SQL,
 }
