@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,26 +23,39 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def labelled(documents: DataFrame, labels: DataFrame, label: str, folds: int, out: int) -> DataFrame:
-    """(doc_id, text, y) of the labelled documents outside the held-out fold.
+def sampled(documents: DataFrame, labels: DataFrame, label: str, folds: int, out: int, most: int) -> DataFrame:
+    """(doc_id, text, y) of at most ``most`` labelled ids outside the held-out fold, chosen by a hash of the id.
 
     A document with several labels counts with the largest; null labels and null ids do not count.
+    The chosen ids are at most ``most`` rows, so they may be broadcast.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max(label).cast("int").alias("y")
-    )
-    kept = documents.select("doc_id", "text").where(fold(F.col("doc_id"), folds) != out)
-    return kept.join(known, "doc_id").select("doc_id", "text", "y")
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != out))
+    each = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    chosen = each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+
+_shipped: set[str] = set()
 
 
-def bounded(rows: DataFrame, most: int, *columns: str) -> list:
-    """At most ``most`` rows on the driver, chosen by a hash of the id, so that the choice is repeatable."""
-    picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id", *columns).limit(most)
-    return picked.collect()
+def _ship(spark: SparkSession) -> None:
+    """Give Python tasks this package, which the driver may have found by a path that they do not have."""
+    import adtally
 
+    context, home = spark.sparkContext, Path(adtally.__file__).parent
+    if context.applicationId in _shipped or not home.is_dir():
+        return
+    _shipped.add(context.applicationId)
+    archive = Path(tempfile.mkdtemp(prefix="adtally-code-")) / "adtally.zip"
+    with zipfile.ZipFile(archive, "w") as zipped:
+        for file in sorted(home.rglob("*.py")):
+            zipped.write(file, file.relative_to(home.parent))
+    context.addPyFile(str(archive))
 
-def small_batches(spark: SparkSession, rows: int = 1000, size: str = "32m") -> None:
-    """Bound the Arrow batches that Python tasks get, by rows and by bytes, for long texts."""
+
+def python_tasks(spark: SparkSession, rows: int = 1000, size: str = "32m") -> None:
+    """Prepare Python tasks: their code, and a bound on their Arrow batches by rows and bytes, for long texts."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
@@ -48,3 +65,6 @@ def raw_texts(column) -> list[bytes | None]:
     import pyarrow as pa
 
     return column.cast(pa.binary()).to_pylist()
+
+
+small_batches = python_tasks

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import raw_texts, small_batches
+from adtally.llm.common import raw_texts, python_tasks
 from adtally.session import materialize
 
 WINDOW = 10
@@ -134,7 +134,7 @@ def contamination(documents: DataFrame, items: DataFrame, size: int = WINDOW, sh
 
     ``hits`` has each hit word once: its number and its code points (end exclusive) in the original text.
     """
-    small_batches(documents.sparkSession)
+    python_tasks(documents.sparkSession)
     shards = _shards(items, size, shard_chars)
     if len(shards) == 1:
         found = _scanned(documents.select("doc_id", "text"), _rows(shards[0]))
@@ -176,7 +176,7 @@ def contamination_report(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean_documents(documents: DataFrame, items: DataFrame, size: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """The documents without any hit word, with all their columns; a row is judged by its own text."""
-    small_batches(documents.sparkSession)
+    python_tasks(documents.sparkSession)
     shards = _shards(items, size, shard_chars)
     for at, shard in enumerate(shards):
         found = _scanned(documents, _rows(shard), keep_text=True)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import small_batches
+from adtally.llm.common import python_tasks
 from adtally.session import materialize
 
 CAPACITY = 4096
@@ -103,7 +103,7 @@ def cuts(tokens: int, checksum: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]) of every piece of every document."""
-    small_batches(documents.sparkSession)
+    python_tasks(documents.sparkSession)
     rows = documents.select("doc_id", "text")
     schema = _PIECES.format(id=dict(rows.dtypes)["doc_id"]) + (", ids binary" if ids else "")
 

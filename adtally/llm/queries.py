@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontam, lines, neardup, packing, pii, secrets
+from adtally.llm import decontam, lines, neardup, packing, pii, quality, secrets
 from adtally.llm.common import table
 
 
@@ -34,10 +34,15 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_secrets": op3_secrets,
     "op5_line_dedup": op5_line_dedup,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_near_duplicates": op8_near_duplicates,
     "op10_decontamination": op10_decontamination,
