@@ -53,36 +53,39 @@ def _gold_pairs(gold: np.ndarray, lengths: np.ndarray, states: int) -> np.ndarra
     return np.bincount(gold[at] * states + gold[at + 1], minlength=states * states).reshape(states, states)
 
 
-def fit(features: np.ndarray, size: int, gold: np.ndarray, lengths: np.ndarray, states: int, rounds: int = 60, rate: float = 0.2, decay: float = 1e-4):
+def summed(weights: np.ndarray, features: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Weights of all features of each position; ``owner`` is the position of each feature, in any order."""
+    rows = weights[features]
+    return np.stack([np.bincount(owner, rows[:, s], n) for s in range(weights.shape[1])], 1)
+
+
+def fit(features: np.ndarray, owner: np.ndarray, size: int, gold: np.ndarray, lengths: np.ndarray, states: int, rounds: int = 60, rate: float = 0.2, decay: float = 1e-4):
     """Weights (size, states) and transitions that fit the gold states, by Adam on the whole sample.
 
-    ``features`` holds for every position the numbers of its features; a number of ``size`` is none.
+    ``features`` are numbers below ``size`` and ``owner`` the position that has each; a position may
+    have any number of them.
     """
-    weights, transitions = np.zeros((size + 1, states)), np.zeros((states, states))
+    weights, transitions = np.zeros((size, states)), np.zeros((states, states))
     truth, pairs = np.eye(states)[gold], _gold_pairs(gold, lengths, states)
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, transitions)]
-    flat = features.ravel()
     for turn in range(1, rounds + 1):
-        marginals, expected = forward_backward(weights[features].sum(1), lengths, transitions)
-        error = np.repeat(truth - marginals, features.shape[1], axis=0)
-        slope = np.stack([np.bincount(flat, error[:, s], size + 1) for s in range(states)], 1) / len(gold) - decay * weights
+        marginals, expected = forward_backward(summed(weights, features, owner, len(gold)), lengths, transitions)
+        error = (truth - marginals)[owner]
+        slope = np.stack([np.bincount(features, error[:, s], size) for s in range(states)], 1) / len(gold) - decay * weights
         slopes = (slope, (pairs - expected) / len(gold) - decay * transitions)
         for x, g, (first, second) in zip((weights, transitions), slopes, moments, strict=True):
             first += 0.1 * (g - first)
             second += 0.01 * (g * g - second)
             x += rate * (first / (1 - 0.9 ** turn)) / (np.sqrt(second / (1 - 0.99 ** turn)) + 1e-8)
-        weights[size] = 0
     return weights, transitions
 
 
-def calibrated(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and intercept of a one-variable logistic regression, by Newton's method with a small prior."""
-    a, b = 1.0, 0.0
+def logistic(x: np.ndarray, y: np.ndarray, prior: float = 1e-3, rounds: int = 50) -> np.ndarray:
+    """Weights of a logistic regression by damped Newton steps, with a small Gaussian prior."""
+    w = np.zeros(x.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w = p * (1 - p)
-        g = np.array([((y - p) * x).sum() - 1e-3 * (a - 1), (y - p).sum() - 1e-3 * b])
-        h = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-3]])
-        da, db = np.linalg.solve(h, g)
-        a, b = a + float(np.clip(da, -2, 2)), b + float(np.clip(db, -2, 2))
-    return a, b
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (y - p) - prior * w
+        bend = (x * (p * (1 - p))[:, None]).T @ x + prior * np.eye(len(w))
+        w += np.clip(np.linalg.solve(bend, slope), -2, 2)
+    return w

@@ -44,3 +44,19 @@ def hashed_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sums = np.zeros(len(chars) + 1, np.uint64)
     np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * power[:len(chars)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)), starts, ends
+
+
+#: A-Z become small; ASCII that is no letter becomes a blank; bytes beyond ASCII stay.
+LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+
+
+def small_letters(text: bytes) -> bytes:
+    """Words of small letters between blanks; of capitals beyond ASCII, those of Latin-1 become small."""
+    plain = text.translate(LETTERS)
+    if plain.isascii():
+        return plain
+    chars = np.frombuffer(plain, np.uint8).copy()
+    capital = np.flatnonzero(chars[:-1] == 0xC3) + 1
+    here = chars[capital]
+    chars[capital] = np.where((here >= 0x80) & (here <= 0x9E) & (here != 0x97), here + 0x20, here)
+    return chars.tobytes()

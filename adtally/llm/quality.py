@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtally.llm.common import fold, raw_texts, sampled, python_tasks
-from adtally.llm.crf import calibrated, fit, forward_backward
+from adtally.llm.crf import fit, forward_backward, logistic, summed
 from adtally.llm.hashing import hashed_words
 
 TRAIN_DOCUMENTS, TRAIN_LINES = 8000, 200
@@ -141,19 +141,23 @@ def train(rows: list[tuple[int, bytes, bytes]]) -> Model | None:
     sizes = np.concatenate([np.frombuffer(s, np.int32) for _, _, s in rows])
     counts = np.array([len(s) // 4 for _, _, s in rows])
     features = with_neighbours(bins, counts)
-    own = np.concatenate([bins, np.full((len(bins), 1), BINS)], 1)
+    row = np.arange(len(bins))
+    own, own_row = bins.ravel(), np.repeat(row, measures)
+    every, every_row = features.ravel(), np.repeat(row, features.shape[1])
     gold = np.repeat(labels, counts)
     # Each line alone: chains of one.
     alone = np.ones(len(gold), np.int64)
-    first, none = fit(own, BINS + 1, gold, alone, 2, rounds=40)
-    seems, _ = forward_backward(first[own].sum(1), alone, none)
+    first, none = fit(own, own_row, BINS, gold, alone, 2, rounds=40)
+    seems, _ = forward_backward(summed(first, own, own_row, len(gold)), alone, none)
     good_share = np.average(seems[gold == GOOD, GOOD], weights=np.maximum(sizes[gold == GOOD], 1))
     gold = np.where((gold == BAD) & (seems[:, GOOD] < good_share / 2), BAD, GOOD)
-    weights, transitions = fit(features, FEATURES, gold, counts, 2, rounds=60)
+    weights, transitions = fit(every, every_row, FEATURES + 1, gold, counts, 2, rounds=60)
+    weights[FEATURES] = 0
     goodness = _goodness(weights, transitions, features, sizes, counts)
     known = ~np.isnan(goodness)
-    slope, intercept = calibrated(_logit(goodness[known]), labels[known])
-    return Model(weights, transitions, slope, intercept, float(labels.mean()))
+    x = np.stack([_logit(goodness[known]), np.ones(known.sum())], 1)
+    slope, intercept = logistic(x, labels[known])
+    return Model(weights, transitions, float(slope), float(intercept), float(labels.mean()))
 
 
 def fitted(documents: DataFrame, labels: DataFrame) -> Model | None:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontam, lines, neardup, packing, pii, quality, secrets
+from adtally.llm import decontam, langid, lines, neardup, packing, pii, quality, secrets
 from adtally.llm.common import table
 
 
@@ -38,9 +38,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_secrets": op3_secrets,
+    "op4_language": op4_language,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
