@@ -30,10 +30,16 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashed_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word (A-Z as small letters), and where it starts and ends.
+    """A 64-bit hash of every word (A-Z as small letters), and where it starts and ends."""
+    (hashes,), starts, ends = hashed_prefixes(text, ())
+    return hashes, starts, ends
 
-    One running polynomial over the text is summed up; a word's hash is the difference of two sums,
-    moved to the start by the inverse power.
+
+def hashed_prefixes(text: bytes, sizes: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of whole words and of their first so many bytes (0 for words that are not longer).
+
+    One running polynomial over the text is summed up; a hash is the difference of two sums, moved to
+    the start by the inverse power.
     """
     chars = np.frombuffer(text.translate(_LOW), np.uint8)
     inside = np.zeros(len(chars) + 2, bool)
@@ -43,7 +49,14 @@ def hashed_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     power, inverse = _power_tables(len(chars))
     sums = np.zeros(len(chars) + 1, np.uint64)
     np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * power[:len(chars)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)), starts, ends
+    whole = mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    found = [whole]
+    for size in sizes:
+        long = ends - starts > size
+        first = np.where(long, starts, 0)
+        part = mixed((sums[np.minimum(first + size, len(chars))] - sums[first]) * inverse[first] + np.uint64(size + (1 << 32)))
+        found.append(np.where(long, part, np.uint64(0)))
+    return found, starts, ends
 
 
 #: A-Z become small; ASCII that is no letter becomes a blank; bytes beyond ASCII stay.

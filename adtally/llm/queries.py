@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontam, langid, lines, neardup, packing, pii, quality, secrets
+from adtally.llm import decontam, langid, lines, neardup, packing, pii, quality, secrets, toxicity
 from adtally.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
     "op3_secrets": op3_secrets,
     "op4_language": op4_language,
