@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontam, langid, lines, neardup, packing, pii, quality, secrets, toxicity
+from adtally.llm import decontam, langid, lines, neardup, neighbours, packing, pii, quality, secrets, toxicity
 from adtally.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbour_report(table(spark, sf_dir, "embeddings"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
 }
 
