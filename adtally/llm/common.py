@@ -65,6 +65,3 @@ def raw_texts(column) -> list[bytes | None]:
     import pyarrow as pa
 
     return column.cast(pa.binary()).to_pylist()
-
-
-small_batches = python_tasks

@@ -4,22 +4,24 @@ A document is the set of its distinct ``size``-word shingles, and its sketch the
 hashes of the set. Documents with equal sets are one class from the start, with its smallest id as
 representative; links are sought between classes only.
 
-1. Inverted lists of the ``FIRST`` smallest values of each class give candidate pairs. Two sets with a
-   similarity of 0.8 share none of these with a chance under 0.2^16 (about 1e-11).
+1. Inverted lists of the ``FIRST`` smallest values of each class give pairs and their overlaps. Two sets
+   with a similarity of 0.8 share fewer than two of these with a chance under 1e-9.
 2. A value in more than ``HOT`` classes (a passage that many documents hold, a large group of near
    copies) gives no pairs in step 1. Classes with such a value are looked at again with all ``KEPT``
-   values. A class with ``COLD`` values or more in short lists still shares one of them with every
-   partner (chance of a miss about 1e-9), so its hot values are not needed.
+   values. A class of which enough values are in short lists (``_cold_enough``) still shares two of them
+   with every partner, so its hot values are not needed.
 3. The others consist of hot values mostly. In each of their lists the class whose values are most
    widely held is the pivot, and every member is paired with the pivot alone: a large group of near
-   copies gives one pair per member. Then only members of a list that are still apart from the
-   pivot's component are paired with members of other components of that list, by their rarest values.
-   Pairs whose link could join nothing are never made; no list is cut off.
-4. For each pair the sketch of the union estimates the similarity; pairs far below the limit go.
-5. The rest are confirmed on the full sets (intersection and union of all shingle hashes).
+   copies gives one pair per member.
+4. Pairs of unlike sizes go; for the others the sketch of the union estimates the similarity, and those
+   far below the limit go. The rest are confirmed on the full sets of shingle hashes.
+5. Members of a pivot's group that are still apart from the pivot's component are compared with all of
+   the group on full sets, block by block; only a link for each component that it joins comes out.
 
 Components are found by label rounds over the confirmed links (``components``). Full sets are made
-only for classes in such pairs. No step collects a list without a bound or sends links to the driver.
+only for classes in likely pairs and of step 3. No list is cut off, and no step collects one without a
+bound or sends links to the driver. Step 5 is the only one whose work grows with a product: members
+that are apart times members of their group.
 
 A document without words or text has no shingle and is linked with nothing. A null id has no
 component and is kept. Repeated rows of an id are linked by their texts like any others, and each row
@@ -33,70 +35,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.common import raw_texts, small_batches
+from adtally.llm.common import python_tasks, raw_texts
 from adtally.llm.components import components
+from adtally.llm.hashing import hashed_words, mixed
 from adtally.session import materialize
 
 SIMILAR = 80
 FIRST, KEPT = 16, 64
 HOT = 32
-COLD = 34
+SHARED = 2
+#: A class with so many cold values shares two of them with every partner: more than 33 of 64 values
+#: of a set are missing in the other with a chance under 1e-9.
+COLD = 36
 #: A pair with an estimate below this is five standard deviations off a similarity of 0.8.
 LEAST_ESTIMATE = 0.55
-#: Sets with that estimate share one of their so many rarest values.
-RAREST = KEPT - int(LEAST_ESTIMATE * KEPT) + 1
-
-#: A-Z become small, and the blanks between words (space, tab to carriage return) one byte.
-_LOW = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
-_BASE = 0x9E3779B97F4A7C15
-_powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer: every input bit reaches every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, kept by the worker."""
-    global _powers
-    if len(_powers[0]) < n:
-        n = max(n, 1 << 17)
-        inverse = pow(_BASE, -1, 1 << 64)
-        _powers = tuple(
-            np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, base, np.uint64)))) for base in (_BASE, inverse)
-        )
-    return _powers
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of every word, by differences of one running polynomial."""
-    chars = np.frombuffer(text.translate(_LOW), np.uint8)
-    inside = np.zeros(len(chars) + 2, bool)
-    inside[1:-1] = chars != 32
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    power, inverse = _power_tables(len(chars))
-    sums = np.zeros(len(chars) + 1, np.uint64)
-    np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * power[:len(chars)], out=sums[1:])
-    return _mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-
+#: Two sketches with that estimate share 35 values, so each may leave aside pivots of so many.
+ASIDE = 17
+#: Rows and bytes of full sets in a block of step 5, and values compared at once.
+BLOCK_ROWS, BLOCK_BYTES, BLOCK_VALUES = 1000, 8 << 20, 4096
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     """Sorted distinct 63-bit shingle hashes; fewer words than ``size`` are one shingle."""
-    words = word_hashes(text or b"")
+    words, _, _ = hashed_words(text or b"")
     if not len(words):
         return np.zeros(0, np.int64)
     size = min(size, len(words))
     n = len(words) - size + 1
     shingles = np.full(n, size, np.uint64)
     for at in range(size):
-        shingles = _mixed(shingles * np.uint64(0x9E3779B97F4A7C15) + words[at:at + n])
+        shingles = mixed(shingles * np.uint64(0x9E3779B97F4A7C15) + words[at:at + n])
     return np.unique(shingles >> np.uint64(1)).astype(np.int64)
 
 
@@ -120,43 +90,66 @@ def signatures(documents: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(sketch, "doc_id bigint, n bigint, class binary, sketch array<bigint>")
 
 
-def _ordered(rows: DataFrame) -> DataFrame:
-    """Pairs of different classes, the smaller first, each once."""
-    return rows.where(F.col("a") != F.col("b")).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
+def _postings(classes: DataFrame, n: int) -> DataFrame:
+    return classes.select("key", F.explode(F.slice("sketch", 1, n)).alias("value"))
 
 
 def _list_pairs(postings: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs of the lists that are short enough (at most ``HOT`` members)."""
+    """Pairs that share at least ``SHARED`` lists of at most ``HOT`` members."""
     short = held.where(F.col("held").between(2, HOT)).select("value")
-    lists = postings.join(short, "value").groupBy("value").agg(F.array_sort(F.collect_list("class")).alias("members"))
+    lists = postings.join(short, "value").groupBy("value").agg(F.array_sort(F.collect_list("key")).alias("members"))
     heads = lists.select("members", F.posexplode("members").alias("at", "a"))
-    return _ordered(heads.select("a", F.explode(F.slice("members", F.col("at") + 2, F.lit(HOT))).alias("b")))
+    pairs = heads.select("a", F.explode(F.slice("members", F.col("at") + 2, F.lit(HOT))).alias("b")).where("a != b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= SHARED).select("a", "b")
+
+
+def _cold_enough() -> Column:
+    """A whole set of n values lacks at most 0.2 n of its own in a partner; of a sketch see ``COLD``."""
+    return F.col("cold") >= F.when(F.col("n") <= KEPT, F.col("n") * (100 - SIMILAR) / 100 + SHARED).otherwise(COLD)
+
 
+def _sketch_matrix(column: pa.ListArray, filler: int) -> np.ndarray:
+    offsets = column.offsets.to_numpy()
+    sizes = np.diff(offsets)
+    matrix = np.full((len(sizes), KEPT), filler, np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    matrix[row, at] = column.values.to_numpy()[offsets[0]:offsets[-1]]
+    return matrix
 
-def _estimate(mine: Column, theirs: Column) -> Column:
-    """Share of common values among the smallest of the union."""
-    union = F.array_sort(F.array_union(mine, theirs))
-    last = F.element_at(union, F.least(F.lit(KEPT), F.size(union)))
-    common = F.size(F.filter(F.array_intersect(mine, theirs), lambda value: value <= last))
-    return common / F.least(F.lit(KEPT), F.size(union))
+
+def estimates(mine: pa.ListArray, theirs: pa.ListArray) -> np.ndarray:
+    """Share of common values among the smallest ``KEPT`` of the union."""
+    top = np.iinfo(np.int64).max
+    both = np.sort(np.concatenate([_sketch_matrix(mine, top), _sketch_matrix(theirs, top - 1)], 1), 1)
+    common = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] < top - 1)
+    rank = np.cumsum(np.concatenate([np.ones((len(both), 1), bool), both[:, 1:] != both[:, :-1]], 1), 1)
+    union = np.where(both < top - 1, rank, 0).max(1, initial=0)
+    kept = np.maximum(np.minimum(union, KEPT), 1)
+    return (common & (rank[:, 1:] <= kept[:, None])).sum(1) / kept
 
 
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs that sizes and the sketch of the union leave over."""
-    known = classes.select("class", "n", "sketch")
+    """Pairs that sizes and the sketch of the union leave over, stored."""
+    sizes = classes.select("key", "n")
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.toDF(side, f"n_{side}"), side)
+    pairs = pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILAR).select("a", "b")
     for side in ("a", "b"):
-        pairs = pairs.join(known.toDF(side, f"n_{side}", f"sketch_{side}"), side)
-    sized = pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILAR)
-    return sized.where(_estimate(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_ESTIMATE).select("a", "b")
+        pairs = pairs.join(classes.select(F.col("key").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
 
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = pa.array(estimates(batch.column(2), batch.column(3)) >= LEAST_ESTIMATE)
+            yield batch.select(["a", "b"]).filter(keep)
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """Stored links (a, b, rep_a, rep_b) whose full sets are similar enough."""
-    likely = materialize(_likely(pairs, classes), "likely-pairs")
-    wanted = likely.select(F.col("a").alias("class")).union(likely.select(F.col("b").alias("class"))).distinct()
-    reps = wanted.join(classes, "class").select("class", "rep")
+    rows = pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(likely, "a bigint, b bigint")
+    return materialize(rows, "likely-pairs")
+
+
+def _full_sets(wanted: DataFrame, documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """(key, rep, shingles) of the wanted classes, stored."""
+    named = wanted.distinct().join(classes, "key").select("key", "class", "rep")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,11 +159,15 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size:
                 ["class", "shingles"],
             )
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(reps.select("rep").distinct(), "rep", "left_semi")
-    sets = texts.select("text").mapInArrow(full, "class binary, shingles binary")
-    sets = materialize(sets.join(reps, "class").dropDuplicates(["class"]), "full-sets")
+    texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(named.select("rep").distinct(), "rep", "left_semi")
+    sets = texts.select("text").mapInArrow(full, "class binary, shingles binary").dropDuplicates(["class"])
+    return materialize(sets.join(named, "class").select("key", "rep", "shingles"), "full-sets")
+
+
+def _confirmed(likely: DataFrame, sets: DataFrame) -> DataFrame:
+    """Stored links (a, b, rep_a, rep_b) whose full sets are similar enough."""
     for side in ("a", "b"):
-        likely = likely.join(sets.select(F.col("class").alias(side), F.col("shingles").alias(f"set_{side}"), F.col("rep").alias(f"rep_{side}")), side)
+        likely = likely.join(sets.select(F.col("key").alias(side), F.col("shingles").alias(f"set_{side}"), F.col("rep").alias(f"rep_{side}")), side)
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,72 +178,117 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame, size:
                 keep.append(100 * common >= SIMILAR * (len(one) + len(two) - common))
             yield batch.select(["a", "b", "rep_a", "rep_b"]).filter(pa.array(keep, pa.bool_()))
 
-    links = likely.select("a", "b", "rep_a", "rep_b", "set_a", "set_b").mapInArrow(similar, "a binary, b binary, rep_a bigint, rep_b bigint")
+    links = likely.select("a", "b", "rep_a", "rep_b", "set_a", "set_b").mapInArrow(similar, "a bigint, b bigint, rep_a bigint, rep_b bigint")
     return materialize(links, "links")
 
 
-def _postings(classes: DataFrame, n: int) -> DataFrame:
-    return classes.select("class", F.explode(F.slice("sketch", 1, n)).alias("value"))
+def overlaps(mine: list[np.ndarray], theirs: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, as products of incidence matrices over a slice of the values at a time."""
+    owner = np.repeat(np.arange(len(mine) + len(theirs)), [len(s) for s in (*mine, *theirs)])
+    values, column, held = np.unique(np.concatenate([*mine, *theirs]), return_inverse=True, return_counts=True)
+    used = held[column] > 1
+    owner, column = owner[used], column[used]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    fresh = np.concatenate(([0], np.cumsum(np.diff(column) > 0))) if len(column) else column
+    result = np.zeros((len(mine), len(theirs)), np.float32)
+    for first in range(0, int(fresh[-1]) + 1 if len(fresh) else 0, BLOCK_VALUES):
+        a, b = np.searchsorted(fresh, [first, first + BLOCK_VALUES])
+        part = np.zeros((len(mine) + len(theirs), BLOCK_VALUES), np.float32)
+        part[owner[a:b], fresh[a:b] - first] = 1
+        result += part[:len(mine)] @ part[len(mine):].T
+    return result.astype(np.int64)
+
+
+def _compared(table: pa.Table) -> pa.Table:
+    """A link for each member that is apart and each other component that it reaches in this block."""
+    sets = [np.frombuffer(s, np.int64) for s in table.column("shingles").to_pylist()]
+    apart = table.column("apart").to_numpy()
+    component, rep = table.column("component").to_numpy(), table.column("rep").to_numpy()
+    mine, theirs = np.flatnonzero(apart), np.flatnonzero(~apart)
+    found: list[tuple[int, int]] = []
+    if len(mine) and len(theirs):
+        common = overlaps([sets[i] for i in mine], [sets[i] for i in theirs])
+        sizes = np.array([len(s) for s in sets])
+        union = sizes[mine][:, None] + sizes[theirs][None, :] - common
+        near = (100 * common >= SIMILAR * union) & (component[mine][:, None] != component[theirs][None, :])
+        one, two = np.nonzero(near)
+        _, each = np.unique(np.stack([one, component[theirs][two]]), axis=1, return_index=True)
+        found = list(zip(rep[mine][one[each]].tolist(), rep[theirs][two[each]].tolist(), strict=True))
+    return pa.table({"rep_a": pa.array([a for a, _ in found], pa.int64()), "rep_b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _still_apart(members: DataFrame, pivots: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (rep_a, rep_b) of members that no link has brought to the component of their group's pivot."""
+    joined = components(links.select("rep_a", "rep_b").toDF("a", "b"))
+    held = members.join(pivots, "value").groupBy("key", "pivot").agg(F.count("*").alias("values"))
+    by_key = Window.partitionBy("key")
+    aside = F.sum("values").over(by_key.orderBy("values", "pivot").rowsBetween(Window.unboundedPreceding, 0))
+    kept = held.withColumn("aside", aside).withColumn("all", F.sum("values").over(by_key))
+    groups = kept.where(F.col("aside") > F.floor(F.col("all") * ASIDE / KEPT)).select("key", "pivot")
+    named = sets.select("key", "rep", F.length("shingles").alias("bytes")).join(joined, F.col("rep") == F.col("node"), "left")
+    named = named.select("key", "bytes", F.coalesce("component", "rep").alias("component"))
+    rows = groups.join(named, "key").join(named.select(F.col("key").alias("pivot"), F.col("component").alias("main")), "pivot")
+    rows = materialize(rows.withColumn("apart", F.col("component") != F.col("main")), "groups")
+
+    def blocks(which: Column) -> Column:
+        most = F.greatest(F.count(F.when(which, 1)) / BLOCK_ROWS, F.sum(F.when(which, F.col("bytes"))) / BLOCK_BYTES)
+        return F.greatest(F.lit(1), F.ceil(most)).cast("int")
+
+    counted = rows.groupBy("pivot").agg(
+        F.count(F.when(F.col("apart"), 1)).alias("n_apart"), blocks(F.col("apart")).alias("mine"), blocks(F.lit(True)).alias("theirs")
+    ).where("n_apart > 0").drop("n_apart")
+    rows = rows.join(counted, "pivot")
+    own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = rows.where("apart").select("pivot", own("mine").alias("mine"), every("theirs").alias("theirs"), "key", "component", F.lit(True).alias("apart"))
+    two = rows.select("pivot", every("mine").alias("mine"), own("theirs").alias("theirs"), "key", "component", F.lit(False).alias("apart"))
+    pairs = one.unionByName(two).join(sets, "key")
+    return materialize(pairs.groupBy("pivot", "mine", "theirs").applyInArrow(_compared, "rep_a bigint, rep_b bigint").distinct(), "late-links")
 
 
 def links_of(documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """Confirmed links between classes; enough to join all that belong together."""
+    """Confirmed links (rep_a, rep_b) between classes; enough to join all that belong together."""
     first = _postings(classes, FIRST)
     held = first.groupBy("value").agg(F.count("*").alias("held"))
     shared = materialize(held.where("held > 1"), "shared-values")
     pairs = _list_pairs(first, shared)
     hot = shared.where(F.col("held") > HOT)
     if hot.isEmpty():
-        return _confirmed(pairs, documents, classes, size)
+        likely = _likely(pairs, classes)
+        sets = _full_sets(likely.select(F.explode(F.array("a", "b")).alias("key")), documents, classes, size)
+        return _confirmed(likely, sets).select("rep_a", "rep_b")
 
-    again = first.join(hot, "value", "left_semi").select("class").distinct()
-    every = materialize(_postings(classes.join(again, "class", "left_semi"), KEPT), "hot-postings")
+    again = first.join(hot, "value", "left_semi").select("key").distinct()
+    every = materialize(_postings(classes.join(again, "key", "left_semi"), KEPT), "hot-postings")
     counts = materialize(every.groupBy("value").agg(F.count("*").alias("held")), "hot-values")
-    counted = every.join(counts, "value")
     cold = F.count(F.when(F.col("held") <= HOT, 1))
     # How widely a class's values are held: near copies of a text hold it more than each other.
-    kinds = materialize(counted.groupBy("class").agg(cold.alias("cold"), F.sum("held").alias("spread")), "hot-classes")
-    pairs = pairs.union(_list_pairs(every, counts))
-
-    mostly = kinds.where(F.col("cold") < COLD).select("class", "spread")
-    if mostly.isEmpty():
-        return _confirmed(pairs.distinct(), documents, classes, size)
-    members = materialize(counted.join(mostly, "class").select("class", "spread", "value", "held"), "hot-members")
-    pivots = materialize(members.groupBy("value").agg(F.max(F.struct("spread", "class")).alias("top")).select("value", F.col("top.class").alias("pivot")), "pivots")
-    to_pivot = members.join(pivots, "value").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
-    links = _confirmed(pairs.union(_ordered(to_pivot)).distinct(), documents, classes, size)
-
-    joined = components(links.select("a", "b"))
-    label = F.coalesce("component", "class")
-    labelled = members.join(joined, F.col("class") == F.col("node"), "left").select("class", "value", "held", label.alias("component"))
-    rank = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("held", "value"))), 1, RAREST), lambda v: v["value"])
-    rare = labelled.groupBy("class", "component").agg(rank.alias("values")).select("class", "component", F.explode("values").alias("value"))
-    rare = materialize(rare, "rare-values")
-    split = rare.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    # The component of the pivot, else any: the others are the ones still apart.
-    main = split.join(pivots, "value").join(joined, F.col("pivot") == F.col("node"), "left").select(
-        "value", F.coalesce("component", "pivot").alias("main")
-    )
-    open_ = materialize(rare.join(main, "value"), "open-lists")
-    if open_.isEmpty():
-        return links
-    apart = open_.where(F.col("component") != F.col("main")).select("value", F.col("class").alias("a"), F.col("component").alias("one"))
-    others = open_.select("value", F.col("class").alias("b"), F.col("component").alias("two"))
-    rest = _ordered(apart.join(others, "value").where("one != two"))
-    return links.union(_confirmed(rest, documents, classes, size))
+    kinds = every.join(counts, "value").groupBy("key").agg(cold.alias("cold"), F.sum("held").alias("spread"))
+    kinds = kinds.join(classes.select("key", "n"), "key")
+    mostly = materialize(kinds.where(~_cold_enough()).select("key", "spread"), "mostly-hot")
+    members = materialize(every.join(mostly, "key").select("key", "spread", "value"), "hot-members")
+    top = F.max(F.struct("spread", "key"))
+    pivots = materialize(members.groupBy("value").agg(top.alias("top")).select("value", F.col("top.key").alias("pivot")), "pivots")
+    to_pivot = members.join(pivots, "value").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).where("a != b")
+    likely = _likely(pairs.union(_list_pairs(every, counts)).union(to_pivot).distinct(), classes)
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("key")).union(mostly.select("key"))
+    sets = _full_sets(wanted, documents, classes, size)
+    links = _confirmed(likely, sets).select("rep_a", "rep_b")
+    return links.union(_still_apart(members, pivots, links, sets))
 
 
 def near_duplicates(documents: DataFrame, size: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document row."""
-    small_batches(documents.sparkSession)
+    python_tasks(documents.sparkSession)
     signed = materialize(signatures(documents, size), "sketches")
     known = signed.where("class is not null and doc_id is not null")
-    classes = materialize(
-        known.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes"
-    )
+    same = known.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # Pairs carry a short key; should two classes get the same one, both are compared.
+    classes = materialize(same.withColumn("key", F.xxhash64("class")), "classes")
     links = links_of(documents, classes, size)
     # An id that represents two classes joins them: it is one document.
-    joined = components(links.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
+    joined = components(links.toDF("a", "b"))
     final = classes.join(joined, F.col("rep") == F.col("node"), "left").select(
         "class", F.coalesce("component", "rep").alias("component_id")
     )
