@@ -70,7 +70,7 @@ def without_boilerplate(documents: DataFrame, site: str = "source", min_sites: i
     """All columns of ``documents`` with the remaining text, and ``_n_lines`` and ``_n_removed``."""
     lines = lines_of(documents, site)
     hits = lines.join(boilerplate(lines, min_sites), "line").groupBy("_id", "_text", "line").agg(
-        F.first("first").alias("first"), F.min("at").alias("least"), F.collect_list("at").alias("places")
+        F.first("first").alias("first"), F.min("at").alias("least"), F.collect_set("at").alias("places")
     )
     # In the first document of a line its first occurrence stays.
     gone = F.when(F.col("_id").eqNullSafe(F.col("first")), F.array_remove("places", F.col("least"))).otherwise(F.col("places"))
