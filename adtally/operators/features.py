@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adtally.operators.order import numbered
 from adtally.session import materialize
 
 FeatureColumns = Sequence[tuple[str, str]]
 
-SALTS = 16
+#: Tasks over which the deliveries of one click are spread at most; raise it with the cluster.
+SALTS = 64
 
 
 def column_list(feature_columns: DataFrame) -> list[tuple[str, str]]:
@@ -34,31 +36,17 @@ def feature_values(deliveries: DataFrame, columns: FeatureColumns) -> DataFrame:
 
 
 def feature_index(values: DataFrame) -> DataFrame:
-    """Features numbered from 1 by column position and value.
-
-    The features are range partitioned by that order and written with their slice number; a
-    feature's index is the size of all earlier slices plus its rank in its own. Only the slice
-    sizes, one row per slice, pass through a single task.
-    """
-    slices = materialize(
-        values.repartitionByRange("at", "feature").withColumn("slice", F.spark_partition_id()),
-        "feature-slices",
-    )
-    sizes = slices.groupBy("slice").agg(F.count("*").alias("size"))
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("slice", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    rank = F.row_number().over(Window.partitionBy("slice").orderBy("at", "feature"))
-    return slices.join(starts, "slice").select(
-        "feature", (F.col("start") + rank).alias("idx")
-    )
+    """Features numbered from 1 by column position and value."""
+    return numbered(values, ["at", "feature"], "idx").select("feature", "idx")
 
 
 def labelled_rows(
-    deliveries: DataFrame, conversions: DataFrame, dedupe: bool = False
+    deliveries: DataFrame, conversions: DataFrame, dedupe: bool = False, salts: int = SALTS
 ) -> DataFrame:
     """Deliveries with ``label`` 1 where a conversion names their click, else 0.
 
-    A click with several conversions gives several rows unless ``dedupe`` is on.
+    A click with several conversions gives several rows unless ``dedupe`` is on; then the deliveries
+    of one click are spread over up to ``salts`` tasks.
     """
     rows = deliveries.where("request_time is not null")
     converted = conversions.select("format_uuid")
@@ -66,9 +54,9 @@ def labelled_rows(
     if dedupe:
         # The salt spreads the deliveries of one click, and makes both sides plain shuffles: a
         # side that is already partitioned by the key could not be split at run time.
-        salts = F.explode(F.array(*[F.lit(n) for n in range(SALTS)]))
-        converted = converted.distinct().select("format_uuid", salts.alias("salt"))
-        same_click = same_click & (F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)) == F.col("salt"))
+        every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        converted = converted.distinct().select("format_uuid", every.alias("salt"))
+        same_click = same_click & (F.pmod(F.xxhash64(*rows.columns), F.lit(salts)) == F.col("salt"))
     joined = rows.join(converted, same_click, "left")
     label = F.col("format_uuid").isNotNull().cast("int")
     return joined.select(*rows.columns, label.alias("label"))
@@ -77,17 +65,19 @@ def labelled_rows(
 def encode(rows: DataFrame, index: DataFrame, columns: FeatureColumns) -> DataFrame:
     """Label and ascending feature indices of every row; unknown features are skipped.
 
-    One left join per feature column; ``index`` should be a stored table, since each join reads
-    it. Spark broadcasts the part of the dictionary that belongs to
-    the column when its size allows and shuffles otherwise.
+    The rows are stored once with a number; their features are unpivoted to (row, feature), meet the
+    dictionary in one join whatever the number of columns, and return to their row by its number.
     """
-    for at, (column, short) in enumerate(columns):
-        part = index.where(F.col("feature").startswith(f"{short}_")).select(
-            F.col("feature").alias(f"feature_{at}"), F.col("idx").alias(f"idx_{at}")
-        )
-        rows = rows.join(part, _feature(column, short) == F.col(f"feature_{at}"), "left")
-    indices = F.array_sort(F.array_compact(F.array(*[f"idx_{at}" for at in range(len(columns))])))
-    return rows.select("label", indices.alias("indices"))
+    cells = F.array(*[_feature(column, short) for column, short in columns])
+    stored = materialize(
+        rows.select(F.monotonically_increasing_id().alias("row"), "label", cells.alias("cells")), "feature-rows"
+    )
+    each = stored.select("row", F.explode("cells").alias("feature")).where("feature is not null")
+    known = each.join(index, "feature").groupBy("row").agg(F.array_sort(F.collect_list("idx")).alias("indices"))
+    none = F.array().cast("array<bigint>")
+    return stored.select("row", "label").join(known, "row", "left").select(
+        "label", F.coalesce("indices", none).alias("indices")
+    )
 
 
 def libsvm_lines(encoded: DataFrame) -> DataFrame:

@@ -104,3 +104,20 @@ def test_model(spark, tmp_path):
     lines = sorted(r.value for r in spark.read.text(str(tmp_path / "model" / "auc")).collect())
     assert [text.split("=")[0] for text in lines] == ["auPRC", "auROC"]
     assert float(lines[1].split("=")[1]) == pytest.approx(trained.area_under_roc)
+
+
+def test_encode_joins_once(spark):
+    """The number of exchanges does not depend on the number of columns."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = []
+        for n in (1, 10):
+            names = [f"c{i}" for i in range(n)]
+            rows = spark.range(20).select(F.lit(1).alias("label"), *[F.col("id").cast("string").alias(c) for c in names])
+            index = spark.createDataFrame([(f"{c}_{v}", i * 20 + v + 1) for i, c in enumerate(names) for v in range(20)], "feature string, idx long")
+            encoded = features.encode(rows, index, [(c, c) for c in names])
+            assert sorted(len(r.indices) for r in encoded.collect()) == [n] * 20
+            counts.append(encoded._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        assert counts[0] == counts[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
