@@ -1,22 +1,4 @@
 """Keyword arrays."""
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+#: The keyword of a row that has none of the words.
 UNKNOWN = "unknown"
-
-
-def first_match(keywords: Column, words: list[str], default: str = UNKNOWN) -> Column:
-    """First keyword of the array that is one of ``words``."""
-    if not words:
-        return F.lit(default)
-    hits = F.filter(keywords, lambda word: word.isin(words))
-    return F.coalesce(F.get(hits, F.lit(0)), F.lit(default))
-
-
-def any_match(keywords: Column, words: list[str]) -> Column:
-    if not words:
-        return F.lit(False)
-    return F.coalesce(F.exists(keywords, lambda word: word.isin(words)), F.lit(False))

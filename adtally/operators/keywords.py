@@ -1,12 +1,11 @@
 """Keyword reports: page views, pairs, reach and first-match performance.
 
-A pack is a DataFrame with one ``keyword`` column. Where a pack is small enough to be looked at
-(``words_if_small``) its words become an ``IN`` list; otherwise it stays a table and is joined,
-always with already aggregated rows, so that a keyword found in a third of all requests costs no
-more than a rare one. A left-semi join above an aggregate is moved below it by Catalyst when the
-pack can be broadcast and stays above it when it cannot. Packs are only tested for membership, so
-repeated words are harmless; they are not made distinct, because a join whose pack side is a plain
-shuffle is one whose hot keyword the adaptive plan can split.
+A pack is a DataFrame with one ``keyword`` column, joined whatever its size: Spark picks the join.
+Where the place of a word within its request matters, the rows are stored once with a number; the
+words alone are exploded, meet the pack in a semi join and return to their row by its number, so that
+no keyword array is ever a key or crosses a shuffle. Packs are only tested for membership, so repeated
+words are harmless; they are not made distinct, because a join whose pack side is a plain shuffle is
+one whose hot keyword the adaptive plan can split.
 """
 
 from __future__ import annotations
@@ -16,12 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.functions.keywords import UNKNOWN, any_match, first_match
+from adtally.functions.keywords import UNKNOWN
 from adtally.functions.labels import os_class_pv
 from adtally.session import materialize
-from adtally.sources.packs import words_if_small
-
-MESSAGE_NEIGHBOURS = 100_000
 
 
 def _count_in_pack(rows: DataFrame, pack: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,24 +41,31 @@ def channel_keyword_pv(bids: DataFrame, pack: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with a number ``row``, stored, so that a later read sees the same numbers."""
+    return materialize(rows.select(F.monotonically_increasing_id().alias("row"), *rows.columns), name)
+
+
+def _found(rows: DataFrame, words: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """(row, at, keyword) of every keyword that is in ``words`` within equal ``scope`` columns."""
+    each = rows.select("row", *scope, F.posexplode("keywords").alias("at", "keyword"))
+    return each.join(words.select(*scope, "keyword"), [*scope, "keyword"], "left_semi").select("row", "at", "keyword")
+
+
 def keyword_pairs(bids: DataFrame, pack: DataFrame) -> DataFrame:
     """Ordered pairs (a before b) of different pack words within one request, counted.
 
-    The pairs of a request are streamed by two explodes into the map-side combine; no array of
-    pairs is built.
+    Only pack words are paired: they are found first and put together per request again. The pairs of
+    a request are streamed by two explodes into the map-side combine; no array of pairs is built.
     """
-    rows = bids.select("keywords")
-    words = words_if_small(pack)
-    if words is not None:
-        rows = rows.select(F.filter("keywords", lambda word: word.isin(words)).alias("keywords"))
-    heads = rows.select("keywords", F.posexplode("keywords").alias("at", "a")).where("a <> ''")
-    rest = F.slice("keywords", F.col("at") + 2, F.size("keywords"))
-    pairs = heads.select("a", F.explode(rest).alias("b")).where("b <> '' and a <> b")
-    counts = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
-    if words is None:
-        for side in ("a", "b"):
-            counts = counts.join(pack.select(F.col("keyword").alias(side)), side, "left_semi")
-    return counts.select("a", "b", "n")
+    rows = _numbered(bids.select("keywords"), "keyword-rows")
+    found = _found(rows, pack.where("keyword <> ''"))
+    kept = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "keyword"))).alias("words"))
+    words = kept.select(F.col("words.keyword").alias("words"))
+    heads = words.select("words", F.posexplode("words").alias("at", "a"))
+    rest = F.slice("words", F.col("at") + 2, F.size("words"))
+    pairs = heads.select("a", F.explode(rest).alias("b")).where("a <> b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
 def keyword_relations(pairs: DataFrame) -> DataFrame:
@@ -82,56 +85,36 @@ def keyword_relations(pairs: DataFrame) -> DataFrame:
     return links.join(totals, "keyword")
 
 
-def relations_json(relations: DataFrame, max_neighbours: int = MESSAGE_NEIGHBOURS) -> DataFrame:
-    """One JSON text per keyword: ``{"relation": {neighbour: n, …}, "total": n}``.
+def relation_fragments(relations: DataFrame) -> DataFrame:
+    """(keyword, part, neighbour, fragment): pieces of ``"keyword":{"relation":{neighbour: n, …},"total":n}``.
 
-    A row holds all neighbours of its keyword, so their number is checked on the stored relations
-    first; relations of more than ``max_neighbours`` are refused here and belong in rows.
+    In the order of keyword, part and neighbour the fragments of a keyword make its text, however
+    many neighbours it has; no row holds more than one of them.
     """
     stored = materialize(relations, "relations")
-    sizes = stored.groupBy("keyword").agg(F.count("*").alias("size"))
-    largest = sizes.agg(F.max("size")).first()[0] or 0
-    if largest > max_neighbours:
-        raise ValueError(f"a keyword has {largest} neighbours; write the relation rows instead")
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("neighbour", "n"))))
-    rows = stored.groupBy("keyword").agg(entries.alias("relation"), F.sum("n").alias("total"))
-    return rows.select("keyword", F.to_json(F.struct("relation", "total")).alias("json"))
-
-
-def relation_lines(relations: DataFrame) -> DataFrame:
-    """``"keyword":{…}`` texts."""
-    line = F.concat(F.lit('"'), "keyword", F.lit('":'), "json")
-    return relations_json(relations).select(line.alias("value"))
-
+    ends = stored.groupBy("keyword").agg(F.min("neighbour").alias("first"), F.max("total").alias("total"))
+    comma = F.when(F.col("neighbour") != F.col("first"), ",").otherwise("")
+    entry = F.concat(comma, _json_text("neighbour"), F.lit(":"), F.col("n").cast("string"))
+    entries = stored.join(ends.select("keyword", "first"), "keyword").select(
+        "keyword", F.lit(1).alias("part"), "neighbour", entry.alias("fragment")
+    )
+    nothing = F.lit(None).cast("string").alias("neighbour")
+    heads = ends.select("keyword", F.lit(0).alias("part"), nothing, F.concat(_json_text("keyword"), F.lit(':{"relation":{')).alias("fragment"))
+    tails = ends.select("keyword", F.lit(2).alias("part"), nothing, F.concat(F.lit('},"total":'), F.col("total").cast("string"), F.lit("}")).alias("fragment"))
+    return heads.unionByName(entries).unionByName(tails)
 
-def _first_positions(
-    sums: DataFrame, keys: Sequence[str], measures: Sequence[str], words: DataFrame, scope: Sequence[str]
-) -> DataFrame:
-    """``sums`` with ``at``, the position of the first keyword found in ``words``, else NULL.
 
-    ``sums`` is a stored table with one row per ``keys``, among them the keyword array; ``words``
-    applies within equal ``scope`` columns. The exploded keywords carry the keys only, meet the
-    words in a semi join and return to their row in one aggregate together with the row itself.
-    """
-    exploded = sums.select(*keys, F.posexplode("keywords").alias("at", "keyword"))
-    found = exploded.join(words, [*scope, "keyword"], "left_semi").select(*keys, "at")
-    rows = sums.select(*keys, *measures).unionByName(found, allowMissingColumns=True)
-    return rows.groupBy(*keys).agg(
-        F.min("at").alias("at"), *[F.sum(name).alias(name) for name in measures]
-    )
+def _json_text(name: str):
+    """The value as a JSON text, with its quotes."""
+    whole = F.to_json(F.struct(F.col(name).alias("k")))
+    return F.substring(whole, F.lit(6), F.length(whole) - 6)
 
 
 def reach(rows: DataFrame, pack: DataFrame, platform: str) -> DataFrame:
     """Requests with at least one pack word per channel and hour."""
-    rows = rows.where("channel <> ''")
-    words = words_if_small(pack)
-    if words is not None:
-        hits = rows.where(any_match(F.col("keywords"), words)).withColumn("part", F.lit(1))
-    else:
-        keys = ["channel", "hour", "keywords"]
-        sums = materialize(rows.groupBy(*keys).agg(F.count("*").alias("part")), "reach")
-        hits = _first_positions(sums, keys, ["part"], pack.select("keyword"), []).where("at is not null")
-    counts = hits.groupBy("channel", "hour").agg(F.sum("part").alias("count"))
+    stored = _numbered(rows.where("channel <> ''").select("channel", "hour", "keywords"), "reach-rows")
+    hits = stored.select("row", "channel", "hour").join(_found(stored, pack).select("row"), "row", "left_semi")
+    counts = hits.groupBy("channel", "hour").agg(F.count("*").alias("count"))
     return counts.select(F.lit(platform).alias("platform"), "channel", "hour", "count")
 
 
@@ -157,12 +140,7 @@ def valid_deliveries(deliveries: DataFrame) -> DataFrame:
 
 def first_match_report(deliveries: DataFrame, pack: DataFrame) -> DataFrame:
     """Performance by the first pack word of each delivery, one pack for all ads."""
-    words = words_if_small(pack)
-    rows = valid_deliveries(deliveries).withColumnRenamed("source", "platform")
-    if words is not None:
-        labelled = rows.withColumn("keyword", first_match(F.col("keywords"), words))
-        return _hour_rows(_delivery_sums(labelled, ["d", "h", *REPORT_KEYS]))
-    return _joined_report(_array_sums(rows), pack.select("keyword"), [])
+    return _matched_report(_delivery_rows(deliveries), pack)
 
 
 def active_ads(deliveries: DataFrame) -> DataFrame:
@@ -180,24 +158,21 @@ def keyword_hour_report(
     """
     if scope not in ("hour", "ad"):
         raise ValueError(f"unknown scope {scope!r}")
-    sums = _array_sums(valid_deliveries(deliveries).withColumnRenamed("source", "platform"))
+    rows = _delivery_rows(deliveries)
     if scope == "ad":
-        return _joined_report(sums, ad_pack.select("ad_id", "keyword"), ["ad_id"])
-    hour_words = active_ads(sums).join(ad_pack, "ad_id").select("d", "h", "keyword")
-    return _joined_report(sums, hour_words, ["d", "h"])
-
+        return _matched_report(rows, ad_pack, ["ad_id"])
+    hour_words = active_ads(rows).join(ad_pack, "ad_id").select("d", "h", "keyword").distinct()
+    return _matched_report(rows, hour_words, ["d", "h"])
 
-ARRAY_KEYS = ["d", "h", "keywords", "ad_id", "platform"]
 
-
-def _array_sums(rows: DataFrame) -> DataFrame:
-    """Delivery sums per keyword array, stored: the deliveries are read once."""
-    return materialize(_delivery_sums(rows, ARRAY_KEYS), "keyword-arrays")
+def _delivery_rows(deliveries: DataFrame) -> DataFrame:
+    """Valid deliveries with a number, stored: they are read once."""
+    rows = valid_deliveries(deliveries).withColumnRenamed("source", "platform")
+    return _numbered(rows.select("d", "h", "ad_id", "platform", "keywords", *DELIVERY_SUMS), "deliveries")
 
 
-def _joined_report(sums: DataFrame, words: DataFrame, scope: Sequence[str]) -> DataFrame:
-    """First-match report with the words as a table."""
-    placed = _first_positions(sums, ARRAY_KEYS, DELIVERY_SUMS, words, scope)
-    first = F.coalesce(F.get("keywords", F.col("at")), F.lit(UNKNOWN))
-    labelled = placed.withColumn("keyword", first)
+def _matched_report(rows: DataFrame, words: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Report by the first keyword of each stored row that is in ``words``; numbers and words cross the shuffles."""
+    first = _found(rows, words, scope).groupBy("row").agg(F.min_by("keyword", "at").alias("keyword"))
+    labelled = rows.drop("keywords").join(first, "row", "left").fillna(UNKNOWN, subset=["keyword"])
     return _hour_rows(_delivery_sums(labelled, ["d", "h", *REPORT_KEYS]))

@@ -113,5 +113,3 @@ def to_log_lines(tracking: DataFrame, stamp: Column) -> DataFrame:
     ]
     return tracking.select(F.concat_ws("\t", stamp, F.lit("-"), F.to_json(F.struct(*fields))).alias("value"))
 
-
-TRACKING_COLUMNS = TRACKING.names

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from adtally.operators import anomaly, ctr, features, keywords, profiles, reports, traffic
 from adtally.operators.tracking import normalize, parse_lines, rejected_lines
 from adtally.session import materialize
-from adtally.sinks.exports import json_message, save_model
+from adtally.sinks.exports import json_message, save_model, write_fragments
 from adtally.sinks.files import replace_partitions, write_csv, write_lines
 from adtally.sources.logs import read_log_lines
 from adtally.sources.models import read_libsvm
@@ -81,17 +81,19 @@ def keyword_page_views(
 
 
 def keyword_relation_lines(
-    spark: SparkSession, root: str, pack: str, day: str, out: str, files: int | None = None
+    spark: SparkSession, root: str, pack: str, day: str, out: str
 ) -> None:
+    """Neighbours of every pack word as JSON fragments, in order."""
     bids = read_slice(spark, f"{root}/bid_request", start=day, end=day, columns=["keywords"])
     pairs = materialize(keywords.keyword_pairs(bids, read_pack(spark, pack)), "pairs")
-    write_lines(keywords.relation_lines(keywords.keyword_relations(pairs)), f"{out}/{day}", files)
+    fragments = keywords.relation_fragments(keywords.keyword_relations(pairs))
+    write_fragments(fragments, f"{out}/{day}", ["keyword", "part", "neighbour"])
 
 
 def reach_request(
     spark: SparkSession, root: str, packs: str, request: str, day: str
 ) -> DataFrame:
-    """The answer to a reach request as one message."""
+    """The answer to a reach request as the fragments of one message."""
     spec = ReachSpec.from_json(request)
     if spec.platform != traffic.FULL_PLATFORM:
         raise ValueError(f"no reach estimate for platform {spec.platform!r}")
@@ -113,12 +115,9 @@ def keyword_hour(
     rows = keywords.valid_deliveries(deliveries)
     if rows.isEmpty():
         return False
-    pack = ad_keyword_pack(spark, ad_pack_files(spark.read.text(pack_map)), packs)
-    if scope == "hour":
-        ads = rows.select("ad_id").distinct()
-        report = keywords.first_match_report(rows, pack.join(ads, "ad_id", "left_semi"))
-    else:
-        report = keywords.keyword_hour_report(rows, pack, scope)
+    ads = rows.select("ad_id").distinct()
+    pack = ad_keyword_pack(spark, ad_pack_files(spark.read.text(pack_map)), packs, ads)
+    report = keywords.first_match_report(rows, pack) if scope == "hour" else keywords.keyword_hour_report(rows, pack, scope)
     replace_partitions(report, f"{root}/keyword_report")
     return True
 

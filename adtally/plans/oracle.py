@@ -266,9 +266,12 @@ WHERE channel IN ('c0', 'c1', 'c2', 'c3', 'c5') AND device IN ('Mobile', 'PC') A
   OR TRY_CAST(placementid AS INT) BETWEEN 1 AND 10)
 GROUP BY channel, hour""",
     "reach_json": _with(BIDS, REACH) + """
-SELECT concat('{"id":7,"data":[', string_agg(concat('{"platform":"youku","channel":"', channel,
- '","hour":', hour, ',"count":', n, '}'), ',' ORDER BY channel, hour), ']}') AS message
-FROM (SELECT channel, hour, count(*) AS n FROM reach GROUP BY channel, hour)""",
+SELECT CAST(0 AS BIGINT) AS "at", '{"id":7,"data":[' AS fragment
+UNION ALL SELECT "at", concat(CASE WHEN "at" > 1 THEN ',' ELSE '' END, '{"platform":"youku","channel":"', channel,
+ '","hour":', hour, ',"count":', n, '}')
+ FROM (SELECT *, row_number() OVER (ORDER BY channel, hour) AS "at"
+  FROM (SELECT channel, hour, count(*) AS n FROM reach GROUP BY channel, hour))
+UNION ALL SELECT count(*) + 1, ']}' FROM (SELECT DISTINCT channel, hour FROM reach)""",
     "keyword_pv": _with(DELIVERIES, PACK, KEYWORD_ROWS) + """
 SELECT system, keyword, count(*) AS pv FROM words JOIN pack USING (keyword)
 WHERE system <> '-' GROUP BY system, keyword""",
@@ -281,6 +284,17 @@ SELECT keyword, neighbour, CAST(sum(n) AS BIGINT) AS n,
  CAST(sum(sum(n)) OVER (PARTITION BY keyword) AS BIGINT) AS total
 FROM (SELECT a AS keyword, b AS neighbour, n FROM pairs UNION ALL SELECT b, a, n FROM pairs)
 GROUP BY keyword, neighbour""",
+    "keyword_pairs_large_pack": _with(DELIVERIES, AD_PACK, PAIRS.replace("FROM pack", "SELECT keyword FROM ad_pack"))
+    + "SELECT a, b, n FROM pairs",
+    "relation_json": _with(DELIVERIES, PACK, PAIRS) + r"""
+, links AS (SELECT concat(keyword[:3], '"\', keyword[4:]) AS keyword, concat(neighbour[:3], '"\', neighbour[4:]) AS neighbour,
+  CAST(sum(n) AS BIGINT) AS n
+ FROM (SELECT a AS keyword, b AS neighbour, n FROM pairs UNION ALL SELECT b, a, n FROM pairs) GROUP BY ALL),
+quoted AS (SELECT *, replace(replace(keyword, '\', '\\'), '"', '\"') AS k, replace(replace(neighbour, '\', '\\'), '"', '\"') AS m FROM links)
+SELECT keyword, 0 AS part, NULL::VARCHAR AS neighbour, concat('"', any_value(k), '":{"relation":{') AS fragment FROM quoted GROUP BY keyword
+UNION ALL SELECT keyword, 1, neighbour, concat(CASE WHEN neighbour = min(neighbour) OVER (PARTITION BY keyword) THEN '' ELSE ',' END,
+ '"', m, '":', n) FROM quoted
+UNION ALL SELECT keyword, 2, NULL, concat('},"total":', CAST(sum(n) AS BIGINT), '}') FROM quoted GROUP BY keyword""",
     "keyword_first_match": _with(DELIVERIES, VALID) + _first_match(FIRST_IN_PACK),
     "keyword_hour_report": _scoped(
         """SELECT d, h, list(DISTINCT keyword) AS words

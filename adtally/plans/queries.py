@@ -192,11 +192,30 @@ def keyword_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keywords.keyword_pairs(_keyword_bids(spark, sf_dir), a.fixed_pack(spark))
 
 
+@query
+def keyword_pairs_large_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pack of every type, brand and name word there is."""
+    pack = a.ad_pack(a.table(spark, sf_dir, "part")).select("keyword").distinct()
+    return keywords.keyword_pairs(_keyword_bids(spark, sf_dir), pack)
+
+
 @query
 def keyword_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keywords.keyword_relations(keyword_pairs(spark, sf_dir))
 
 
+@query
+def relation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments over words that hold quotes and backslashes."""
+    bids = _keyword_bids(spark, sf_dir)
+    quoted = F.transform("keywords", lambda w: F.concat(F.substring(w, 1, 3), F.lit('"\\'), F.substring(w, 4, 100)))
+    pack = a.fixed_pack(spark).select(
+        F.concat(F.substring("keyword", 1, 3), F.lit('"\\'), F.substring("keyword", 4, 100)).alias("keyword")
+    )
+    pairs = materialize(keywords.keyword_pairs(bids.withColumn("keywords", quoted), pack), "pairs")
+    return keywords.relation_fragments(keywords.keyword_relations(pairs))
+
+
 @query
 def keyword_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keywords.first_match_report(_deliveries(spark, sf_dir), a.fixed_pack(spark))

@@ -52,10 +52,6 @@ WINDOW_COUNTS = _struct(
     window_start=T.TimestampType(), window_end=T.TimestampType(), word=_S, n=_L, batch_id=_L
 )
 
-CONVERSIONS = _struct(format_uuid=_S, d=_S)
-
-AD_KEYWORD_PACK = _struct(ad_id=_S, keyword=_S)
-
 FEATURE_COLUMNS = _struct(column=_S, short=_S)
 FEATURE_INDEX = _struct(feature=_S, idx=_L)
 

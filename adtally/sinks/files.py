@@ -35,11 +35,6 @@ def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     with_files(df, files).write.mode("overwrite").csv(path)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Overwrite a whole Parquet table."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def replace_partitions(
     df: DataFrame, path: str, by: Sequence[str] = ("d", "h"), spread: bool = True
 ) -> None:

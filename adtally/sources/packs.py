@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from adtally.schemas import FEATURE_COLUMNS, FEATURE_INDEX
 
-LITERAL_WORDS = 1_000
-
 
 def read_pack(
     spark: SparkSession, paths: str | list[str], first_field: bool = False
@@ -25,27 +23,27 @@ def read_pack(
     return spark.read.text(paths).select(word.alias("keyword"))
 
 
-def words_if_small(pack: DataFrame, limit: int = LITERAL_WORDS) -> list[str] | None:
-    """The words of a pack of at most ``limit`` words, else None.
-
-    At most ``limit + 1`` rows reach the driver; a caller that gets None joins the pack.
-    """
-    rows = pack.select("keyword").where("keyword is not null").distinct().limit(limit + 1).collect()
-    return sorted(row.keyword for row in rows) if len(rows) <= limit else None
-
-
 def ad_pack_files(maps: DataFrame, column: str = "value") -> DataFrame:
     """JSON objects ``{"ad": "file", …}`` as rows (ad_id, file)."""
     entries = F.explode(F.from_json(column, "map<string,string>"))
     return maps.select(entries.alias("ad_id", "file"))
 
 
-def ad_keyword_pack(spark: SparkSession, ad_files: DataFrame, folder: str) -> DataFrame:
-    """Words of every ad: the files of a folder joined with the ads by file name."""
-    words = spark.read.text(folder).select(
-        F.col("value").alias("keyword"), F.col("_metadata.file_name").alias("file")
-    )
-    return words.join(ad_files, "file").select("ad_id", "keyword")
+def ad_keyword_pack(spark: SparkSession, ad_files: DataFrame, folder: str, ads: DataFrame | None = None) -> DataFrame:
+    """Words of every ad, or of the ``ads`` given: their files are looked up first and only those are read.
+
+    ``ad_files`` is a configuration with one row per ad, so its file names may reach the driver. Names
+    of files that are not in the folder are passed over.
+    """
+    wanted = ad_files if ads is None else ad_files.join(ads.select("ad_id").distinct(), "ad_id", "left_semi")
+    names = sorted({row.file for row in wanted.select("file").distinct().collect() if row.file})
+    listing = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    there = {row.file for row in listing.distinct().collect()}
+    paths = [f"{folder}/{name}" for name in names if name in there]
+    lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
+    file = F.col("_metadata.file_name") if paths else F.lit("")
+    words = lines.select(F.col("value").alias("keyword"), file.alias("file"))
+    return words.join(wanted, "file").select("ad_id", "keyword")
 
 
 def read_feature_columns(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from adtally.functions import dates, keywords, labels, numbers
+from adtally.functions import dates, labels, numbers
 
 
 def values(spark, data, schema, column):
@@ -90,11 +90,3 @@ def test_stamps(spark):
     now = dt.datetime(2024, 3, 1, 0, 10)
     assert dates.yesterday(now) == "20240229"
     assert dates.previous_hour(now) == ("20240229", 23)
-
-
-def test_matches(spark):
-    rows = [(["x", "b", "a"],), ([],), (["x"],), (None,)]
-    first = keywords.first_match(F.col("k"), ["a", "b"])
-    assert values(spark, rows, "k array<string>", first) == ["b", "unknown", "unknown", "unknown"]
-    assert values(spark, rows, "k array<string>", keywords.any_match(F.col("k"), ["a", "b"])) == [True, False, False, False]
-    assert values(spark, rows, "k array<string>", keywords.first_match(F.col("k"), [])) == ["unknown"] * 4

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 
@@ -61,14 +62,15 @@ def test_keywords(spark, root, tmp_path):
     jobs.keyword_page_views(spark, root, str(tmp_path / "pack"), "20240102", by_channel=True)
     assert set(r.keyword for r in read_slice(spark, f"{root}/keyword_pv").collect()) <= {"view", "k3", "u1"}
     assert "click" in {r.keyword for r in read_slice(spark, f"{root}/channel_keyword_pv").collect()}
-    jobs.keyword_relation_lines(spark, root, str(tmp_path / "plain"), "20240102", str(tmp_path / "relations"), files=1)
+    jobs.keyword_relation_lines(spark, root, str(tmp_path / "plain"), "20240102", str(tmp_path / "relations"))
     lines = [r.value for r in spark.read.text(f"{tmp_path}/relations/20240102").collect()]
-    relations = json.loads("{" + ",".join(lines) + "}")
+    relations = json.loads("{" + re.sub('}(?=")', "},", "".join(lines)) + "}")
     for word, entry in relations.items():
         assert sum(entry["relation"].values()) == entry["total"]
         assert all(relations[other]["relation"][word] == n for other, n in entry["relation"].items())
     request = json.dumps({"id": 4, "path": "plain"})
-    message = json.loads(jobs.reach_request(spark, root, str(tmp_path), request, "20240102").first().message)
+    fragments = jobs.reach_request(spark, root, str(tmp_path), request, "20240102").orderBy("at").collect()
+    message = json.loads("".join(r.fragment for r in fragments))
     assert message["id"] == 4 and all(row["channel"] for row in message["data"])
     with pytest.raises(ValueError):
         jobs.reach_request(spark, root, str(tmp_path), json.dumps({"id": 4, "path": "plain", "platform": "iqiyi"}), "20240102")

@@ -16,14 +16,6 @@ DELIVERIES = (
 )
 
 
-@pytest.fixture(params=["list", "table"])
-def pack_form(request, monkeypatch):
-    """Both ways to test a pack: as an IN list and as a table."""
-    if request.param == "table":
-        monkeypatch.setattr(keywords, "words_if_small", lambda pack: None)
-    return request.param
-
-
 @pytest.fixture(params=["broadcast", "shuffle"])
 def join_form(request, spark):
     """Packs below and above the broadcast threshold."""
@@ -39,12 +31,6 @@ def pack(spark, *words):
     return spark.createDataFrame([(w,) for w in words], "keyword string")
 
 
-def test_words_if_small(spark):
-    frame = pack(spark, "a", "b", "b", None)
-    assert packs.words_if_small(frame, 2) == ["a", "b"]
-    assert packs.words_if_small(frame, 1) is None
-
-
 def test_page_views(spark, join_form):
     rows = spark.createDataFrame([
         ("iOS 9", "c", ["a", "a", "x"]), ("Android", "", ["a", ""]), ("Windows", "c", ["a"]), ("ios", None, ["b"]), ("ios", "c", None),
@@ -56,21 +42,41 @@ def test_page_views(spark, join_form):
     assert got == [("IOS", "c", "a", 2)]
 
 
-def test_pairs_and_relations(spark, pack_form):
+def test_pairs_and_relations(spark):
     rows = spark.createDataFrame([("", "", ["a", "b", "a"]), ("", "", ["a->x", "a"]), ("", "", None), ("", "", [])], BIDS)
     pairs = keywords.keyword_pairs(rows, pack(spark, "a", "b", "a->x"))
     assert sorted(map(tuple, pairs.collect())) == [("a", "b", 1), ("a->x", "a", 1), ("b", "a", 1)]
     relations = keywords.keyword_relations(pairs)
     got = sorted(tuple(r) for r in relations.select("keyword", "neighbour", "n", "total").collect())
     assert got == [("a", "a->x", 1, 3), ("a", "b", 2, 3), ("a->x", "a", 1, 1), ("b", "a", 2, 2)]
-    lines = {r.value for r in keywords.relation_lines(relations).collect()}
-    assert '"a":{"relation":{"a->x":1,"b":2},"total":3}' in lines
-    with pytest.raises(ValueError):
-        keywords.relations_json(relations, max_neighbours=1)
-    assert json.loads("{" + ",".join(lines) + "}")["b"] == {"relation": {"a": 2}, "total": 2}
+    assert documents(keywords.relation_fragments(relations))["a"] == {"relation": {"a->x": 1, "b": 2}, "total": 3}
+
+
+def documents(fragments):
+    """The JSON values that the fragments make, by keyword."""
+    rows = sorted(fragments.collect(), key=lambda r: (r.keyword, r.part, r.neighbour or ""))
+    texts = {}
+    for r in rows:
+        texts[r.keyword] = texts.get(r.keyword, "") + r.fragment
+    return {k: v for text in texts.values() for k, v in json.loads("{" + text + "}").items()}
+
+
+def test_relations_with_quotes(spark):
+    words = ['a"b', "c\\d", "e\nf", "é"]
+    links = [(x, y, i) for i, x in enumerate(words) for y in words if x != y]
+    pairs = spark.createDataFrame(links, "a string, b string, n long")
+    got = documents(keywords.relation_fragments(keywords.keyword_relations(pairs)))
+    assert got.keys() == set(words) and got['a"b']["relation"].keys() == set(words) - {'a"b'}
 
 
-def test_pairs_against_brute_force(spark, pack_form, join_form):
+def test_relations_of_many_neighbours(spark):
+    pairs = spark.range(150_000).selectExpr("'hot' as a", "cast(id as string) as b", "1L as n")
+    fragments = keywords.relation_fragments(keywords.keyword_relations(pairs)).where("keyword = 'hot'")
+    assert fragments.count() == 150_002
+    assert fragments.where("part = 1 and fragment not like ',%'").count() == 1
+
+
+def test_pairs_against_brute_force(spark, join_form):
     random.seed(5)
     words = list("abcdef") + [""]
     arrays = [[random.choice(words) for _ in range(random.randint(0, 7))] for _ in range(60)]
@@ -113,7 +119,7 @@ def brute(rows, words_of):
     return {k + (a, b, int(c), e) for k, (a, b, c, e) in sums.items()}
 
 
-def test_first_match(spark, pack_form, join_form):
+def test_first_match(spark, join_form):
     rows = deliveries()
     got = keywords.first_match_report(spark.createDataFrame(rows, DELIVERIES), pack(spark, "a", "c", "c"))
     assert got.columns == ["d", "h", "keyword", "ad_id", "platform", "impression", "click", "cost", "bid"]
@@ -149,16 +155,37 @@ def test_pack_files(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [("7", "a"), ("7", "b"), ("8", "b"), ("8", "c\tmore")]
 
 
-def test_hot_keyword_join_can_be_split(spark):
-    """Both sides of the pack join are plain shuffles, the form the adaptive plan can split."""
+def plan_without_broadcast(spark, build):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = spark.createDataFrame(deliveries(), DELIVERIES)
-        words = rows.select(F.explode("keywords").alias("keyword"))
-        sums = keywords._array_sums(rows.withColumnRenamed("source", "platform"))
-        plan = keywords._joined_report(sums, words, [])._jdf.queryExecution().executedPlan().toString()
-        at = plan.index("SortMergeJoin")
-        sides = [line.strip(" :+-") for line in plan[at:].splitlines()[1:]]
-        assert sides[0].startswith("Sort") and sides[1].startswith("Exchange")
+        return build()._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keyword_join_can_be_split(spark):
+    """Both sides of the pack join are plain shuffles, the form the adaptive plan can split."""
+    rows = spark.createDataFrame(deliveries(), DELIVERIES)
+    words = rows.select(F.explode("keywords").alias("keyword"))
+    plan = plan_without_broadcast(spark, lambda: keywords._found(keywords._delivery_rows(rows), words))
+    at = plan.index("SortMergeJoin")
+    sides = [line.strip(" :+-") for line in plan[at:].splitlines()[1:]]
+    assert sides[0].startswith("Sort") and sides[1].startswith("Exchange")
+
+
+def test_arrays_do_not_cross_a_shuffle(spark):
+    """No exchange carries the keyword array, and pairs are made of pack words only."""
+    rows = spark.createDataFrame(deliveries(), DELIVERIES)
+    bids = rows.selectExpr("'ios' as os", "source as channel", "h as hour", "keywords")
+    words = pack(spark, "a", "b")
+    for build in (
+        lambda: keywords.first_match_report(rows, words), lambda: keywords.reach(bids, words, "p"),
+        lambda: keywords.keyword_pairs(bids, words),
+    ):
+        lines = plan_without_broadcast(spark, build).splitlines()
+        for at, line in enumerate(lines):
+            if "Exchange" in line:
+                below = lines[at + 1]
+                assert "keywords" not in below.split("[")[-1] or "posexplode" in below, below
+    plan = plan_without_broadcast(spark, lambda: keywords.keyword_pairs(bids, words))
+    assert plan.index("posexplode(words") < plan.index("LeftSemi")

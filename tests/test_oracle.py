@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from adtally.plans.oracle import ORACLE
+from adtally.plans.queries import QUERIES
 from tests.oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +15,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(oracle_sql()))
+@pytest.mark.parametrize("name", list(ORACLE))
 def test_query(spark, con, name):
     differences, rows = compare(spark, con, name, SF)
     assert not differences
@@ -21,7 +23,8 @@ def test_query(spark, con, name):
 
 
 def test_queries_without_twin():
-    assert set(queries()) - set(oracle_sql()) == {"ctr_model_metrics", "ctr_weights"}
+    assert set(QUERIES) - set(ORACLE) == {"ctr_model_metrics", "ctr_weights"}
+    assert QUERIES.items() <= queries().items() and ORACLE.items() <= oracle_sql().items()
 
 
 def test_entry(spark):
@@ -29,7 +32,7 @@ def test_entry(spark):
 
 
 PLANNED = [
-    name for name in queries()
+    name for name in QUERIES
     if not name.startswith(("stream_report", "stream_replay", "stream_sliding", "partition_", "ctr_"))
 ]
 

@@ -100,10 +100,7 @@ REACH = [
 ]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_reach(spark, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(keywords, "words_if_small", lambda pack: None)
+def test_reach(spark):
     pack = spark.createDataFrame([("a",), ("b",), ("a",)], "keyword string")
 
     def counts(**lists):
@@ -117,11 +114,19 @@ def test_reach(spark, monkeypatch, small):
     assert counts(size=["1x1"]) == []
 
 
+def document(fragments):
+    return "".join(r.fragment for r in sorted(fragments.collect(), key=lambda r: r.at))
+
+
+def test_long_json_message(spark):
+    rows = spark.range(120_000).selectExpr("cast(id as string) as channel", "id as n")
+    data = json.loads(document(json_message(rows, 3)))["data"]
+    assert len(data) == 120_000 and [r["channel"] for r in data[:3]] == ["0", "1", "10"]
+
+
 def test_json_message(spark):
     rows = spark.createDataFrame([("youku", "c2", 1, 3), ("youku", "c1", 2, 4)], "platform string, channel string, hour int, count long")
-    message = json_message(rows, 7).first().message
-    assert message == '{"id":7,"data":[{"platform":"youku","channel":"c1","hour":2,"count":4},{"platform":"youku","channel":"c2","hour":1,"count":3}]}'
-    assert json_message(rows.where("hour > 5"), 7).first().message == '{"id":7,"data":[]}'
-    with pytest.raises(ValueError):
-        json_message(rows, 7, max_rows=1)
+    assert document(json_message(rows, 7)) == '{"id":7,"data":[{"platform":"youku","channel":"c1","hour":2,"count":4},{"platform":"youku","channel":"c2","hour":1,"count":3}]}'
+    assert document(json_message(rows.where("hour > 5"), 7)) == '{"id":7,"data":[]}'
+    assert document(json_message(rows.union(rows), 7)).count('"c1"') == 2
     assert json.loads(json_rows(rows).where(F.col("json").contains("c1")).first().json)["count"] == 4
