@@ -10,8 +10,8 @@ representative; links are sought between classes only.
    copies) gives no pairs in step 1. Classes with such a value are looked at again with all ``KEPT``
    values. A class of which enough values are in short lists (``_cold_enough``) still shares two of them
    with every partner, so its hot values are not needed.
-3. The others consist of hot values mostly. In each of their lists the class whose values are most
-   widely held is the pivot, and every member is paired with the pivot alone: a large group of near
+3. The others consist of hot values mostly. In each hot list the class whose values are most widely
+   held is the pivot, and every member is paired with the pivot alone: a large group of near
    copies gives one pair per member.
 4. Pairs of unlike sizes go; for the others the sketch of the union estimates the similarity, and those
    far below the limit go. The rest are confirmed on the full sets of shingle hashes.
@@ -52,8 +52,9 @@ SHARED = 2
 COLD = 36
 #: A pair with an estimate below this is five standard deviations off a similarity of 0.8.
 LEAST_ESTIMATE = 0.55
-#: Two sketches with that estimate share 35 values, so each may leave aside pivots of so many.
-ASIDE = 17
+#: Two sketches with that estimate share 35 values, and 34 hot ones unless they share two in short
+#: lists, so each may leave aside pivots of so many.
+ASIDE = 16
 #: Rows and bytes of full sets in a block of step 5, and values compared at once.
 BLOCK_ROWS, BLOCK_BYTES, BLOCK_VALUES = 1000, 8 << 20, 4096
 
@@ -267,7 +268,9 @@ def links_of(documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     kinds = every.join(counts, "value").groupBy("key").agg(cold.alias("cold"), F.sum("held").alias("spread"))
     kinds = kinds.join(classes.select("key", "n"), "key")
     mostly = materialize(kinds.where(~_cold_enough()).select("key", "spread"), "mostly-hot")
-    members = materialize(every.join(mostly, "key").select("key", "spread", "value"), "hot-members")
+    widely = counts.where(F.col("held") > HOT).select("value")
+    values = classes.join(mostly, "key").select("key", "spread", F.explode(F.slice("sketch", 1, KEPT)).alias("value"))
+    members = materialize(values.join(widely, "value"), "hot-members")
     top = F.max(F.struct("spread", "key"))
     pivots = materialize(members.groupBy("value").agg(top.alias("top")).select("value", F.col("top.key").alias("pivot")), "pivots")
     to_pivot = members.join(pivots, "value").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).where("a != b")
