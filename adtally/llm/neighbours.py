@@ -161,7 +161,10 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = NEAREST, factor: f
             "vec_id": ids[~asks][which], "score": found.score[query, place],
         })
 
-    grouped = held.unionByName(asked).withColumn("vec_id", F.col("vec_id").cast("long")).groupBy("dim", "shard", "block")
+    # As many tasks as the session shuffles into: small in bytes, the groups are large in work.
+    tasks = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = held.unionByName(asked).withColumn("vec_id", F.col("vec_id").cast("long"))
+    grouped = both.repartition(tasks, "dim", "shard", "block").groupBy("dim", "shard", "block")
     found = grouped.applyInArrow(search, "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
