@@ -49,9 +49,11 @@ STREAM_COUNTS = _struct(
 )
 
 WINDOW_COUNTS = _struct(
-    window_start=T.TimestampType(), window_end=T.TimestampType(), word=_S, n=_L, batch_id=_L
+    window_start=T.TimestampType(), window_end=T.TimestampType(), word=_S, n=_L, stream_id=_S, batch_id=_L
 )
 
+FOLDED_COUNTS = T.StructType([*(f for f in STREAM_COUNTS if f.name != "batch_id"), T.StructField("upto", _L)])
+
 FEATURE_COLUMNS = _struct(column=_S, short=_S)
 FEATURE_INDEX = _struct(feature=_S, idx=_L)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
+import functools
 import tempfile
 import uuid
 
@@ -49,13 +52,56 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
+#: Folder of the job that runs now, below the application's.
+_job: contextvars.ContextVar[str] = contextvars.ContextVar("job", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses.
 
-    The paths of one application share a folder, which can be removed when it has ended.
+    The paths of one application share a folder, and those of a job (``owns_scratch``) a folder in it.
     """
     application = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/adtally/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/adtally/{application}/{_job.get()}{name}-{uuid.uuid4().hex}"
+
+
+def _store(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store that Spark can reach."""
+    store, folder = _store(spark, path)
+    store.delete(folder, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    store, folder = _store(spark, path)
+    return store.exists(folder)
+
+
+@contextlib.contextmanager
+def job_scratch(spark: SparkSession):
+    """What is materialized within goes when the block ends; its results must be stored elsewhere by then."""
+    name = f"job-{uuid.uuid4().hex}/"
+    token = _job.set(_job.get() + name)
+    path = f"{shared_root(spark)}/adtally/{spark.sparkContext.applicationId}/{_job.get()}"
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        drop_folder(spark, path)
+
+
+def owns_scratch(job):
+    """A job (first argument: the session) that returns no DataFrame and leaves no scratch tables."""
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with job_scratch(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -1,53 +1,28 @@
-"""Report rows in a database."""
+"""Report rows in a database.
 
-from __future__ import annotations
+Spark's writer can append rows or replace a whole table, nothing between. So rows are only ever
+appended: counters carry the names of their stream and batch, and ``sources.jdbc.running_counts``
+adds them up, each batch once. A slice is replaced in its Parquet form (``sinks.files``).
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.operators.merge import additive_merge
-from adtally.session import materialize
-
 
 def append_rows(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Insert rows; the write opens one connection per partition and sends batches."""
     df.write.jdbc(url, table, mode="append", properties=properties)
 
 
-def replace_slice(
-    stored: DataFrame,
-    fresh: DataFrame,
-    in_slice: Column,
-    url: str,
-    table: str,
-    properties: dict[str, str],
-) -> None:
-    """Replace the stored rows of a slice.
-
-    The new content is written to the shared folder before the table is truncated, because the
-    stored rows could not be read afterwards; a failed load can be repeated from those files.
-    """
-    kept = stored.where(F.coalesce(~in_slice, F.lit(True)))
-    _overwrite(kept.unionByName(fresh), url, table, properties)
-
-
-def merge_rows(
-    stored: DataFrame,
-    delta: DataFrame,
-    keys: Sequence[str],
-    measures: Sequence[str],
-    url: str,
-    table: str,
-    properties: dict[str, str],
-) -> None:
-    """Insert new keys and add the measures of known keys."""
-    _overwrite(additive_merge(stored, delta, keys, measures), url, table, properties)
+def named_counts(counts: DataFrame, stream_id: str, batch_id: int) -> DataFrame:
+    """Counters with the names of their stream and batch."""
+    return counts.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("long")})
 
 
-def _overwrite(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
-    content = materialize(df, "jdbc")
-    content.write.option("truncate", "true").jdbc(
-        url, table, mode="overwrite", properties=properties
-    )
+def append_counts(
+    counts: DataFrame, stream_id: str, batch_id: int, url: str, table: str, properties: dict[str, str]
+) -> None:
+    """Insert the counters of a batch at the cost of the batch; a batch that comes again does no harm."""
+    append_rows(named_counts(counts, stream_id, batch_id), url, table, properties)

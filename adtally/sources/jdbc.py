@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Slice = tuple[str, int]
 
@@ -37,3 +38,12 @@ def read_report(
 ) -> DataFrame:
     """Rows of the conditions, read by one task and one connection per condition."""
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
+
+
+def running_counts(stored: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Totals per key of counters that ``sinks.jdbc.append_counts`` stored.
+
+    A batch that was inserted again after a failure has equal rows, of which one counts.
+    """
+    once = stored.groupBy(*keys, "stream_id", "batch_id").agg(*[F.max(name).alias(name) for name in measures])
+    return once.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])

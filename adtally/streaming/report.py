@@ -1,14 +1,15 @@
 """The running report over a stream of log lines.
 
-Each micro-batch is reduced to counters and stored as its own partition, named by the query and
-the batch. A batch that is replayed after a failure replaces its partition, so nothing is counted
-twice and no ledger has to be kept in step with the data; the cost of a batch depends on the batch
-alone. The report is the sum over the partitions.
+Each micro-batch is reduced to counters and stored as its own partition below ``batches``, named by
+the query and the batch. A batch that is replayed after a failure replaces its partition, so nothing
+is counted twice and no ledger has to be kept in step with the data; the cost of a batch depends on the
+batch alone. ``fold`` adds the batches of closed days up below ``folded``; the report is the sum over
+the folded days and the batches that are in none of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,14 @@ from pyspark.sql.streaming import StreamingQuery
 from adtally.functions.dates import stamp_day, stamp_hour
 from adtally.functions.labels import source_alias
 from adtally.functions.numbers import int_or_zero, price_or_zero
-from adtally.operators.reports import GRAIN, counters, finish, reroll, stream_billing
+from adtally.operators.reports import GRAIN, MEASURES, counters, finish, reroll, stream_billing
 from adtally.operators.tracking import REJECT, parse_lines
-from adtally.schemas import STREAM_COUNTS
+from adtally.schemas import FOLDED_COUNTS, STREAM_COUNTS
+from adtally.session import drop_folder, folder_exists, materialize
 from adtally.sinks.files import replace_partitions
+from adtally.streaming.naming import BATCH, batch_stream
 
 KEYS = GRAIN["all_report"]
-BATCH = ["stream_id", "batch_id"]
 
 
 def stream_rows(lines: DataFrame) -> DataFrame:
@@ -67,7 +69,7 @@ def store_batch(
 ) -> None:
     """Store the counters of a batch; storing the same batch again replaces it."""
     named = counts.withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(batch_id))
-    replace_partitions(named, path, [*by, *BATCH])
+    replace_partitions(named, f"{path}/batches", [*by, *BATCH])
 
 
 def start_report(
@@ -76,21 +78,24 @@ def start_report(
     checkpoint: str,
     by: Sequence[str] = ("d", "h"),
     trigger: dict | None = None,
+    store: Callable[[DataFrame, str, int], None] | None = None,
 ) -> StreamingQuery:
     """Run the report over a stream of log lines.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``, for example
     ``{"processingTime": "10 seconds"}``; by default everything available is read once. The
     query id that names the partitions belongs to the checkpoint: a stream restarted without its
-    checkpoint is another stream.
+    checkpoint is another stream. ``store`` may put the counters of a batch elsewhere, for
+    example ``sinks.jdbc.append_counts``; it gets them with the names of the stream and the batch.
     """
     spark = lines.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not stream_id:
-            raise RuntimeError("the batch does not name its query")
-        store_batch(batch_counts(batch), path, stream_id, batch_id, by)
+        counts, stream_id = batch_counts(batch), batch_stream(spark)
+        if store:
+            store(counts, stream_id, batch_id)
+        else:
+            store_batch(counts, path, stream_id, batch_id, by)
 
     return (
         stream_rows(lines)
@@ -101,9 +106,23 @@ def start_report(
     )
 
 
+def _stored(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The newest folded rows of each day and stream, and the batches that they do not hold."""
+    batches = spark.read.schema(STREAM_COUNTS).parquet(f"{path}/batches")
+    if not folder_exists(spark, f"{path}/folded"):
+        return spark.createDataFrame([], FOLDED_COUNTS), batches
+    folded = spark.read.schema(FOLDED_COUNTS).parquet(f"{path}/folded")
+    newest = folded.groupBy("d", "stream_id").agg(F.max("upto").alias("upto"))
+    known = newest.withColumnRenamed("upto", "held")
+    fresh = batches.join(known, ["d", "stream_id"], "left").where("held is null or batch_id > held").drop("held")
+    return folded.join(newest, ["d", "stream_id", "upto"], "left_semi"), fresh
+
+
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """The running totals per report key, still mergeable."""
-    return reroll(spark.read.schema(STREAM_COUNTS).parquet(path), KEYS)
+    folded, batches = _stored(spark, path)
+    columns = [*KEYS, *MEASURES]
+    return reroll(folded.select(*columns).unionByName(batches.select(*columns)), KEYS)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
@@ -111,10 +130,29 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return finish(read_counts(spark, path), positive_only=False)
 
 
-def fold(spark: SparkSession, path: str, closed: str, out: str) -> None:
-    """Write the totals of the slices that ``closed`` selects as one table.
+def fold(spark: SparkSession, path: str, closed: str) -> None:
+    """Add up the batches of the days that ``closed`` (a condition on ``d``) selects.
 
-    Run for hours that get no more data, it bounds the number of batch partitions a reader has
-    to list. The result is a pure function of the batches, so it can be repeated at any time.
+    A folded day of a stream says up to which batch it goes. Until it is there, readers use its
+    batches; from then on they leave those out, whether or not the folders are gone already. Later
+    batches for the day still count, and folding again takes them in. It may be repeated at any time.
     """
-    replace_partitions(read_counts(spark, path).where(closed), out)
+    folded, batches = _stored(spark, path)
+    batches = batches.where(closed)
+    upto = batches.groupBy("d", "stream_id").agg(F.max("batch_id").alias("upto"))
+    rows = batches.drop("batch_id").unionByName(folded.drop("upto").join(upto, ["d", "stream_id"], "left_semi"))
+    sums = rows.groupBy(*KEYS, "stream_id").agg(
+        *[F.sum(name).cast(FOLDED_COUNTS[name].dataType).alias(name) for name in MEASURES]
+    )
+    kept = materialize(sums.join(upto, ["d", "stream_id"]), "folded-days")
+    if kept.isEmpty():
+        return
+    replace_partitions(kept, f"{path}/folded", ["d", "stream_id", "upto"])
+    done = {(r.d, r.stream_id): r.upto for r in kept.select("d", "stream_id", "upto").distinct().collect()}
+    for kind, schema, number in (("batches", STREAM_COUNTS, "batch_id"), ("folded", FOLDED_COUNTS, "upto")):
+        stored = spark.read.schema(schema).parquet(f"{path}/{kind}").where(closed)
+        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
+        for r in stored.select("d", "stream_id", number, folder).distinct().collect():
+            last = done.get((r.d, r.stream_id))
+            if last is not None and (r[number] <= last if kind == "batches" else r[number] < last):
+                drop_folder(spark, r.folder)

@@ -7,22 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adtally.schemas import WINDOW_COUNTS
-from adtally.session import DEFAULTS
+from adtally.session import DEFAULTS, drop_folder, materialize
 from adtally.sinks.files import replace_partitions
+from adtally.streaming.naming import BATCH, batch_stream
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def sliding_counts(
     lines: DataFrame,
+    watermark: str | None,
     size: str = "20 seconds",
     slide: str = "10 seconds",
-    watermark: str | None = None,
 ) -> DataFrame:
     """Occurrences of each word of ``value`` in event-time windows over ``ts``.
 
-    Works on a table and on a stream. A watermark lets a stream forget old windows; without one
-    every late line still counts.
+    Works on a table and on a stream. The watermark lets a stream forget old windows; None keeps every
+    window, which only a source that ends can afford.
     """
     if watermark:
         lines = lines.withWatermark("ts", watermark)
@@ -41,14 +42,17 @@ def sliding_counts(
 def start_sliding_counts(
     counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Store the windows each batch changes, one partition per batch.
+    """Store the windows each batch changes, one partition per stream and batch.
 
-    The state is kept by RocksDB, on disk, since the number of open windows grows with the data.
+    The stream is named by the query id, which belongs to the checkpoint: streams on one path do not
+    touch each other, and one that is started without its checkpoint is another stream. The state is
+    kept by RocksDB, on disk, since the number of open windows grows with the data.
     """
-    counts.sparkSession.conf.set(STATE_STORE, DEFAULTS[STATE_STORE])
+    spark = counts.sparkSession
+    spark.conf.set(STATE_STORE, DEFAULTS[STATE_STORE])
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id"])
+        replace_partitions(_named(batch, batch_stream(spark), batch_id), path, BATCH)
 
     return (
         counts.writeStream.outputMode("update")
@@ -59,9 +63,38 @@ def start_sliding_counts(
     )
 
 
+def _named(rows: DataFrame, stream_id: str, batch_id: int) -> DataFrame:
+    return rows.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("long")})
+
+
+def _newest(stored: DataFrame) -> DataFrame:
+    """The newest count of every window and word of each stream."""
+    return stored.groupBy("stream_id", "window_start", "window_end", "word").agg(F.max_by("n", "batch_id").alias("n"))
+
+
 def read_sliding_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The newest count of every window and word."""
+    """The counts of every window and word, all streams together."""
+    newest = _newest(spark.read.schema(WINDOW_COUNTS).parquet(path))
+    return newest.groupBy("window_start", "window_end", "word").agg(F.sum("n").alias("n"))
+
+
+def fold_sliding_counts(spark: SparkSession, path: str) -> None:
+    """Put the batches of each stream that cannot come again into the last of them.
+
+    That is every batch but the newest, which a stream that failed may store anew. The last one gets
+    the newest count of each window up to it, so that a reader finds the same counts before, while and
+    after the older partitions go, and however often this is repeated.
+    """
     stored = spark.read.schema(WINDOW_COUNTS).parquet(path)
-    return stored.groupBy("window_start", "window_end", "word").agg(
-        F.max_by("n", "batch_id").alias("n")
-    )
+    batches: dict[str, list[int]] = {}
+    for row in stored.select(*BATCH).distinct().collect():
+        batches.setdefault(row.stream_id, []).append(row.batch_id)
+    for stream_id, numbers in batches.items():
+        *older, last = sorted(numbers)[:-1] or [None]
+        if not older:
+            continue
+        rows = stored.where((F.col("stream_id") == stream_id) & (F.col("batch_id") <= last))
+        kept = materialize(_newest(rows).drop("stream_id"), "folded-windows")
+        replace_partitions(_named(kept, stream_id, last), path, BATCH)
+        for number in older:
+            drop_folder(spark, f"{path}/stream_id={stream_id}/batch_id={number}")

@@ -9,9 +9,10 @@ from adtally.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false"
+        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

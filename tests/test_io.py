@@ -88,16 +88,16 @@ def test_jdbc_predicates():
         jdbc.slice_predicates([("1 or 1=1", 0)])
 
 
-def test_jdbc_content(spark, monkeypatch):
-    """What would be written; no database is started."""
-    written = []
-    monkeypatch.setattr(jdbc_sink, "_overwrite", lambda df, *target: written.append((sorted(map(tuple, df.collect()), key=str), target)))
-    old = spark.createDataFrame([("a", 1, 5), ("b", 2, 6), (None, None, 7)], "k string, h int, n long")
-    new = spark.createDataFrame([("a", 1, 50)], "k string, h int, n long")
-    jdbc_sink.replace_slice(old, new, F.col("h") == 1, "url", "t", {})
-    jdbc_sink.merge_rows(old, new, ["k", "h"], ["n"], "url", "t", {})
-    assert written[0] == ([("a", 1, 50), ("b", 2, 6), (None, None, 7)], ("url", "t", {}))
-    assert written[1][0] == [("a", 1, 55), ("b", 2, 6), (None, None, 7)]
+def test_jdbc_counts(spark):
+    """Equal rows of one batch count once; a read of some hours leaves the others as they are."""
+    first = jdbc_sink.named_counts(spark.createDataFrame([("a", 1, 3), ("a", 2, 4), ("b", 3, 9)], "k string, h int, n long"), "s", 0)
+    again = jdbc_sink.named_counts(spark.createDataFrame([("a", 1, 5)], "k string, h int, n long"), "s", 1)
+    stored = first.union(first).union(again)
+    got = sorted(map(tuple, jdbc.running_counts(stored, ["k", "h"], ["n"]).collect()))
+    assert got == [("a", 1, 8), ("a", 2, 4), ("b", 3, 9)]
+    some = jdbc.running_counts(stored.where("h < 3"), ["k", "h"], ["n"]).collect()
+    assert sorted(map(tuple, some)) == got[:2] and stored.where("h = 3").count() == 2
+
 
 
 def test_shared_root(spark, monkeypatch):

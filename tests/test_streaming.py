@@ -4,6 +4,8 @@ import os
 from pyspark.sql import functions as F
 
 from adtally.operators import reports
+from adtally.sinks import jdbc as jdbc_sink
+from adtally.sources import jdbc as jdbc_source
 from adtally.sources.tables import read_slice
 from adtally.streaming import report, windows
 
@@ -111,14 +113,56 @@ def test_slice_condition_prunes_partitions(spark, tmp_path):
 
 
 def test_fold(spark, tmp_path):
+    """Folding changes no total, also with late rows, repeated, or broken off before the batches go."""
     root = str(tmp_path)
-    write(f"{root}/in", "1", line("2024010207"), line("2024010208"))
+    write(f"{root}/in", "1", line("2024010207"), line("2024010308"))
     write(f"{root}/in", "2", line("2024010207"))
     run(spark, root)
+    before = totals(spark, root)
+    folders = lambda kind: sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "counts" / kind).glob("d=*/**/*=*") if p.is_dir())
+    held = len(folders("batches"))
+    report.fold(spark, f"{root}/counts", "d = '20240102'")
+    assert totals(spark, root) == before and len(folders("batches")) < held
+    write(f"{root}/in", "3", line("2024010207"), line("2024010209"))
+    run(spark, root)
+    late = totals(spark, root)
+    assert late[("1", "baidu_bc", "20240102", 7)][0] == before[("1", "baidu_bc", "20240102", 7)][0] + 1
     for _ in range(2):
-        report.fold(spark, f"{root}/counts", "d = '20240102' and h < 8", f"{root}/folded")
-    rows = read_slice(spark, f"{root}/folded").collect()
-    assert [(r.impression, float(r.billed), r.h) for r in rows] == [(2, 10.0, 7)]
+        report.fold(spark, f"{root}/counts", "d = '20240102'")
+        assert totals(spark, root) == late
+    stored = read_slice(spark, f"{root}/counts/folded").where("d = '20240102'")
+    assert stored.select("upto").distinct().count() == 1
+
+
+def test_fold_without_removal(spark, tmp_path, monkeypatch):
+    """Readers between the fold and the removal of its batches count each row once."""
+    root = str(tmp_path)
+    write(f"{root}/in", "1", line("2024010207"))
+    write(f"{root}/in", "2", line("2024010207"))
+    run(spark, root)
+    before = totals(spark, root)
+    monkeypatch.setattr(report, "drop_folder", lambda spark, path: None)
+    for _ in range(2):
+        report.fold(spark, f"{root}/counts", "d <= '20240102'")
+        assert totals(spark, root) == before
+
+
+def test_counts_to_a_database(spark, tmp_path):
+    """Counters of batches are appended; a batch that comes again and other slices do no harm."""
+    root = str(tmp_path)
+    write(f"{root}/in", "1", line("2024010207"), line("2024010208"))
+    write(f"{root}/in", "2", line("2024010207"), line("2024010209"))
+
+    def append(counts, stream_id, batch_id):
+        for _ in range(2):
+            jdbc_sink.named_counts(counts, stream_id, batch_id).write.mode("append").parquet(f"{root}/table")
+
+    run(spark, root, store=append)
+    stored = spark.read.parquet(f"{root}/table")
+    rows = jdbc_source.running_counts(stored.where("h in (7, 8)"), report.KEYS, reports.MEASURES).collect()
+    assert {(r.h, r.impression) for r in rows} == {(7, 2), (8, 1)}
+    every = jdbc_source.running_counts(stored, report.KEYS, reports.MEASURES).collect()
+    assert {(r.h, r.impression) for r in every} == {(7, 2), (8, 1), (9, 1)}
 
 
 WORDS = [("2024-01-01 00:00:05", "a b a"), ("2024-01-01 00:00:12", "a "), ("2024-01-01 00:00:31", "b  c"), ("2024-01-01 00:00:31", "   ")]
@@ -133,7 +177,7 @@ def shown(df):
 
 
 def test_sliding_counts(spark):
-    assert shown(windows.sliding_counts(words(spark))) == [
+    assert shown(windows.sliding_counts(words(spark), None)) == [
         ("00:00:00", "a", 3), ("00:00:00", "b", 1), ("00:00:10", "a", 1),
         ("00:00:20", "", 1), ("00:00:20", "b", 1), ("00:00:20", "c", 1),
         ("00:00:30", "", 1), ("00:00:30", "b", 1), ("00:00:30", "c", 1),
@@ -146,6 +190,51 @@ def test_sliding_stream_equals_batch(spark, tmp_path):
     for at in range(2):
         words(spark).where(F.col("ts").cast("string").endswith("31") == F.lit(bool(at))).coalesce(1).write.mode("append").parquet(f"{root}/in")
     lines = spark.readStream.schema("ts timestamp, value string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    counts = windows.sliding_counts(lines)
+    counts = windows.sliding_counts(lines, None)
     windows.start_sliding_counts(counts, f"{root}/counts", f"{root}/state").awaitTermination()
-    assert shown(windows.read_sliding_counts(spark, f"{root}/counts")) == shown(windows.sliding_counts(words(spark)))
+    assert shown(windows.read_sliding_counts(spark, f"{root}/counts")) == shown(windows.sliding_counts(words(spark), None))
+
+
+def stream_words(spark, root, folder, state):
+    lines = spark.readStream.schema("ts timestamp, value string").option("maxFilesPerTrigger", 1).parquet(folder)
+    started = windows.start_sliding_counts(windows.sliding_counts(lines, "1 minute"), f"{root}/counts", state)
+    started.awaitTermination()
+    return started
+
+
+def put(spark, folder, rows):
+    frame = spark.createDataFrame(rows, "ts string, value string").withColumn("ts", F.col("ts").cast("timestamp"))
+    frame.coalesce(1).write.mode("append").parquet(folder)
+    return frame
+
+
+def test_sliding_streams_share_a_path(spark, tmp_path):
+    """Two streams, one of them restarted without its checkpoint, and folding in between."""
+    root = str(tmp_path)
+    rows = [[(f"2024-01-01 00:0{n}:0{i}", f"w{i} x") for i in range(4)] for n in range(5)]
+    for n in range(3):
+        put(spark, f"{root}/one", rows[n])
+    stream_words(spark, root, f"{root}/one", f"{root}/state-1")
+    put(spark, f"{root}/two", rows[3])
+    stream_words(spark, root, f"{root}/two", f"{root}/state-2")
+    put(spark, f"{root}/later", rows[4])
+    stream_words(spark, root, f"{root}/later", f"{root}/state-lost")
+    every = spark.createDataFrame([r for part in rows for r in part], "ts string, value string").withColumn("ts", F.col("ts").cast("timestamp"))
+    want = shown(windows.sliding_counts(every, None))
+    assert shown(windows.read_sliding_counts(spark, f"{root}/counts")) == want
+    folders = lambda: len(list((tmp_path / "counts").glob("stream_id=*/batch_id=*")))
+    held = folders()
+    for _ in range(2):
+        windows.fold_sliding_counts(spark, f"{root}/counts")
+        assert shown(windows.read_sliding_counts(spark, f"{root}/counts")) == want
+    assert folders() < held
+
+
+def test_watermark_bounds_the_state(spark, tmp_path):
+    """After a later batch the state holds fewer windows than were ever open."""
+    root = str(tmp_path)
+    for n in range(4):
+        put(spark, f"{root}/in", [(f"2024-01-01 0{n}:00:00", " ".join(f"w{i}" for i in range(50)))])
+    started = stream_words(spark, root, f"{root}/in", f"{root}/state")
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in started.recentProgress if p["stateOperators"]]
+    assert rows[-1] <= 200 < 4 * 100
