@@ -44,14 +44,13 @@ def _first_hit(text: Column, rules: list[tuple[list[str], str]], default: str) -
     return label
 
 
+#: Signs of the systems in any letter case, first hit first.
+SYSTEMS = [(["windows"], "Windows"), (["mac"], "Mac"), (["linux"], "Linux"), (["ios"], "IOS"), (["android"], "Android")]
+
+
 def os_class(os: Column) -> Column:
     """System of a traffic report row, any letter case; NULL gives ``Other``."""
-    return _first_hit(
-        F.lower(os),
-        [(["windows"], "Windows"), (["mac"], "Mac"), (["linux"], "Linux"), (["ios"], "IOS"),
-         (["android"], "Android")],
-        "Other",
-    )
+    return _first_hit(F.lower(os), SYSTEMS, "Other")
 
 
 def os_class_request(os: Column) -> Column:
@@ -126,12 +125,5 @@ def source_alias(source: Column) -> Column:
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Make ``checkos(os)`` callable from SQL; the body is SQL, so it is inlined by Catalyst."""
-    spark.sql("""
-        CREATE OR REPLACE TEMPORARY FUNCTION checkos(os STRING) RETURNS STRING
-        RETURN CASE WHEN contains(lower(os), 'windows') THEN 'Windows'
-                    WHEN contains(lower(os), 'mac') THEN 'Mac'
-                    WHEN contains(lower(os), 'linux') THEN 'Linux'
-                    WHEN contains(lower(os), 'ios') THEN 'IOS'
-                    WHEN contains(lower(os), 'android') THEN 'Android'
-                    ELSE 'Other' END
-    """)
+    cases = " ".join(f"WHEN contains(lower(os), '{sign}') THEN '{name}'" for signs, name in SYSTEMS for sign in signs)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION checkos(os STRING) RETURNS STRING RETURN CASE {cases} ELSE 'Other' END")

@@ -22,17 +22,19 @@ class Trained:
     area_under_roc: float
 
 
+def fit(rows: DataFrame, max_iter: int = 100) -> LogisticRegressionModel:
+    """Logistic regression without intercept and penalty; the optimiser is L-BFGS."""
+    return LogisticRegression(fitIntercept=False, regParam=0.0, maxIter=max_iter, tol=1e-6).fit(rows)
+
+
 def train(
     rows: DataFrame, train_share: float = 0.8, test_share: float = 0.2, max_iter: int = 100
 ) -> Trained:
-    """Fit on a random share of the rows and measure on the rest.
-
-    No intercept and no penalty; the optimiser is L-BFGS.
-    """
+    """Fit on a random share of the rows and measure on the rest."""
     training, test = rows.randomSplit([train_share, test_share], seed=SEED)
-    model = LogisticRegression(fitIntercept=False, regParam=0.0, maxIter=max_iter, tol=1e-6).fit(training)
-    scored = materialize(score(model, test), "scored")
-    return Trained(model, _area(scored, "areaUnderPR"), _area(scored, "areaUnderROC"))
+    model = fit(training, max_iter)
+    measured = areas(materialize(score(model, test), "scored"))
+    return Trained(model, measured["auPRC"], measured["auROC"])
 
 
 def score(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
@@ -41,9 +43,23 @@ def score(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).select("label", probability.alias("score"))
 
 
-def _area(scored: DataFrame, metric: str) -> float:
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", metricName=metric)
-    return evaluator.evaluate(scored)
+def areas(scored: DataFrame) -> dict[str, float]:
+    """Areas under both curves of stored (label, score) rows; every distinct score is a point of the curve."""
+    return {
+        name: BinaryClassificationEvaluator(rawPredictionCol="score", metricName=metric, numBins=0).evaluate(scored)
+        for name, metric in (("auPRC", "areaUnderPR"), ("auROC", "areaUnderROC"))
+    }
+
+
+def feature_means(model: LogisticRegressionModel, rows: DataFrame, index: DataFrame) -> DataFrame:
+    """(feature, mean_label, mean_score) over the rows that have each feature."""
+    score_of = F.get(vector_to_array("probability"), F.lit(1))
+    held = F.filter(
+        F.transform(vector_to_array("features"), lambda x, at: F.when(x != 0, (at + 1).cast("bigint"))), lambda at: at.isNotNull()
+    )
+    each = model.transform(rows).select("label", score_of.alias("score"), F.explode(held).alias("idx"))
+    means = each.groupBy("idx").agg(F.avg("label").alias("mean_label"), F.avg("score").alias("mean_score"))
+    return means.join(index, "idx").select("feature", "mean_label", "mean_score")
 
 
 def metrics_frame(spark: SparkSession, trained: Trained) -> DataFrame:

@@ -117,8 +117,21 @@ def time_bounds(rows: DataFrame) -> DataFrame:
     )
 
 
-def keyword_kpis(report: DataFrame) -> DataFrame:
-    """Totals per keyword with click rate and cost per mille, most impressions first."""
+def keyword_kpis(
+    report: DataFrame, start: str | None = None, end: str | None = None,
+    ad_id: str | None = None, platform: str | None = None,
+) -> DataFrame:
+    """Totals per keyword with click rate and cost per mille, most impressions first.
+
+    Days ``start`` to ``end`` (inclusive), one ad and one platform, where they are given.
+    """
+    if start is not None:
+        report = report.where(F.col("d") >= start)
+    if end is not None:
+        report = report.where(F.col("d") <= end)
+    for name, value in (("ad_id", ad_id), ("platform", platform)):
+        if value is not None:
+            report = report.where(F.col(name) == value)
     totals = report.groupBy("keyword").agg(
         *[F.sum(name).alias(name) for name in ("impression", "click", "cost")]
     )

@@ -105,7 +105,7 @@ def deliveries(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     return rows.select(
         F.col("l_orderkey").alias("click_uuid"),
         _compact_day("l_shipdate").alias("d"),
-        F.lit(0).alias("h"),
+        (F.col("l_orderkey") % 24).cast("int").alias("h"),
         F.when(F.col("l_linenumber") == 1, 0).otherwise(1).alias("request_time"),
         _text(F.col("l_suppkey") % 20).alias("ad_id"),
         F.col("l_linestatus").alias("source"),

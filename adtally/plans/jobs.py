@@ -6,12 +6,14 @@ and where it applies by hour ``h``. Running a job again for the same slice gives
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.operators import anomaly, ctr, features, keywords, profiles, reports, traffic
 from adtally.operators.tracking import normalize, parse_lines, rejected_lines
-from adtally.session import materialize
+from adtally.session import materialize, owns_scratch
 from adtally.sinks.exports import json_message, save_model, write_fragments
 from adtally.sinks.files import replace_partitions, write_csv, write_lines
 from adtally.sources.logs import read_log_lines
@@ -33,6 +35,7 @@ def _in_slice(df: DataFrame, **values) -> DataFrame:
 # Tracking
 
 
+@owns_scratch
 def clean_hour(
     spark: SparkSession, logs: str | list[str], root: str, day: str, hour: int, rejects: str | None = None
 ) -> None:
@@ -44,22 +47,34 @@ def clean_hour(
         write_lines(rejected_lines(parsed), rejects, gzip=True)
 
 
-def hourly_reports(spark: SparkSession, root: str, day: str, hour: int) -> None:
-    """All four reports of an hour from one scan of the tracking table."""
+@owns_scratch
+def hourly_reports(
+    spark: SparkSession, root: str, day: str, hour: int, publish: Callable[[DataFrame, str], None] | None = None
+) -> None:
+    """All four reports of an hour from one scan of the tracking table.
+
+    ``publish`` gets the stored rows of each report in the form of the report database and its name,
+    for example ``lambda rows, name: append_rows(rows, url, name, properties)``.
+    """
     rows = read_slice(spark, f"{root}/tracking", start=day, end=day, hour=hour)
     finest = materialize(reports.rollup(rows, reports.FINEST), "rollup")
     for name, report in reports.reports_from(finest).items():
         replace_partitions(report, f"{root}/{name}")
+        if publish:
+            stored = read_slice(spark, f"{root}/{name}", start=day, end=day, hour=hour)
+            publish(reports.database_rows(stored), name)
 
 
 # Traffic
 
 
+@owns_scratch
 def daily_traffic(spark: SparkSession, root: str, day: str) -> None:
     bids = read_slice(spark, f"{root}/bid_request", start=day, end=day)
     replace_partitions(_in_slice(traffic.daily_traffic(bids), d=day), f"{root}/traffic_report", ["d"])
 
 
+@owns_scratch
 def traffic_request(spark: SparkSession, root: str, request: str, out: str) -> None:
     """CSV lines of an on-demand report: the requested columns, then the count."""
     spec = ReportSpec.from_json(request)
@@ -70,6 +85,7 @@ def traffic_request(spark: SparkSession, root: str, request: str, out: str) -> N
 # Keywords
 
 
+@owns_scratch
 def keyword_page_views(
     spark: SparkSession, root: str, pack: str, day: str, by_channel: bool = False
 ) -> None:
@@ -80,6 +96,7 @@ def keyword_page_views(
     replace_partitions(_in_slice(counts, d=day), f"{root}/{table}", ["system", "d"])
 
 
+@owns_scratch
 def keyword_relation_lines(
     spark: SparkSession, root: str, pack: str, day: str, out: str
 ) -> None:
@@ -102,6 +119,7 @@ def reach_request(
     return json_message(keywords.reach(traffic.reach_rows(bids, spec), pack, spec.platform), spec.id)
 
 
+@owns_scratch
 def keyword_hour(
     spark: SparkSession, root: str, pack_map: str, packs: str, day: str, hour: int, scope: str = "hour"
 ) -> bool:
@@ -122,9 +140,19 @@ def keyword_hour(
     return True
 
 
+@owns_scratch
+def keyword_request(
+    spark: SparkSession, root: str, out: str, start: str, end: str, ad_id: str | None = None, platform: str | None = None
+) -> None:
+    """The key figures of a keyword request as CSV, over stored keyword reports."""
+    rows = read_slice(spark, f"{root}/keyword_report", start=start, end=end)
+    write_csv(reports.keyword_kpis(rows, ad_id=ad_id, platform=platform), out)
+
+
 # Anomaly detection
 
 
+@owns_scratch
 def viewing_profiles(spark: SparkSession, root: str, start: str, end: str) -> None:
     """Device and IP profiles of a day range, stored under its last day."""
     bids = read_slice(spark, f"{root}/bid_request", start=start, end=end)
@@ -137,6 +165,7 @@ def _profile(spark: SparkSession, root: str, target: str, day: str) -> DataFrame
     return read_slice(spark, f"{root}/{target}_profile", start=day, end=day).drop("d")
 
 
+@owns_scratch
 def blocklists(
     spark: SparkSession,
     root: str,
@@ -161,6 +190,7 @@ def blocklists(
         write_lines(stored.select("name"), f"{out}/{target}/{day}", files)
 
 
+@owns_scratch
 def detection(spark: SparkSession, root: str, day: str, parts: int) -> None:
     """Scores of all profiles of a day and their histograms."""
     scorers = {"device": anomaly.device_scores, "ip": anomaly.ip_scores}
@@ -173,6 +203,7 @@ def detection(spark: SparkSession, root: str, day: str, parts: int) -> None:
         replace_partitions(bins, f"{root}/sections", ["d", "target"])
 
 
+@owns_scratch
 def unlikely_names(
     spark: SparkSession,
     root: str,
@@ -192,6 +223,7 @@ def unlikely_names(
 # Conversion model
 
 
+@owns_scratch
 def conversion_model(
     spark: SparkSession,
     root: str,

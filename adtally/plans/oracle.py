@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from adtally.functions.labels import TV_CHANNELS
 from adtally.plans.adapters import PACK_WORDS
 from adtally.plans.queries import BOUNDARY, PARTS, REACH_WORDS
 
@@ -34,7 +35,7 @@ BIDS = """bids AS (
  FROM (SELECT *, CAST(props->>'$.k' AS BIGINT) AS k FROM events))"""
 
 DELIVERIES = """deliveries AS (
- SELECT l_orderkey AS click_uuid, strftime(l_shipdate, '%Y%m%d') AS d, 0 AS h,
+ SELECT l_orderkey AS click_uuid, strftime(l_shipdate, '%Y%m%d') AS d, CAST(l_orderkey % 24 AS INT) AS h,
   CASE WHEN l_linenumber = 1 THEN 0 ELSE 1 END AS request_time,
   CAST(l_suppkey % 20 AS VARCHAR) AS ad_id, l_linestatus AS source, 1 AS impression,
   CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS click, CAST(l_quantity AS INT) AS bidprice,
@@ -93,15 +94,15 @@ DAY = "concat(d[1:4], '-', d[5:6], '-', d[7:8])"
 SIZE = "concat(width, 'x', height)"
 
 REACH = f"""reach AS (
- SELECT channel, h AS hour, {SIZE} AS size,
+ SELECT CASE channel WHEN 'c3' THEN '{TV_CHANNELS[0]}' ELSE channel END AS channel, h AS hour, {SIZE} AS size,
   CASE WHEN site_or_app_name IS NULL OR site_or_app_name = '' THEN 'other'
    WHEN site_or_app_name LIKE '%客户端%' THEN 'Mobile' ELSE 'PC' END AS device,
-  CASE WHEN os LIKE '%windows%' THEN 'Windows' WHEN os LIKE '%linux%' THEN 'Linux'
-   WHEN os LIKE '%mac%' THEN 'Mac' WHEN os LIKE '%iphone%' OR os LIKE '%ipad%' OR os LIKE '%ios%' THEN 'IOS'
-   WHEN os LIKE '%android%' THEN 'Android' ELSE 'Other' END AS system,
-  CASE WHEN CAST(tagid AS INT) IN (25,26,27,28,29,30,55,79,82,58,87) THEN 'augc'
-   WHEN CAST(tagid AS INT) IN (31,32,34,35,37,38,54,78,81,57,86) THEN 'kugc'
-   WHEN CAST(tagid AS INT) IN (33,19,36,20,39,21,56,80,83,59,88) THEN 'zugc' ELSE tagid END AS placementid
+  CASE WHEN lower(os) LIKE '%windows%' THEN 'Windows' WHEN lower(os) LIKE '%linux%' THEN 'Linux'
+   WHEN lower(os) LIKE '%mac%' THEN 'Mac' WHEN lower(os) LIKE '%iphone%' OR lower(os) LIKE '%ipad%' OR lower(os) LIKE '%ios%' THEN 'IOS'
+   WHEN lower(os) LIKE '%android%' THEN 'Android' ELSE 'Other' END AS system,
+  CASE WHEN CAST(tagid AS INT) IN (25,26,27,28,29,30,55,79,82,58,87) THEN CASE channel WHEN 'c3' THEN 'atv' ELSE 'augc' END
+   WHEN CAST(tagid AS INT) IN (31,32,34,35,37,38,54,78,81,57,86) THEN CASE channel WHEN 'c3' THEN 'ktv' ELSE 'kugc' END
+   WHEN CAST(tagid AS INT) IN (33,19,36,20,39,21,56,80,83,59,88) THEN CASE channel WHEN 'c3' THEN 'ztv' ELSE 'zugc' END ELSE tagid END AS placementid
  FROM bids WHERE list_has_any(keywords, [{", ".join(f"'{w}'" for w in REACH_WORDS)}]) AND channel <> '')"""
 
 
@@ -186,7 +187,7 @@ INDEX = """feature_ids AS (
   SELECT DISTINCT 1, concat('cr_', creative_id) FROM deliveries WHERE creative_id IS NOT NULL))"""
 
 LABELLED = """labelled AS (
- SELECT click_uuid, subchannel, creative_id, CASE WHEN o_orderkey IS NULL THEN 0 ELSE 1 END AS label
+ SELECT click_uuid, subchannel, creative_id, price, CASE WHEN o_orderkey IS NULL THEN 0 ELSE 1 END AS label
  FROM deliveries LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
   ON click_uuid = o_orderkey)"""
 
@@ -229,6 +230,15 @@ SELECT client_id, group_id, ad_id, creative_id, concat('from', client_id) AS ref
   CAST(event_id AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS did, CAST(event_id AS VARCHAR) AS imp_id,
   placement_id, d, h
 FROM tracking WHERE source IN ('letv', 'baidu_bc', 'youku', 'tencent', 'iqiyi')""",
+    "tracking_rejects": _with(TRACKING) + """
+SELECT CASE WHEN event_id % 5 = 1 THEN concat(d, lpad(CAST(h AS VARCHAR), 2, '0'), chr(9), '-', chr(9), 'no json ', event_id)
+  ELSE concat(d, lpad(CAST(h AS VARCHAR), 2, '0'), chr(9), event_id) END AS value
+FROM tracking WHERE event_id % 5 = 1 OR event_id % 7 = 2""",
+    "stream_rows_dirty": _with(TRACKING) + f"""
+SELECT client_id, group_id, ad_id, creative_id,
+  CASE WHEN event_id % 11 = 0 THEN concat('t', tag_id) ELSE tag_id END AS tag_id, channel_id, placement_id, source,
+  {PLATFORM} AS platform, event, CAST(coalesce(price, 0) AS DOUBLE) AS price, d, h
+FROM tracking WHERE event_id % 13 <> 0 AND event_id % 5 <> 1 AND event_id % 7 <> 2 AND event_id % 9 <> 4""",
     **{name: _with(TRACKING) + _finished(_counts(keys)) for name, keys in REPORT_KEYS.items()},
     "reports_from_rollup": _with(TRACKING) + " UNION ALL ".join(
         f"""SELECT '{name}' AS report, count(*) AS rows, CAST(sum(impression) AS BIGINT) AS impression,
@@ -259,10 +269,10 @@ FROM bids WHERE d BETWEEN '20240101' AND '20240131' AND tagid IN ('1', '2', '3',
     "traffic_dynamic_iqiyi": _with(BIDS) + f"""
 SELECT {DAY} AS day, h AS hour, '爱奇艺' AS platform, count(*) AS count
 FROM bids WHERE d BETWEEN '20240101' AND '20240120' GROUP BY ALL""",
-    "reach_estimate": _with(BIDS, REACH) + """
+    "reach_estimate": _with(BIDS, REACH) + f"""
 SELECT 'youku' AS platform, channel, hour, count(*) AS count FROM reach
-WHERE channel IN ('c0', 'c1', 'c2', 'c3', 'c5') AND device IN ('Mobile', 'PC') AND size = '640x480'
- AND system = 'Other' AND (placementid IN ('augc', 'kugc', 'zugc')
+WHERE channel IN ('c0', 'c1', 'c2', '{TV_CHANNELS[0]}', 'c5') AND device IN ('Mobile', 'PC') AND size = '640x480'
+ AND (placementid IN ('augc', 'atv', 'kugc', 'ktv', 'zugc', 'ztv')
   OR TRY_CAST(placementid AS INT) BETWEEN 1 AND 10)
 GROUP BY channel, hour""",
     "reach_json": _with(BIDS, REACH) + """
@@ -310,6 +320,11 @@ SELECT keyword, impression, click, {_half_up('cost', '100')} AS cost,
  {_half_up('click * 100', 'impression')} AS ctr, {_half_up('cost * 10', 'impression')} AS cpm
 FROM (SELECT keyword, CAST(sum(impression) AS BIGINT) AS impression,
  CAST(sum(click) AS BIGINT) AS click, CAST(sum(cost) AS BIGINT) AS cost FROM first GROUP BY keyword)""",
+    "keyword_kpis_request": _with(DELIVERIES, VALID, f"first AS ({_first_match(FIRST_IN_PACK)})") + f"""
+SELECT keyword, impression, click, {_half_up('cost', '100')} AS cost,
+ {_half_up('click * 100', 'impression')} AS ctr, {_half_up('cost * 10', 'impression')} AS cpm
+FROM (SELECT keyword, CAST(sum(impression) AS BIGINT) AS impression,
+ CAST(sum(click) AS BIGINT) AS click, CAST(sum(cost) AS BIGINT) AS cost FROM first WHERE d BETWEEN '19940101' AND '19961231' AND ad_id = '7' AND platform = 'O' GROUP BY keyword)""",
     "device_profile": _with(BIDS, USED, DEVICES) + "SELECT * FROM devices",
     "ip_profile": _with(BIDS, USED, IPS) + "SELECT * FROM ips",
     "device_scores": _with(BIDS, USED, DEVICES, DEVICE_SCORED) + _score_rows("device_scored", DEVICE_FEATURES),
@@ -342,6 +357,7 @@ UNION ALL SELECT concat('blk:', name), 'ip' FROM ip_scored WHERE p < 1e-4""",
         positive=False,
     ),
     "stream_report": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
+    "stream_report_folded": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
     "stream_replay_safe": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
     "stream_sliding_counts": """
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
@@ -356,4 +372,22 @@ FROM (SELECT unnest([event_type, 'any']) AS word,
 SELECT concat_ws(' ', CAST(label AS VARCHAR), concat(a.idx, ':1'), concat(b.idx, ':1')) AS value
 FROM labelled LEFT JOIN feature_ids a ON a.feature = concat('sc_', subchannel)
  LEFT JOIN feature_ids b ON b.feature = concat('cr_', creative_id)""",
+    "ctr_auc": _with(DELIVERIES, LABELLED) + """
+, scored AS (SELECT label, price AS score FROM labelled),
+points AS (SELECT score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM scored GROUP BY score),
+curve AS (
+ SELECT *, sum(p) OVER high AS tp, sum(n) OVER high AS fp, sum(p) OVER () AS all_p, sum(n) OVER () AS all_n
+ FROM points WINDOW high AS (ORDER BY score DESC)),
+steps AS (
+ SELECT tp / all_p AS recall, tp / (tp + fp) AS precision, tp / all_p AS y, fp / all_n AS x,
+  lag(tp / all_p, 1, 0) OVER w AS recall0, lag(tp / (tp + fp)) OVER w AS precision0,
+  lag(tp / all_p, 1, 0) OVER w AS y0, lag(fp / all_n, 1, 0) OVER w AS x0
+ FROM curve WINDOW w AS (ORDER BY score DESC))
+SELECT 'auPRC' AS metric, round(sum((recall - recall0) * (precision + coalesce(precision0, precision)) / 2), 6) AS value FROM steps
+UNION ALL SELECT 'auROC', round(sum((x - x0) * (y + y0) / 2), 6) FROM steps""",
+    "ctr_optimum": _with(DELIVERIES, LABELLED) + """
+, each AS (
+ SELECT concat('sc_', subchannel) AS feature, label FROM labelled
+ UNION ALL SELECT concat('cr_', creative_id), label FROM labelled)
+SELECT feature, round(avg(label), 3) AS mean_label, round(avg(label), 3) AS mean_score FROM each GROUP BY feature""",
 }

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.functions.labels import TV_CHANNELS
 from adtally.operators import anomaly, ctr, features, keywords, merge, profiles, reports, traffic
-from adtally.operators.tracking import normalize, parse_lines, to_log_lines
+from adtally.operators.tracking import normalize, parse_lines, rejected_lines, to_log_lines
 from adtally.plans import adapters as a
 from adtally.session import materialize, scratch_path
 from adtally.sinks.exports import json_message
@@ -59,6 +60,40 @@ def tracking_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(normalize(parse_lines(lines), with_uuid=False).drop("uuid"), "price")
 
 
+def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines of which some are broken, by event number: no JSON, two or four fields, blanks, no client."""
+    rows = _tracking(spark, sf_dir).withColumns({
+        "id": F.col("event_id").cast("string"),
+        "tag_id": F.when(F.col("event_id") % 11 == 0, F.concat(F.lit(" t "), "tag_id")).otherwise(F.col("tag_id")),
+        "client_id": F.when(F.col("event_id") % 13 == 0, None).otherwise(F.col("client_id")),
+    })
+    # The number stays beside the line until the line is spoiled by it.
+    lines = to_log_lines(rows, F.concat_ws("#", a.log_stamp(), "id")).select(
+        F.substring_index(F.substring_index("value", "\t", 1), "#", -1).cast("long").alias("n"),
+        F.regexp_replace("value", "^([0-9]+)#[0-9]+", "$1").alias("value"),
+    )
+    n, value = F.col("n"), F.col("value")
+    spoiled = (
+        F.when(n % 5 == 1, F.concat(F.substring_index(value, "\t", 2), F.lit("\tno json "), n.cast("string")))
+        .when(n % 7 == 2, F.concat(F.substring_index(value, "\t", 1), F.lit("\t"), n.cast("string")))
+        .when(n % 9 == 4, F.concat(value, F.lit("\tmore")))
+        .otherwise(value)
+    )
+    return lines.select(spoiled.alias("value"))
+
+
+@query
+def tracking_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw text of lines without a JSON object or with too few fields."""
+    return rejected_lines(parse_lines(_dirty_lines(spark, sf_dir)))
+
+
+@query
+def stream_rows_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream keeps of the same lines."""
+    return _as_double(stream.stream_rows(_dirty_lines(spark, sf_dir)), "price")
+
+
 @query
 def all_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.report(_tracking(spark, sf_dir), "all_report")
@@ -149,13 +184,17 @@ def traffic_dynamic_iqiyi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REACH_WORDS = ["click", "signup", "k3", "k7", "u1"]
-REACH_REQUEST = """{"id": 7, "path": "packs:one", "channel": ["c0", "c1", "c2", "c3", "c5"],
- "device": ["Mobile", "PC"], "size": ["640x480"], "system": ["Other"],
- "placementid": ["augc", "kugc", "zugc", "1", "2", "3", "4", "5", "6", "7", "8", "9", "10"]}"""
+REACH_REQUEST = """{"id": 7, "path": "packs:one", "channel": ["c0", "c1", "c2", "%s", "c5"],
+ "device": ["Mobile", "PC"], "size": ["640x480"], "system": ["Windows", "Linux", "Mac", "IOS", "Android", "Other"],
+ "placementid": ["augc", "atv", "kugc", "ktv", "zugc", "ztv", "1", "2", "3", "4", "5", "6", "7", "8", "9", "10"]}""" % TV_CHANNELS[0]
 
 
 def _reach(spark: SparkSession, sf_dir: str, spec: ReachSpec) -> DataFrame:
-    rows = traffic.reach_rows(_bids(spark, sf_dir), spec)
+    """Requests know systems in small letters; one channel in eight is a television channel."""
+    bids = _bids(spark, sf_dir).withColumns({
+        "os": F.lower("os"), "channel": F.when(F.col("channel") == "c3", TV_CHANNELS[0]).otherwise(F.col("channel")),
+    })
+    rows = traffic.reach_rows(bids, spec)
     return keywords.reach(rows, a.fixed_pack(spark, REACH_WORDS), spec.platform)
 
 
@@ -241,6 +280,13 @@ def keyword_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.keyword_kpis(keyword_first_match(spark, sf_dir))
 
 
+@query
+def keyword_kpis_request(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals of one ad and platform over a range of days."""
+    rows = keyword_first_match(spark, sf_dir)
+    return reports.keyword_kpis(rows, start="19940101", end="19961231", ad_id="7", platform="O")
+
+
 # Anomaly detection
 
 
@@ -397,6 +443,19 @@ def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.read_report(spark, path)
 
 
+@query
+def stream_report_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, the second and third with late hours for days that are folded before them."""
+    path = scratch_path(spark, "stream-folded")
+    lines = to_log_lines(_tracking(spark, sf_dir), a.log_stamp())
+    parts = F.pmod(F.xxhash64("value"), F.lit(3))
+    for batch in range(3):
+        rows = stream.stream_rows(lines.where(parts == batch))
+        stream.store_batch(stream.batch_counts(rows), path, "one", batch, by=["d"])
+        stream.fold(spark, path, f"d <= '{BOUNDARY}'" if batch < 2 else "d > '20240120'")
+    return stream.read_report(spark, path)
+
+
 @query
 def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-windows")
@@ -404,7 +463,7 @@ def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat_ws(" ", "event_type", F.lit("any")).alias("value"),
     )
-    counts = windows.sliding_counts(lines)
+    counts = windows.sliding_counts(lines, watermark=None)
     windows.start_sliding_counts(counts, f"{path}/counts", f"{path}/state").awaitTermination()
     stamp = "yyyy-MM-dd HH:mm:ss"
     return windows.read_sliding_counts(spark, f"{path}/counts").select(
@@ -455,6 +514,30 @@ def _trained(spark: SparkSession, sf_dir: str) -> tuple[ctr.Trained, DataFrame]:
     return ctr.train(read_libsvm(spark, path, index.count())), index
 
 
+@query
+def ctr_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas of a fixed score with thousands of distinct values: a delivery's share of a whole price."""
+    rows = features.labelled_rows(
+        _deliveries(spark, sf_dir), a.conversions(a.table(spark, sf_dir, "orders"))
+    )
+    scored = rows.select(F.col("label").cast("double").alias("label"), (F.col("price").cast("double") / 200000).alias("score"))
+    areas = ctr.areas(materialize(scored, "fixed-scores"))
+    return spark.createDataFrame([(name, round(value, 6)) for name, value in areas.items()], "metric string, value double")
+
+
+@query
+def ctr_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At the optimum the mean fitted probability of a feature's rows is their mean label."""
+    index = materialize(_index(spark, sf_dir), "feature-index")
+    encoded = features.encode(_labelled(spark, sf_dir), index, a.FEATURES)
+    path = scratch_path(spark, "libsvm")
+    write_lines(features.libsvm_lines(encoded), path)
+    fitted = ctr.fit(read_libsvm(spark, path, index.count()))
+    return ctr.feature_means(fitted, read_libsvm(spark, path, index.count()), index).select(
+        "feature", F.round("mean_label", 3).alias("mean_label"), F.round("mean_score", 3).alias("mean_score")
+    )
+
+
 @query
 def ctr_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctr.metrics_frame(spark, _trained(spark, sf_dir)[0])

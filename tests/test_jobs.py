@@ -1,11 +1,14 @@
 import json
+import os
 import re
 
 import pytest
 
+from adtally.operators import reports
 from adtally.plans import adapters as a
 from adtally.plans import jobs
 from adtally.schemas import BID_REQUEST
+from adtally.session import shared_root
 from adtally.sinks.files import replace_partitions
 from adtally.sources.tables import read_slice
 
@@ -81,13 +84,29 @@ def test_keyword_hour(spark, root, tmp_path):
     (tmp_path / "packs" / "one").write_text("PROMO\nred\n")
     (tmp_path / "packs" / "two").write_text("SMALL\n")
     (tmp_path / "map").write_text(json.dumps({"1": "one", "3": "two", "77": "two"}))
-    day = read_slice(spark, f"{root}/deliveries").selectExpr("max(d)").first()[0]
+    deliveries = read_slice(spark, f"{root}/deliveries", legacy_names=True)
+    day, hour = deliveries.where("request_time <> 0 and ad_id in ('1', '3')").selectExpr("d", "h").orderBy("d", "h").first()
     for scope in ("hour", "ad"):
-        assert jobs.keyword_hour(spark, root, str(tmp_path / "map"), str(tmp_path / "packs"), day, 0, scope)
+        assert jobs.keyword_hour(spark, root, str(tmp_path / "map"), str(tmp_path / "packs"), day, hour, scope)
         rows = read_slice(spark, f"{root}/keyword_report", start=day, end=day).collect()
-        want = read_slice(spark, f"{root}/deliveries", start=day, end=day).where("request_time <> 0").count()
-        assert sum(r.impression for r in rows) == want
-    assert not jobs.keyword_hour(spark, root, str(tmp_path / "map"), str(tmp_path / "packs"), day, 5)
+        assert sum(r.impression for r in rows) == deliveries.where(f"d = '{day}' and h = {hour} and request_time <> 0").count()
+    assert not jobs.keyword_hour(spark, root, str(tmp_path / "map"), str(tmp_path / "packs"), day, 24)
+    jobs.keyword_request(spark, root, f"{tmp_path}/kpis", day, day, ad_id=rows[0].ad_id, platform=rows[0].platform)
+    lines = [r.value.split(",") for r in spark.read.text(f"{tmp_path}/kpis").collect()]
+    wanted = [r.impression for r in rows if (r.ad_id, r.platform) == (rows[0].ad_id, rows[0].platform)]
+    assert sum(int(line[1]) for line in lines) == sum(wanted)
+
+
+def test_scratch_goes_with_the_job(spark, tmp_path):
+    """Jobs leave no scratch tables, and publish the four reports in the form of the database."""
+    (tmp_path / "log").write_text(line() + "\n")
+    jobs.clean_hour(spark, f"{tmp_path}/log", str(tmp_path), "20240102", 3)
+    home = f"{shared_root(spark)}/adtally/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(home)) if os.path.isdir(home) else set()
+    published = {}
+    jobs.hourly_reports(spark, str(tmp_path), "20240102", 3, publish=lambda rows, name: published.update({name: rows.columns}))
+    assert set(os.listdir(home)) == before
+    assert published.keys() == set(reports.GRAIN) and all({"day", "hour"} <= set(c) for c in published.values())
 
 
 def test_anomaly(spark, root, tmp_path):
