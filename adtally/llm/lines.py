@@ -59,11 +59,12 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, log_k: int = LOG_K
     """(line, first) of the lines on at least ``min_sites`` sites."""
     low, high = band(min_sites, log_k)
     wide = materialize(spread(lines, log_k).where(F.col("sites") >= low), "wide-lines")
-    near = wide.where(F.col("sites") <= high).select("line", "first")
+    # Stored by itself, so that Spark knows that it is small and leaves the lines where they are.
+    near = materialize(wide.where(F.col("sites") <= high).select("line", "first"), "near-lines")
     pairs = lines.join(near, "line").groupBy("line", "site").agg(F.first("first").alias("first"))
     exact = pairs.groupBy("line").agg(F.count("*").alias("sites"), F.first("first").alias("first"))
     sure = wide.where(F.col("sites") > high).select("line", "first")
-    return sure.union(exact.where(F.col("sites") >= min_sites).select("line", "first"))
+    return materialize(sure.union(exact.where(F.col("sites") >= min_sites).select("line", "first")), "boilerplate")
 
 
 def without_boilerplate(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
