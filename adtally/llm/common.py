@@ -53,7 +53,7 @@ def _ship(spark: SparkSession) -> None:
     context.addPyFile(str(archive))
 
 
-def python_tasks(spark: SparkSession, rows: int = 1000, size: str = "32m") -> None:
+def python_tasks(spark: SparkSession, rows: int = 256, size: str = "8m") -> None:
     """Prepare Python tasks: their code, and a bound on their Arrow batches by rows and bytes, for long texts."""
     _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -65,3 +65,16 @@ def raw_texts(column) -> list[bytes | None]:
     import pyarrow as pa
 
     return column.cast(pa.binary()).to_pylist()
+
+
+_caches: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a Python worker keeps between tasks for one operator; the tables of all others go.
+
+    Workers outlive stages, so without this the tables of every operator they ever ran would add up.
+    """
+    for name in [name for name in _caches if name != owner]:
+        _caches.pop(name).clear()
+    return _caches.setdefault(owner, {})

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import raw_texts, python_tasks
+from adtally.llm.common import python_tasks, raw_texts, worker_cache
 from adtally.session import materialize
 
 WINDOW = 10
@@ -60,12 +60,10 @@ def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     return named.mapInArrow(cut, "window string, item string").distinct()
 
 
-_built: dict[str, ahocorasick.Automaton] = {}
-
-
 def _automaton(key: str, rows: list[tuple[str, str]]) -> ahocorasick.Automaton:
     """The shard's automaton; a Python worker keeps the last one it built."""
-    if key not in _built:
+    built = worker_cache("decontamination")
+    if key not in built:
         held: dict[str, list[str]] = {}
         for window, item in rows:
             held.setdefault(window, []).append(item)
@@ -73,9 +71,9 @@ def _automaton(key: str, rows: list[tuple[str, str]]) -> ahocorasick.Automaton:
         for window, items in held.items():
             machine.add_word(f" {window.encode().decode('latin-1')} ", (window.count(" ") + 1, items))
         machine.make_automaton()
-        _built.clear()
-        _built[key] = machine
-    return _built[key]
+        built.clear()
+        built[key] = machine
+    return built[key]
 
 
 def _scan(machine: ahocorasick.Automaton, text: bytes | None) -> tuple[int, list[tuple[int, int, int]], list[str]]:

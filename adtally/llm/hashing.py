@@ -7,6 +7,7 @@ import numpy as np
 #: A-Z become small, and the blanks between words (space, tab to carriage return) one byte.
 _LOW = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _BASE = 0x9E3779B97F4A7C15
+SEGMENT = 1 << 18
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
 
@@ -38,10 +39,26 @@ def hashed_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def hashed_prefixes(text: bytes, sizes: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Hashes of whole words and of their first so many bytes (0 for words that are not longer).
 
-    One running polynomial over the text is summed up; a hash is the difference of two sums, moved to
-    the start by the inverse power.
+    A long text is taken in segments that end at blanks, so that the working arrays stay small.
     """
-    chars = np.frombuffer(text.translate(_LOW), np.uint8)
+    low, parts, at = text.translate(_LOW), [], 0
+    while at < len(low):
+        end = len(low)
+        if end - at > SEGMENT:
+            end = low.rfind(b" ", at, at + SEGMENT) + 1 or low.find(b" ", at + SEGMENT) + 1 or len(low)
+        parts.append((at, _hashed_segment(low[at:end], sizes)))
+        at = end
+    if not parts:
+        parts = [(0, _hashed_segment(b"", sizes))]
+    if len(parts) == 1:
+        return parts[0][1]
+    hashes = [np.concatenate(each) for each in zip(*(p[0] for _, p in parts), strict=True)]
+    return hashes, *(np.concatenate([p[side] + at for at, p in parts]) for side in (1, 2))
+
+
+def _hashed_segment(low: bytes, sizes: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """One running polynomial is summed up; a hash is the difference of two sums, moved to the start by the inverse power."""
+    chars = np.frombuffer(low, np.uint8)
     inside = np.zeros(len(chars) + 2, bool)
     inside[1:-1] = chars != 32
     edges = np.flatnonzero(inside[1:] != inside[:-1])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import fold, python_tasks, raw_texts
+from adtally.llm.common import fold, python_tasks, raw_texts, worker_cache
 from adtally.llm.crf import fit, forward_backward, summed
 from adtally.llm.hashing import hashed_words, mixed, small_letters
 
@@ -206,6 +206,7 @@ def identified(documents: DataFrame, model: Model | None) -> DataFrame:
     rows = documents.select("doc_id", "text")
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language")
         known = sent.value
         for batch in batches:
             texts = raw_texts(batch.column(1))

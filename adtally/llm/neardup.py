@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.common import python_tasks, raw_texts
+from adtally.llm.common import python_tasks, raw_texts, worker_cache
 from adtally.llm.components import components
 from adtally.llm.hashing import hashed_words, mixed
 from adtally.session import materialize
@@ -78,6 +78,7 @@ def _digest(values: np.ndarray) -> bytes:
 def signatures(documents: DataFrame, size: int) -> DataFrame:
     """(doc_id, n, class, sketch); the class is a digest of the whole set, null without shingles."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("near-duplicates")
         for batch in batches:
             sets = [shingle_set(text, size) for text in raw_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([

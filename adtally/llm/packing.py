@@ -11,8 +11,8 @@ emptiest of the other, until one partition is left: ``k`` near-equal windows. ``
 the number that the ids need, and rises as long as the fullest window exceeds the capacity.
 
 Ids come from the tokenizer alone. A text is encoded by its blank-separated chunks, which never
-share an id; each task remembers the ids of the chunks it met first, up to ``REMEMBERED``, and asks
-the tokenizer anew for others.
+share an id; each task remembers the ids of the chunks it met first, up to a bound, and asks the tokenizer
+anew for others.
 
 A null or empty text is the end id alone. A repeated row is packed as often as it occurs; other
 columns are not used. No task holds more than two blocks, whatever the sizes of texts or groups.
@@ -33,14 +33,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import python_tasks
+from adtally.llm.common import python_tasks, worker_cache
 from adtally.session import materialize
 
 CAPACITY = 4096
 END_ID = 2
 CHANGE, CHANGE_ONE_IN = 256, 8
 BLOCK = 2048
-REMEMBERED = 400_000
+#: Chunks, and words and marks that chunks are made of, whose ids a task remembers (about 350 MB when full).
+REMEMBERED, REMEMBERED_PARTS = 600_000, 1_200_000
 TOKENIZER = "word_bpe_49k.json"
 
 #: A word of letters that have one form only, then ASCII marks other than the apostrophe.
@@ -62,7 +63,7 @@ class _Chunks(dict):
         ids = self.parts.get(text)
         if ids is None:
             ids = self.encode(text)
-            if len(self.parts) < REMEMBERED:
+            if len(self.parts) < REMEMBERED_PARTS:
                 self.parts[text] = ids
         return ids
 
@@ -74,19 +75,16 @@ class _Chunks(dict):
         return ids
 
 
-_loaded: dict[str, _Chunks] = {}
-
-
 def chunks_of(path: str | None) -> _Chunks:
     """The chunk table of a tokenizer file; a Python worker keeps it."""
-    key = path or ""
-    if key not in _loaded:
+    loaded, key = worker_cache("packing"), path or ""
+    if key not in loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        _loaded[key] = _Chunks(Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER)))
-    return _loaded[key]
+        loaded[key] = _Chunks(Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER)))
+    return loaded[key]
 
 
 def document_ids(text: str | None, chunks: _Chunks) -> bytes:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import fold, raw_texts, sampled, python_tasks
+from adtally.llm.common import fold, python_tasks, raw_texts, sampled, worker_cache
 from adtally.llm.crf import fit, forward_backward, logistic, summed
 from adtally.llm.hashing import hashed_words
 
@@ -162,6 +162,7 @@ def train(rows: list[tuple[int, bytes, bytes]]) -> Model | None:
 
 def fitted(documents: DataFrame, labels: DataFrame) -> Model | None:
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("quality")
         for batch in batches:
             texts = [b"\n".join((t or b"").split(b"\n", TRAIN_LINES)[:TRAIN_LINES]) for t in raw_texts(batch.column(1))]
             bins, sizes, counts = line_bins(texts)
@@ -192,6 +193,7 @@ def scored(documents: DataFrame, model: Model | None, name: str = "score") -> Da
     sent, at = documents.sparkSession.sparkContext.broadcast(model), documents.columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("quality")
         for batch in batches:
             values = pa.array(score_texts(sent.value, raw_texts(batch.column(at))), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, name])

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import fold, python_tasks, raw_texts, sampled
+from adtally.llm.common import fold, python_tasks, raw_texts, sampled, worker_cache
 from adtally.llm.crf import logistic
 from adtally.llm.hashing import hashed_prefixes, small_letters
 
@@ -63,6 +63,7 @@ SUBSTITUTE, LEAVE_OUT, REPEAT, SEPARATE = 1.0, 9.0, 1.5, 0.2
 def triples(documents: DataFrame) -> DataFrame:
     """(code, n): how often each triple of signs occurs in all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("toxicity")
         total = np.zeros(SIGNS ** 3, np.int64)
         for batch in batches:
             signs = _SIGN[np.frombuffer(b"  ".join(t or b"" for t in raw_texts(batch.column(0))), np.uint8)]
