@@ -40,8 +40,8 @@ CAPACITY = 4096
 END_ID = 2
 CHANGE, CHANGE_ONE_IN = 256, 8
 BLOCK = 2048
-#: Chunks, and words and marks that chunks are made of, whose ids a task remembers (about 350 MB when full).
-REMEMBERED, REMEMBERED_PARTS = 600_000, 1_200_000
+#: Chunks, and words and marks that chunks are made of, whose ids a task remembers (about 280 MB when full).
+REMEMBERED, REMEMBERED_PARTS = 500_000, 900_000
 TOKENIZER = "word_bpe_49k.json"
 
 #: A word of letters that have one form only, then ASCII marks other than the apostrophe.
