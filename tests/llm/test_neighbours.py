@@ -72,3 +72,39 @@ def test_empty_and_without_queries(spark):
     alone = spark.createDataFrame([(1, [1.0]), (3, [2.0])], "vec_id long, embedding array<float>")
     assert neighbours.neighbour_report(alone).collect() == []
     assert np.isfinite(neighbours.FACTOR)
+
+
+@pytest.mark.parametrize("lengths", ["equal", "sd 0.1", "sd 0.3", "one of 2", "one of 100"])
+@pytest.mark.parametrize("grouped", [False, True])
+def test_recall_with_unequal_lengths(lengths, grouped):
+    rng = np.random.default_rng(3)
+    n, k = 8192, neighbours.NEAREST
+    vectors = rng.normal(size=(n, 64))
+    if grouped:
+        vectors = 0.4 * vectors + rng.normal(size=(50, 64))[rng.integers(50, size=n)]
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    if lengths.startswith("sd"):
+        vectors *= np.exp(float(lengths[3:]) * rng.normal(size=n))[:, None]
+    elif lengths.startswith("one"):
+        vectors[77] *= float(lengths[7:])
+    asked = np.arange(0, n, 40)
+    product = vectors[asked] @ vectors.T
+    product[np.arange(len(asked)), asked] = -np.inf
+    true = np.argsort(-product, axis=1)[:, :k]
+    for factor, least in [(neighbours.FACTOR, 0.99), (1.0, 1.0)]:
+        search = neighbours.Search(vectors, np.arange(n), np.arange(n), vectors[asked], asked, k, factor)
+        search.run()
+        recall = sum(len(set(a) & set(b)) for a, b in zip(true, search.found, strict=True)) / true.size
+        assert recall >= least
+
+
+def test_factor_one_is_exact_for_lengths_far_apart(spark, monkeypatch):
+    """Lengths whose squares are lost or overflow, negative best scores, equal directions."""
+    monkeypatch.setattr(neighbours, "LEAF", 4)
+    rng = random.Random(6)
+    rows = [(n, [rng.gauss(0, 1) * 10.0 ** (n % 7 * 80 - 240) for _ in range(2)]) for n in range(140)]
+    rows += [(n, [1.0 * (n - 139), 2.0 * (n - 139)]) for n in range(140, 200)] + [(200, [-3.0, -6.0]), (220, [-1e-200, -1e-200])]
+    # Products that overflow have no order.
+    rows = [(n, v) for n, v in rows if max(map(abs, v)) < 1e150]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert listed(neighbours.nearest(table, F.col("vec_id") % 20 == 0, factor=1.0)) == expected(rows)
