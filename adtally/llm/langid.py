@@ -8,7 +8,8 @@ each word's chance per language; the document's share of a language is the mean
 weighted by their length, and the prediction is the language with the largest share.
 
 The model is fitted on the driver from about ``PER_LANGUAGE`` documents of each language, chosen by a
-hash of their id, with ``TRAIN_CHARS`` characters of each. Prediction reads whole texts: a long text is
+hash of their id. Texts of more than ``DRAWN`` times ``DRAWN_WORDS`` words give so many passages, drawn by a
+hash of the text, one from each equal part of the whole; others are read whole. Prediction reads whole texts: a long text is
 cut into chains of ``CHAIN`` words, each run with ``CONTEXT`` words of its neighbours on both sides,
 whose own chances are not used twice.
 
@@ -19,8 +20,10 @@ not used.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from adtally.llm.crf import fit, forward_backward, summed
 from adtally.llm.hashing import hashed_words, mixed, small_letters
 
 FOLDS, HELD_OUT = 4, 2
-PER_LANGUAGE, TRAIN_CHARS = 400, 1500
+PER_LANGUAGE, DRAWN, DRAWN_WORDS = 400, 8, 160
 CHAINS, CHAIN_WORDS, PASSAGE = 1200, 80, (4, 40)
 LEXICON, LEXICON_LEAST = 3000, 5
 CHAIN, CONTEXT = 512, 16
@@ -138,6 +141,17 @@ def train(rows: list[tuple[str, bytes]]) -> Model | None:
     return Model(languages, lexicon, weights, transitions)
 
 
+def drawn(text: bytes) -> bytes:
+    """The words of the text, or those of passages from all of it. A word's features do not reach beyond it."""
+    words = small_letters(text).split()
+    if len(words) <= DRAWN * DRAWN_WORDS:
+        return b" ".join(words)
+    rng = np.random.default_rng(zlib.crc32(text))
+    edges = np.linspace(0, len(words), DRAWN + 1).astype(int).tolist()
+    firsts = [int(rng.integers(a, b - DRAWN_WORDS + 1)) for a, b in pairwise(edges)]
+    return b" ".join(word for first in firsts for word in words[first:first + DRAWN_WORDS])
+
+
 def fitted(documents: DataFrame) -> Model | None:
     python_tasks(documents.sparkSession)
     own = documents.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
@@ -148,9 +162,15 @@ def fitted(documents: DataFrame) -> Model | None:
     # A hash of the id between 0 and 1 picks about so many of each language.
     place = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 20)) / float(1 << 20)
     share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 1.2 * PER_LANGUAGE / n)))])
-    chosen = usable.where(place < share[F.col("lang")]).select("lang", F.substring("text", 1, TRAIN_CHARS).cast("binary").alias("text"))
+    chosen = usable.where(place < share[F.col("lang")]).select("lang", "text")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([drawn(t) for t in raw_texts(batch.column(1))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["lang", "text"])
+
     most = 2 * PER_LANGUAGE * len(counts)
-    return train(sorted((r.lang, bytes(r.text)) for r in chosen.limit(most).collect()))
+    return train(sorted((r.lang, bytes(r.text)) for r in chosen.limit(most).mapInArrow(draw, "lang string, text binary").collect()))
 
 
 def _chains(counts: np.ndarray):

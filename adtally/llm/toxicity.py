@@ -13,8 +13,8 @@
    go into a logistic regression.
 
 Word counts for training come from at most ``TRAIN_DOCUMENTS`` labelled documents, chosen by a hash of
-their id; only hashes of the first ``TRAIN_WORDS`` words of each reach the driver. Scoring reads
-whole texts. Without labelled documents of both kinds every score is 0.5.
+their id. Training and scoring read whole texts: the tasks count in how many toxic and other documents
+each word is, and only hashes of words that can be learned reach the driver. Without labelled documents of both kinds every score is 0.5.
 
 A null or empty text has no toxic word and gets the score of such. Repeated rows get the same score;
 other columns are not used.
@@ -37,7 +37,7 @@ from adtally.llm.hashing import hashed_prefixes, small_letters
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-TRAIN_DOCUMENTS, TRAIN_WORDS = 10_000, 2000
+TRAIN_DOCUMENTS = 10_000
 #: Beginnings of words, in bytes, that may be learned like words.
 PREFIXES = (5, 6, 7)
 LEAST_DOCUMENTS, LEAST_SHARE, MOST_WORDS = 4, 0.15, 200
@@ -223,10 +223,26 @@ def _first_known(hashes: list[np.ndarray], lexicon: np.ndarray) -> np.ndarray:
     return found
 
 
-def frequent(docs: list[np.ndarray]) -> np.ndarray:
-    """Hashes that at least ``LEAST_DOCUMENTS`` of the documents hold; 0 is none."""
-    vocabulary, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *docs]), return_counts=True)
-    return vocabulary[(counts >= LEAST_DOCUMENTS) & (vocabulary > 0)]
+def distinct_words(text: bytes | None) -> np.ndarray:
+    """Hashes of all words and word beginnings of a text, each once."""
+    hashes = np.unique(np.concatenate(hashed_prefixes(small_letters(text or b""), PREFIXES)[0]))
+    return hashes[hashes > 0]
+
+
+def learnable(chosen: DataFrame, base: float) -> np.ndarray:
+    """Hashes that ``toxic_words`` may pick from (y, text): later picks can only lower a word's toxic share."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs = [distinct_words(t) for t in raw_texts(batch.column(1))]
+            words, at = np.unique(np.concatenate(docs), return_inverse=True)
+            toxic = np.bincount(at, np.repeat(batch.column(0).to_numpy(), [len(d) for d in docs]), len(words))
+            columns = [words.view(np.int64), toxic.astype(np.int64), np.bincount(at, minlength=len(words))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["word", "toxic", "n"])
+
+    counts = chosen.select("y", "text").mapInArrow(count, "word bigint, toxic bigint, n bigint").groupBy("word")
+    sums = counts.agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    usable = sums.where((F.col("toxic") >= LEAST_DOCUMENTS) & (F.col("toxic") / F.col("n") >= max(LEAST_SHARE, 2 * base)))
+    return np.sort(np.array([r.word for r in usable.select("word").collect()], np.int64).view(np.uint64))
 
 
 def toxic_words(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
@@ -256,29 +272,26 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Model | None:
 
     spark = documents.sparkSession
 
-    def words_of(rows: DataFrame, vocabulary: np.ndarray | None) -> list[np.ndarray]:
-        """Distinct hashes of each text, those of the vocabulary if there is one."""
+    def words_of(rows: DataFrame, vocabulary: np.ndarray) -> list[np.ndarray]:
+        """Distinct hashes of each text that are in the vocabulary."""
         sent = spark.sparkContext.broadcast(vocabulary)
 
         def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                each = [hashed_prefixes(small_letters(t or b""), PREFIXES)[0] for t in raw_texts(batch.column(0))]
-                words = [np.unique(np.concatenate([h[:TRAIN_WORDS] for h in hashes])) for hashes in each]
-                if sent.value is not None:
-                    words = [w[np.isin(w, sent.value)] for w in words]
+                words = [distinct_words(t) for t in raw_texts(batch.column(0))]
+                words = [w[np.isin(w, sent.value)] for w in words]
                 yield pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in words], pa.binary())], ["words"])
 
         return [np.frombuffer(r.words, np.uint64) for r in rows.select("text").mapInArrow(distinct, "words binary").collect()]
 
     chosen = sampled(documents, labels, "toxic", FOLDS, HELD_OUT, TRAIN_DOCUMENTS).select("y", "text").persist()
     try:
-        toxic = words_of(chosen.where("y = 1"), None)
-        vocabulary = frequent(toxic)
-        clean = words_of(chosen.where("y = 0"), vocabulary)
-        if not toxic or not clean:
+        counts = {r.y: r["count"] for r in chosen.groupBy("y").count().collect()}
+        if not counts.get(1) or not counts.get(0):
             return None
-        docs = [w[np.isin(w, vocabulary)] for w in toxic] + clean
-        lexicon = toxic_words(docs, np.repeat([1, 0], [len(toxic), len(clean)]))
+        vocabulary = learnable(chosen, counts[1] / (counts[0] + counts[1]))
+        toxic, clean = (words_of(chosen.where(F.col("y") == y), vocabulary) for y in (1, 0))
+        lexicon = toxic_words(toxic + clean, np.repeat([1, 0], [len(toxic), len(clean)]))
         bare = Model(costs, lexicon, np.zeros(5))
 
         def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -140,3 +140,41 @@ def test_sketches_far_from_the_limit(spark):
     documents = spark.createDataFrame(sites, "doc_id long, text string, source string")
     held = lines.lines_of(documents, "source")
     assert lines.boilerplate(held, 300).count() == 2
+
+
+def test_toxic_words_deep_in_long_texts(spark):
+    """Every toxic word lies behind thousands of harmless ones."""
+    long = " ".join(f"w{n % 700}" for n in range(3000))
+    rows = [(n, long + (" vilest" if n % 3 == 0 else " kindest"), int(n % 3 == 0)) for n in range(60)]
+    table_ = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fitted(table_.drop("toxic"), table_.drop("text"))
+    low, high = toxicity.score_texts(model, [long.encode() + b" kindest", long.encode() + b" vilest"])
+    assert low < 0.3 <= high
+
+
+def test_bad_lines_far_down(spark):
+    """Bad documents begin like good ones; the field and its curve see their ends."""
+    good, bad = "A plain line of text here.", "|||| $$$$ #### !!!! ||||"
+    rows = [(n, "\n".join([good] * 220 + [bad if n % 2 else good] * 200), 1 - n % 2) for n in range(80)]
+    table_ = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fitted(table_.drop("quality"), table_.drop("text"))
+    whole, junk = quality.score_texts(model, [rows[0][1].encode(), rows[1][1].encode()])
+    assert junk < quality.THRESHOLD <= whole
+
+
+def test_fewer_documents_rather_than_parts(monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_LINES", 100)
+    monkeypatch.setattr(quality, "LEAST_EACH", 2)
+    rows = [(n, int(n > 0), 30) for n in range(10)] + [(20, 0, 5), (21, 0, 5)]
+    assert quality.enough(rows) == {0: 20, 1: 3} and quality.enough([]) == {}
+
+
+def test_language_is_learned_from_all_of_a_text(spark):
+    """A header of another language is longer than the old prefix of 1500 characters."""
+    english, german = "the and that with from this have will been they ", "und der die das nicht sich auch eine für über "
+    rows = [(n, english * 200, "en") for n in range(30)] + [(100 + n, english * 40 + german * 400, "de") for n in range(30)]
+    model = langid.fitted(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    shares = langid.shares(model, [german.encode() * 20, english.encode() * 20])
+    assert [model.languages[at] for at in shares.argmax(1)] == ["de", "en"] and shares.max(1).min() > 0.8
+    text = " ".join(f"a{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}" for n in range(20_000)).encode()
+    assert langid.drawn(text) == langid.drawn(text) and len(langid.drawn(text).split()) == langid.DRAWN * langid.DRAWN_WORDS
