@@ -3,10 +3,13 @@
 1. *Language model.* Letter triples of all documents are counted by the tasks and summed; with
    interpolation they give the chance of a letter after two others. The counts cover the whole corpus;
    the table has one row per triple of 28 signs, whatever the corpus.
-2. *Lattice.* A suspicious token (a digit or sign beside a letter, a letter three times in a row,
-   letters spaced out one by one) is a lattice: each character is one of the letters it may stand for,
-   or nothing (a separator, a mark at the rim, a repeat of the letter before), each at the cost of the
-   channel. Viterbi over (last two letters) finds the likeliest word under model and channel.
+2. *Lattice.* A suspicious token (a digit or sign beside a letter, a letter three times in a row, a doubled
+   letter that is rare under the model, several doubled letters, letters spaced out one by one) is a
+   lattice: each character is one of the letters it may stand for, or nothing (a separator, a mark at the
+   rim, a repeat of the letter before), each at the cost of the channel. Viterbi over (last two letters)
+   finds the likeliest word under model and channel, and a second time with separators that may also
+   end a word; all words of both are looked up. Where letters are spaced out one by one the ends of words
+   show too little in letter triples, so every part of ``LEAST_PART`` letters or more is looked up too.
 3. *Score.* Toxic words and word beginnings are learned from labelled documents one at a time: each is
    the one that tells most of the toxic documents which no earlier one explains, so that the harmless
    words of a copied toxic text are not learned. Their counts in the text and in the restored tokens
@@ -89,8 +92,11 @@ def letter_costs(counts: list[tuple[int, int]]) -> np.ndarray:
     return -np.log(p3)
 
 
-def decode(token: str, costs: np.ndarray) -> str:
-    """The likeliest word behind a token: Viterbi over its lattice, states being the last two letters."""
+def decode(token: str, costs: np.ndarray, ends_words: bool = False) -> str:
+    """The likeliest word behind a token: Viterbi over its lattice, states being the last two letters.
+
+    With ``ends_words`` a separator may be real, and the result has blanks between words.
+    """
     table = costs
     # (last but one, last letter, last character if it was a letter) -> (cost, word)
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
@@ -106,7 +112,8 @@ def decode(token: str, costs: np.ndarray) -> str:
         else:
             silent = LEAVE_OUT if char.isascii() else SEPARATE
         for (a, b), (cost, word) in states.items():
-            moves = [((b, ord(c) - 96), cost + extra + table[a, b, ord(c) - 96], word + c) for c, extra in options]
+            ends = [((b, 0), cost + table[a, b, 0], word + " ")] if ends_words and char in SEPARATORS and b else []
+            moves = ends + [((b, ord(c) - 96), cost + extra + table[a, b, ord(c) - 96], word + c) for c, extra in options]
             # A repeat may be left out where the letter before was read as the same letter.
             same = not letter and options and any(ord(c) - 96 == b for c, _ in options) and at and text[at - 1] == char
             if silent is not None and (not letter or b == ord(char) - 96):
@@ -116,7 +123,7 @@ def decode(token: str, costs: np.ndarray) -> str:
                     fresh[state] = (total, longer)
         if fresh:
             states = fresh
-    return min((cost + table[a, b, 0], word) for (a, b), (cost, word) in states.items())[1]
+    return min((cost + table[a, b, 0], word) for (a, b), (cost, word) in states.items())[1].strip()
 
 
 _LETTER = np.zeros(256, bool)
@@ -127,11 +134,15 @@ _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in "@$!|+*"]] = True
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: Lengths of the parts of a spaced-out run that are looked up.
+LEAST_PART, MOST_PART = 4, 24
+#: A doubled letter that costs more than this, in nats, is one letter in fifty or less after the two before.
+RARE = math.log(50)
 _RIM = "!?.,;:#%&*()[]{}\"'<>/\\=~^`|"
 
 
-def suspicious(text: bytes) -> list[tuple[int, int]]:
-    """Byte ranges of tokens that the decoder should look at."""
+def suspicious(text: bytes, costs: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Byte ranges of tokens that the decoder should look at; with ``costs`` also those of doubled letters."""
     if not text:
         return []
     low = text.lower()
@@ -140,6 +151,11 @@ def suspicious(text: bytes) -> list[tuple[int, int]]:
     flag = np.zeros(len(raw), bool)
     flag[1:-1] = (digit[1:-1] & (letter[2:] | letter[:-2])) | (mark[1:-1] & letter[2:])
     flag[:-2] |= letter[:-2] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])
+    if costs is not None:
+        double = np.flatnonzero(letter[1:] & (raw[1:] == raw[:-1])) + 1
+        signs, token = _SIGN[raw], np.cumsum(blank)[double]
+        rare = costs[signs[double - 2], signs[double - 1], signs[double]] > RARE
+        flag[double[rare | (np.bincount(token, minlength=1)[token] > 1)]] = True
     one = np.zeros(len(raw), bool)
     single = letter | digit | mark
     one[1:-1] = single[1:-1] & ~single[:-2] & ~single[2:]
@@ -166,23 +182,50 @@ class Model:
     costs: np.ndarray
     words: np.ndarray
     weights: np.ndarray
-    remembered: dict[str, str] = field(default_factory=dict)
+    remembered: dict[str, tuple[str, np.ndarray]] = field(default_factory=dict)
 
-    def restored(self, token: str) -> str:
-        word = self.remembered.get(token)
-        if word is None:
-            word = decode(token.strip(_RIM), self.costs)
+    def read(self, token: str) -> tuple[str, np.ndarray]:
+        """The restored token, and the lexicon entries in all its readings."""
+        known = self.remembered.get(token)
+        if known is None:
+            known = self._read(token.strip(_RIM))
             if len(self.remembered) < REMEMBERED:
-                self.remembered[token] = word
-        return word
+                self.remembered[token] = known
+        return known
+
+    def _read(self, token: str) -> tuple[str, np.ndarray]:
+        word = decode(token, self.costs)
+        found = [_first_known(hashed_prefixes(word.encode(), PREFIXES)[0], self.words)]
+        if any(c in SEPARATORS for c in token):
+            ended = decode(token, self.costs, ends_words=True)
+            found.append(_first_known(hashed_prefixes(ended.encode(), PREFIXES)[0], self.words))
+            if found[-1].any() and not found[0].any():
+                word = ended
+        if len(token) > 4 and not any(c.isalnum() for c in token[1::2]):
+            longest, letters = "", word.replace(" ", "")
+            for at in range(0, len(letters), 1000):
+                starts = range(at, min(at + 1000, len(letters)))
+                parts = [letters[a:b] for a in starts for b in range(a + LEAST_PART, min(a + MOST_PART, len(letters)) + 1)]
+                hashes = hashed_prefixes(" ".join(parts).encode(), PREFIXES)[0]
+                found.append(_first_known(hashes, self.words))
+                longest = max([longest, *(parts[n] for n in np.flatnonzero(found[-1]).tolist() if len(parts[n]) < 8)], key=len)
+            if longest and " " not in word:
+                word = " ".join(x for x in word.partition(longest) if x)
+        hits = np.unique(np.concatenate(found))
+        return word, hits[hits > 0]
+
+    def restored(self, token: str) -> str:
+        return self.read(token)[0]
 
 
 def restored_text(text: bytes, model: Model) -> str:
     """The text with every suspicious token decoded."""
-    parts, done = [], 0
-    for a, b in sorted(suspicious(text)):
-        if a >= done:
-            parts += [text[done:a].decode(errors="replace"), model.restored(text[a:b].decode(errors="replace"))]
+    parts, done, sure = [], 0, set(suspicious(text))
+    for a, b in sorted(suspicious(text, model.costs)):
+        word, hits = model.read(text[a:b].decode(errors="replace")) if a >= done else ("", [])
+        # Doubled letters are common: they stay, unless a word that is known as toxic comes of it.
+        if a >= done and ((a, b) in sure or len(hits)):
+            parts += [text[done:a].decode(errors="replace"), word]
             done = b
     return "".join([*parts, text[done:].decode(errors="replace")])
 
@@ -202,12 +245,11 @@ def _measured(texts: list[bytes | None], lexicon: np.ndarray, model: Model | Non
     at = np.flatnonzero(first)
     docs, hit = [doc[at]], [first[at]]
     if model is not None:
-        tokens = [(i, t[a:b]) for i, t in enumerate(texts) for a, b in suspicious(t or b"")]
+        tokens = [(i, t[a:b]) for i, t in enumerate(texts) for a, b in suspicious(t or b"", model.costs)]
         # What a token says as it stands is counted already.
         for i, token in tokens:
-            word = model.restored(token.decode(errors="replace"))
-            read, plainly = (_first_known(hashed_prefixes(w, PREFIXES)[0], lexicon) for w in (word.encode(), small_letters(token)))
-            fresh = read[(read > 0) & ~np.isin(read, plainly)]
+            read = model.read(token.decode(errors="replace"))[1]
+            fresh = read[~np.isin(read, _first_known(hashed_prefixes(small_letters(token), PREFIXES)[0], lexicon))] if len(read) else read
             docs.append(np.full(len(fresh), i))
             hit.append(fresh)
     docs, hit = np.concatenate(docs).astype(np.int64), np.concatenate(hit)

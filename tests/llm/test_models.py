@@ -178,3 +178,22 @@ def test_language_is_learned_from_all_of_a_text(spark):
     assert [model.languages[at] for at in shares.argmax(1)] == ["de", "en"] and shares.max(1).min() > 0.8
     text = " ".join(f"a{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}" for n in range(20_000)).encode()
     assert langid.drawn(text) == langid.drawn(text) and len(langid.drawn(text).split()) == langid.DRAWN * langid.DRAWN_WORDS
+
+
+def test_words_in_spaced_out_runs_and_doubled_letters():
+    """Words beside an insult are spaced out too; letters are doubled, not tripled."""
+    prose = b"the man is a good one and you are what he will be, an idiot or moron or loser to hate; we need all committee books " * 50
+    signs = toxicity._SIGN[np.frombuffer(prose, np.uint8)]
+    counts = np.bincount((signs[:-2] * toxicity.SIGNS + signs[1:-1]) * toxicity.SIGNS + signs[2:])
+    model = toxicity.Model(toxicity.letter_costs(list(enumerate(counts))), np.sort(hashed_words(b"moron idiot hate")[0]), np.zeros(5))
+
+    def hits(text):
+        return toxicity._measured([text], model.words, model)[0][0]
+
+    for hidden in (b"he is a m o r o n", b"y o u i d i o t", b"a n i d i o t", b"I h a t e y o u", b"a 1 d 1 0 t i s", b"a m-o-r-o-n"):
+        assert hits(hidden) == 1, hidden
+    for hidden in (b"a moorron", b"iiddiioott"):
+        assert hits(hidden) == 1, hidden
+    assert hits(b"all good books we need, a committee of a b c d e f g") == 0
+    assert toxicity.restored_text(b"he is a m o r o n", model) == "he is a moron"
+    assert toxicity.restored_text(b"the committee needs good moorron books", model) == "the committee needs good moron books"
