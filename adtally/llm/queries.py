@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adtally.llm import decontam, langid, lines, neardup, neighbours, packing, pii, quality, secrets, toxicity
+from adtally.llm import (
+    decontam, langid, lines, neardup, neighbours, packing, pii, quality, secrets, toxicity, whitening,
+)
 from adtally.llm.common import table
 
 
@@ -50,6 +52,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLE: dict[str, str] = {
