@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adtally.llm import (
-    decontam, langid, lines, neardup, neighbours, packing, pii, quality, secrets, tokenstore, toxicity,
-    whitening,
+    alignment, decontam, langid, lines, neardup, neighbours, packing, pii, quality, secrets, tokenstore,
+    toxicity, whitening,
 )
 from adtally.llm.common import table
 
@@ -57,6 +57,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
 def op13_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.store_report(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_neighbours": op9_neighbours,
     "op10_decontamination": op10_decontamination,
     "op11_whitening": op11_whitening,
+    "op12_token_alignment": op12_token_alignment,
     "op13_token_store": op13_token_store,
 }
 
