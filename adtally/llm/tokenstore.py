@@ -2,10 +2,10 @@
 
 A store is a folder:
 
-* ``ids/shard-….ids``: the ids of documents in ascending key order as little-endian unsigned 32-bit numbers,
-  nothing between them; a document is its text's ids and the end id. ``ids/shard-….len``: how many ids each
-  document has, as 32-bit numbers.
-* ``shards`` (Parquet): the shards' files, and what all earlier shards hold: ``first_document``, ``first_id``.
+* ``ids/shard-….ids``: the ids of documents in ascending key order as little-endian unsigned numbers, nothing
+  between them, of ``width`` bytes: 2 if the vocabulary allows it, else 4. A document is its text's ids and the
+  end id. ``ids/shard-….len``: how many ids each document has, as 32-bit numbers.
+* ``shards`` (Parquet): the shards' files, ``width``, and what all earlier shards hold: ``first_document``, ``first_id``.
 * ``index/bucket-….mph``: for the keys of a bucket (by hash) a minimal perfect hash function and its table.
 * ``buckets`` (Parquet): the buckets' files, and how many buckets there are.
 
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -40,11 +41,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.common import python_tasks
+from adtally.llm.common import python_tasks, worker_cache
 from adtally.llm.hashing import mixed
-from adtally.llm.packing import chunks_of, document_ids
+from adtally.llm.packing import _PLAIN, REMEMBERED, REMEMBERED_PARTS, _Chunks
 from adtally.session import materialize, scratch_path
 
+TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_BYTES = 32 << 20
 #: Bits of a level for each key that is left, and bits between two stored counts.
@@ -129,6 +131,61 @@ def read_bucket(data: bytes) -> tuple[HashFunction, np.ndarray]:
     return HashFunction(sizes, np.frombuffer(data, np.uint8, bits, at)), np.frombuffer(data, ROW, n, at + bits)
 
 
+class Vocabulary(_Chunks):
+    """The packing's table of chunks, with the new words of a whole batch encoded by one call."""
+
+    def __init__(self, tokenizer):
+        super().__init__(tokenizer)
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.fresh: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.fresh.get(chunk)
+        return super().__missing__(chunk) if ids is None else ids
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Ids of the chunks not met so far that are a plain word and marks; those beyond what is remembered are
+        kept for this batch. New words are encoded joined by blanks, since each ends with a word-ending id."""
+        self.fresh, plain = {}, []
+        for chunk in set().union(*texts).difference(self):
+            if chunk[0] != "<" and (match := _PLAIN.fullmatch(chunk.lower())):
+                plain.append((chunk, *match.groups()))
+        words = list({word for _, word, _ in plain}.difference(self.parts))
+        joined = self.encode(" ".join(words))
+        ends = (4 * np.flatnonzero(self.ends_word[np.frombuffer(joined, "<u4")]) + 4).tolist()
+        if len(ends) != len(words):
+            return
+        new = {word: joined[start:end] for word, start, end in zip(words, [0, *ends], ends, strict=False)}
+        self.parts.update(itertools.islice(new.items(), max(0, REMEMBERED_PARTS - len(self.parts))))
+        room = REMEMBERED - len(self)
+        for at, (chunk, word, marks) in enumerate(plain):
+            (self if at < room else self.fresh)[chunk] = (new.get(word) or self.parts[word]) + self.part(marks)
+
+    def documents(self, texts: list[str | None], end: int) -> Iterator[bytes]:
+        """The ids of every text with the end id behind them, ``width`` bytes each."""
+        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
+        self.learn(split)
+        last = end.to_bytes(4, "little")
+        for chunks in split:
+            own = b"".join(map(self.__getitem__, chunks)) + last
+            yield own if self.width == 4 else np.frombuffer(own, "<u4").astype("<u2").tobytes()
+
+
+def vocabulary_of(path: str | None) -> Vocabulary:
+    """A Python worker keeps it."""
+    loaded, key = worker_cache("token-store"), path or ""
+    if key not in loaded:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        loaded[key] = Vocabulary(Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER)))
+    return loaded[key]
+
+
 def _hashes(key: str) -> list:
     text = F.col(key).cast("string")
     return [F.xxhash64(text).alias("one"), F.xxhash64(text, F.lit(1)).alias("two")]
@@ -139,13 +196,13 @@ def _unsigned(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def write_shards(documents: DataFrame, folder: str, key: str, tokenizer: str | None, end: int, shard_bytes: int) -> DataFrame:
-    """Write the shards; the stored places (one, two, shard, file, document, offset, n) of all documents in them."""
+    """Write the shards; the stored places (one, two, shard, file, width, document, offset, n) of all documents in them."""
     rows = documents.select(F.col(key).alias("key"), "text", F.monotonically_increasing_id().alias("row"))
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     dealt = rows.repartitionByRange(max(1, math.ceil(size / shard_bytes)), "key", "row").sortWithinPartitions("key", "row")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, last = chunks_of(tokenizer), end.to_bytes(4, "little")
+        vocabulary = vocabulary_of(tokenizer)
         store, root = file_system(folder)
         shard, n, offset = TaskContext.get().partitionId(), 0, 0
         file = f"shard-{shard:07d}-{uuid.uuid4().hex}"
@@ -158,23 +215,23 @@ def write_shards(documents: DataFrame, folder: str, key: str, tokenizer: str | N
                 payload = store.open_output_stream(f"{root}/ids/{file}.ids")
                 lengths = store.open_output_stream(f"{root}/ids/{file}.len")
             sizes = []
-            for text in batch.column(2).to_pylist():
-                own = document_ids(text, chunks)[:-4] + last
+            for own in vocabulary.documents(batch.column(2).to_pylist(), end):
                 payload.write(own)
-                sizes.append(len(own) // 4)
+                sizes.append(len(own) // vocabulary.width)
             sizes = np.array(sizes, np.int64)
             lengths.write(sizes.astype("<u4").tobytes())
-            rows = len(sizes)
+            more = len(sizes)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([shard] * rows, pa.int32()), pa.array([file] * rows, pa.string()),
-                pa.array(np.arange(n, n + rows)), pa.array(offset + np.cumsum(sizes) - sizes), pa.array(sizes),
-            ], ["one", "two", "shard", "file", "document", "offset", "n"])
-            n, offset = n + rows, offset + int(sizes.sum())
+                batch.column(0), batch.column(1), pa.array([shard] * more, pa.int32()), pa.array([file] * more, pa.string()),
+                pa.array([vocabulary.width] * more, pa.int32()), pa.array(np.arange(n, n + more)),
+                pa.array(offset + np.cumsum(sizes) - sizes), pa.array(sizes),
+            ], ["one", "two", "shard", "file", "width", "document", "offset", "n"])
+            n, offset = n + more, offset + int(sizes.sum())
         if payload is not None:
             payload.close()
             lengths.close()
 
-    schema = "one bigint, two bigint, shard int, file string, document bigint, offset bigint, n bigint"
+    schema = "one bigint, two bigint, shard int, file string, width int, document bigint, offset bigint, n bigint"
     return materialize(dealt.select(*_hashes("key"), "text").mapInArrow(write, schema), "places")
 
 
@@ -212,7 +269,9 @@ def write_store(
     """Write all documents into a new store in ``folder``, which every executor can reach."""
     python_tasks(documents.sparkSession)
     places = write_shards(documents, folder, key, tokenizer, end, shard_bytes)
-    each = places.groupBy("shard").agg(F.first("file").alias("file"), F.count("*").alias("documents"), F.sum("n").alias("ids"))
+    each = places.groupBy("shard").agg(
+        F.first("file").alias("file"), F.first("width").alias("width"), F.count("*").alias("documents"), F.sum("n").alias("ids")
+    )
     # One row per shard.
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     before = lambda n: F.coalesce(F.sum(n).over(earlier), F.lit(0))
@@ -260,16 +319,16 @@ def find(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id")
 def lookup(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id", ids: bool = True) -> DataFrame:
     """(key, start, n_tokens, ids_crc32[, ids]) of every document with one of the keys, read from the shards.
 
-    ``start`` counts the ids of all documents before it in the store.
+    ``start`` counts the ids of all documents before it in the store; ``ids`` are 32-bit numbers.
     """
     found = find(spark, folder, keys, key)
-    shards = spark.read.parquet(f"{folder}/shards").select("shard", "file", "documents", "first_document", "first_id")
+    shards = spark.read.parquet(f"{folder}/shards").select("shard", "file", "width", "documents", "first_document", "first_id")
     each = found.select("key", "document", "offset", "copies", F.explode(F.sequence("shard", "last")).alias("in"))
     each = each.join(shards.withColumnRenamed("shard", "in"), "in")
     low = F.greatest("document", "first_document")
     high = F.least(F.col("document") + F.col("copies"), F.col("first_document") + F.col("documents"))
     parts = each.select(
-        "key", "in", "file", "first_id", (low - F.col("first_document")).alias("at"), (high - low).alias("n"),
+        "key", "in", "file", "width", "first_id", (low - F.col("first_document")).alias("at"), (high - low).alias("n"),
         F.when(F.col("document") >= F.col("first_document"), F.col("offset")).otherwise(0).alias("offset"),
     ).where("n > 0").repartition("in").sortWithinPartitions("in", "at").drop("in")
 
@@ -287,8 +346,8 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id
                     columns, names = [*columns, pa.array(held, pa.binary())], [*names, "ids"]
                 return pa.RecordBatch.from_arrays(columns, names)
 
-            columns = (batch.column(i).to_pylist() for i in range(1, 6))
-            for number, (file, first, at, n, offset) in enumerate(zip(*columns, strict=True)):
+            columns = (batch.column(i).to_pylist() for i in range(1, 7))
+            for number, (file, width, first, at, n, offset) in enumerate(zip(*columns, strict=True)):
                 if file != opened:
                     if payload is not None:
                         payload.close()
@@ -297,7 +356,8 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id
                         lengths = np.frombuffer(data.read(), "<u4")
                     opened = file
                 for tokens in lengths[at:at + n].tolist():
-                    own = payload.read_at(4 * tokens, 4 * offset)
+                    own = payload.read_at(width * tokens, width * offset)
+                    own = own if width == 4 else np.frombuffer(own, "<u2").astype("<u4").tobytes()
                     row.append(number)
                     starts.append(first + offset)
                     sizes.append(tokens)

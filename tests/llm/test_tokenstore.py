@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from adtally.llm import tokenstore
+from adtally.llm import packing, tokenstore
 from adtally.llm.queries import op13_token_store
 from adtally.session import scratch_path
 
@@ -80,7 +80,7 @@ def test_shards_hold_raw_ids(spark, tokenizer):
     folder = scratch_path(spark, "store")
     tokenstore.write_store(spark.createDataFrame(texts, "doc_id long, text string"), folder, shard_bytes=100)
     files = sorted(glob.glob(f"{folder.removeprefix('file://')}/ids/*.ids"))
-    ids = np.concatenate([np.fromfile(f, "<u4") for f in files])
+    ids = np.concatenate([np.fromfile(f, "<u2") for f in files])
     assert ids.tolist() == list(itertools.chain(*([*tokenizer.encode(t, add_special_tokens=False).ids, 1] for _, t in texts)))
 
 
@@ -104,6 +104,19 @@ def test_repeated_keys_over_many_shards(spark, tokenizer):
     assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in texts.items()}
 
 
+def test_words_of_a_batch_are_encoded_together(tokenizer, monkeypatch):
+    """The same ids whether a word is remembered, new in the batch, or beyond what is remembered."""
+    monkeypatch.setattr(tokenstore, "REMEMBERED_PARTS", 5)
+    monkeypatch.setattr(packing, "REMEMBERED_PARTS", 5)
+    monkeypatch.setattr(tokenstore, "REMEMBERED", 6)
+    vocabulary = tokenstore.Vocabulary(tokenizer)
+    texts = ["Plain words, and MORE words.", None, "", "naïve größe straßenbahn don't stop", "a\n\nb words. 12 <x> \x85 ½", "new again, plain"]
+    for some in (texts, texts[::-1], [], [None]):
+        got = [np.frombuffer(b, "<u2").tolist() for b in vocabulary.documents(some, 1)]
+        assert got == [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in some]
+    assert len(vocabulary.parts) <= 6
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert tokenstore.store_report(empty).collect() == []
