@@ -19,6 +19,7 @@ ODD = [
     None, "", " ", "  ", "a", " lead", "trail ", "two  blanks   three", "line\nnext\n\nafter\r\n\ttab \n x", "▁mark", "a▁b", "it's  'LL",
     "<|endoftext|> <s> </s> <unk> <0x0A>", "é ﬁ ½ 　 x y ​", "a\x00b", "x!\x1cy \x1f", "x" * 3000, "日本語 テキスト 中文", "🙂🙃 ok🙂",
     "ab " * 2000, "Mixed ÄÖü слово 12,345.67", "\n", "\t \n", "a b \u0085c", "!\x1c \x1d?",
+    "a;\r\n{\r b\t\tc \td", "x" + " " * 5000 + "y", " \n" * 3000,
 ]
 
 
@@ -90,9 +91,10 @@ def test_query(spark, both):
 
 
 def test_odd_texts_need_no_other_ids(both):
-    """Chunks give what the tokenizers give for whole texts."""
+    """The encoder by ranks gives what the tokenizer gives; so does the tokenizer for long runs of white space."""
     tokens = alignment.Tokens(None, None)
-    for text in [*ODD, *(f"{x}{y}{x}" for x in ODD if x for y in (" ", "\n", "", "  "))]:
+    assert tokens.ranks is not None
+    for text in [*ODD, *(f"{x}{y}{x}" for x in ODD if x and len(x) < 100 for y in (" ", "\n", "", "  "))]:
         a, b, *_ = plain(both, text)
         found = tokens.ids(text)
         got = ([], []) if found is None else (np.frombuffer(found[0], "<u2").tolist(), np.frombuffer(found[1], "<u2").tolist())
@@ -117,7 +119,7 @@ def test_crossings(a, b, step):
     assert alignment.crossings(a_ends, b_ends, diagonals).tolist() == want
 
 
-@pytest.mark.parametrize("work", [2, 3, 7, 50, 1 << 20])
+@pytest.mark.parametrize("work", [2, 7, 1 << 20])
 def test_pieces_of_any_size_give_the_same(spark, both, work):
     """Documents cut into many pieces, groups that cross them; repeated rows, a null id, clashing columns."""
     rows = [(n, text[:300] if text else text) for n, text in enumerate(ODD)]
