@@ -23,16 +23,40 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def own_prefix(documents: DataFrame) -> str:
+    """A beginning that no column of ``documents`` has, for columns that an operator adds for itself."""
+    prefix = "_"
+    while any(name.lower().startswith(prefix) for name in documents.columns):
+        prefix += "_"
+    return prefix
+
+
+def columns_of(documents: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col(quoted(name)) for name in documents.columns]
+
+
+def numbered(documents: DataFrame) -> tuple[DataFrame, str]:
+    """The columns named by number, since Python functions take no names with dots, and their schema."""
+    types = ", ".join(f"c{n} {kind}" for n, (_, kind) in enumerate(documents.dtypes))
+    return documents.toDF(*(f"c{n}" for n in range(len(documents.columns)))), types
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def sampled(documents: DataFrame, labels: DataFrame, label: str, folds: int, out: int, most: int) -> DataFrame:
-    """(doc_id, text, y) of at most ``most`` labelled ids outside the held-out fold, chosen by a hash of the id.
+    """(doc_id, text, y) of at most ``most`` labelled documents outside the held-out fold, chosen by a hash of the id.
 
-    A document with several labels counts with the largest; null labels and null ids do not count.
-    The chosen ids are at most ``most`` rows, so they may be broadcast.
+    A document with several labels counts with the largest, an id with several texts with the smallest text; null
+    labels and null ids do not count. The chosen ids are at most ``most`` rows, so they may be broadcast.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != out))
     each = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     chosen = each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
 
 _shipped: set[str] = set()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import python_tasks, raw_texts, worker_cache
+from adtally.llm.common import columns_of, numbered, own_prefix, python_tasks, raw_texts, worker_cache
 from adtally.session import materialize
 
 WINDOW = 10
@@ -102,9 +102,10 @@ def _scan(machine: ahocorasick.Automaton, text: bytes | None) -> tuple[int, list
 
 def _scanned(documents: DataFrame, rows: list[tuple[str, str]], keep_text: bool = False) -> DataFrame:
     """Add n_words, hits and items of one shard; the columns of ``documents`` stay, the text on demand."""
+    own = own_prefix(documents)
     sent, key = documents.sparkSession.sparkContext.broadcast(rows), uuid.uuid4().hex
     at = documents.columns.index("text")
-    kept = [n for n in documents.columns if keep_text or n != "text"]
+    kept = [i for i in range(len(documents.columns)) if keep_text or i != at]
     hits_type = pa.list_(pa.struct([("word", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,15 +117,17 @@ def _scanned(documents: DataFrame, rows: list[tuple[str, str]], keep_text: bool
                 n.append(count)
                 hits.append([{"word": a, "start": b, "end": c} for a, b, c in found])
                 items.append(names)
-            arrays = [batch.column(i) for i in range(batch.num_columns) if keep_text or i != at]
+            arrays = [batch.column(i) for i in kept]
             yield pa.RecordBatch.from_arrays(
                 [*arrays, pa.array(n, pa.int64()), pa.array(hits, hits_type), pa.array(items, pa.list_(pa.string()))],
-                [*kept, "_words", "_hits", "_items"],
+                [*(batch.schema.names[i] for i in kept), "words", "hits", "items"],
             )
 
-    types = dict(documents.dtypes)
-    schema = ", ".join([*(f"`{n}` {types[n]}" for n in kept), "_words bigint", f"_hits {_HITS}", "_items array<string>"])
-    return documents.mapInArrow(scan, schema)
+    plain, _ = numbered(documents)
+    kinds = [kind for _, kind in documents.dtypes]
+    schema = ", ".join([*(f"c{i} {kinds[i]}" for i in kept), "words bigint", f"hits {_HITS}", "items array<string>"])
+    found = plain.mapInArrow(scan, schema)
+    return found.toDF(*(documents.columns[i] for i in kept), f"{own}words", f"{own}hits", f"{own}items")
 
 
 def contamination(documents: DataFrame, items: DataFrame, size: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
@@ -178,7 +181,7 @@ def clean_documents(documents: DataFrame, items: DataFrame, size: int = WINDOW,
     shards = _shards(items, size, shard_chars)
     for at, shard in enumerate(shards):
         found = _scanned(documents, _rows(shard), keep_text=True)
-        documents = found.where(F.size("_hits") == 0).select(*documents.columns)
+        documents = found.where(F.size(f"{own_prefix(documents)}hits") == 0).select(*columns_of(documents))
         if at + 1 < len(shards):
             documents = materialize(documents, "cleaned-of-shards")
     return documents

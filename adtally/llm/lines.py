@@ -21,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adtally.llm.common import columns_of, own_prefix, quoted
 from adtally.session import materialize
 
 MIN_SITES = 5
@@ -33,9 +34,9 @@ def band(min_sites: int, log_k: int = LOG_K) -> tuple[float, float]:
     return min_sites - error, min_sites + error
 
 
-def _key() -> list[Column]:
+def _key(prefix: str = "_") -> list[Column]:
     """A document row is known by its id and text; equal rows get equal results."""
-    return [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text")]
+    return [F.col("doc_id").alias(f"{prefix}id"), F.xxhash64("text").alias(f"{prefix}text")]
 
 
 def lines_of(documents: DataFrame, site: str) -> DataFrame:
@@ -68,43 +69,48 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, log_k: int = LOG_K
 
 
 def without_boilerplate(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """All columns of ``documents`` with the remaining text, and ``_n_lines`` and ``_n_removed``."""
+    """All columns of ``documents`` with the remaining text, and ``n_lines`` and ``n_removed`` behind ``own_prefix``."""
+    own = own_prefix(documents)
     lines = lines_of(documents, site)
     hits = lines.join(boilerplate(lines, min_sites), "line").groupBy("_id", "_text", "line").agg(
         F.first("first").alias("first"), F.min("at").alias("least"), F.collect_set("at").alias("places")
     )
     # In the first document of a line its first occurrence stays.
     gone = F.when(F.col("_id").eqNullSafe(F.col("first")), F.array_remove("places", F.col("least"))).otherwise(F.col("places"))
-    drops = hits.groupBy("_id", "_text").agg(F.flatten(F.collect_list(gone)).alias("_drop"))
-    keyed = documents.select(*documents.columns, *_key())
+    drops = hits.groupBy("_id", "_text").agg(F.flatten(F.collect_list(gone)).alias("drop"))
+    keyed = documents.select(*columns_of(documents), *_key(own))
+    drop, parts = f"{own}drop", f"{own}lines"
     joined = keyed.join(
-        drops.toDF("_drop_id", "_drop_text", "_drop"),
-        F.col("_id").eqNullSafe(F.col("_drop_id")) & (F.col("_text") == F.col("_drop_text")), "left",
+        drops.toDF(f"{own}drop_id", f"{own}drop_text", drop),
+        F.col(f"{own}id").eqNullSafe(F.col(f"{own}drop_id")) & (F.col(f"{own}text") == F.col(f"{own}drop_text")), "left",
     )
-    split = joined.withColumn("_lines", F.split("text", "\n", -1))
-    n = F.coalesce(F.when(F.col("text").isNotNull(), F.size("_lines")), F.lit(0))
-    removed = F.coalesce(F.size("_drop"), F.lit(0))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-    text = F.array_join(F.transform(left, lambda at: F.get(F.col("_lines"), at)), "\n")
-    kept = [F.when(removed > 0, text).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in documents.columns]
-    return split.select(*kept, n.cast("long").alias("_n_lines"), removed.cast("long").alias("_n_removed"))
+    split = joined.withColumn(parts, F.split("text", "\n", -1))
+    n = F.coalesce(F.when(F.col("text").isNotNull(), F.size(parts)), F.lit(0))
+    removed = F.coalesce(F.size(drop), F.lit(0))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(drop))
+    text = F.array_join(F.transform(left, lambda at: F.get(F.col(parts), at)), "\n")
+    rest = F.when(removed > 0, text).otherwise(F.col("text")).alias("text")
+    kept = [rest if c == "text" else F.col(quoted(c)) for c in documents.columns]
+    return split.select(*kept, n.cast("long").alias(f"{own}n_lines"), removed.cast("long").alias(f"{own}n_removed"))
 
 
 def line_report(documents: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_removed, text_sha256) of every document; a null text has the digest of an empty one."""
-    cleaned = without_boilerplate(documents.select("doc_id", "text", "source"))
+    documents = documents.select("doc_id", "text", "source")
+    cleaned, own = without_boilerplate(documents), own_prefix(documents)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return cleaned.select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), digest.alias("text_sha256")
+        "doc_id", F.col(f"{own}n_lines").alias("n_lines"), F.col(f"{own}n_removed").alias("n_removed"), digest.alias("text_sha256")
     )
 
 
 def deduped(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """The documents with their remaining text and its ``n_chars``; those of which nothing is left are gone."""
     cleaned = without_boilerplate(documents, site, min_sites)
-    rest = cleaned.where((F.col("_n_removed") == 0) | F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
-    chars = F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(dict(documents.dtypes)["n_chars"])
-    return rest.withColumn("n_chars", chars).select(*documents.columns)
+    removed = F.col(f"{own_prefix(documents)}n_removed")
+    rest = cleaned.where((removed == 0) | F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
+    chars = F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars")).cast(dict(documents.dtypes)["n_chars"])
+    return rest.withColumn("n_chars", chars).select(*columns_of(documents))
 
 
 SQL = rf"""

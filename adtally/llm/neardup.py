@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.common import python_tasks, raw_texts, worker_cache
+from adtally.llm.common import columns_of, own_prefix, python_tasks, raw_texts, worker_cache
 from adtally.llm.components import components
 from adtally.llm.hashing import hashed_words, mixed
 from adtally.session import materialize
@@ -76,20 +76,20 @@ def _digest(values: np.ndarray) -> bytes:
 
 
 def signatures(documents: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, class, sketch); the class is a digest of the whole set, null without shingles."""
+    """(doc_id, text, n, class, sketch); the class is a digest of the whole set, null without shingles, ``text`` a hash."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("near-duplicates")
         for batch in batches:
-            sets = [shingle_set(text, size) for text in raw_texts(batch.column(1))]
+            sets = [shingle_set(text, size) for text in raw_texts(batch.column(2))]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0),
+                batch.column(0), batch.column(1),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([s[:KEPT] for s in sets], pa.list_(pa.int64())),
-            ], ["doc_id", "n", "class", "sketch"])
+            ], ["doc_id", "text", "n", "class", "sketch"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(sketch, "doc_id bigint, n bigint, class binary, sketch array<bigint>")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
+    return rows.mapInArrow(sketch, "doc_id bigint, text bigint, n bigint, class binary, sketch array<bigint>")
 
 
 def _postings(classes: DataFrame, n: int) -> DataFrame:
@@ -282,8 +282,8 @@ def links_of(documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     return links.union(_still_apart(members, pivots, links, sets))
 
 
-def near_duplicates(documents: DataFrame, size: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document row."""
+def memberships(documents: DataFrame, size: int) -> DataFrame:
+    """(doc_id, text, n_shingles, component_id, kept) of every document row; ``text`` is a hash."""
     python_tasks(documents.sparkSession)
     signed = materialize(signatures(documents, size), "sketches")
     known = signed.where("class is not null and doc_id is not null")
@@ -296,15 +296,22 @@ def near_duplicates(documents: DataFrame, size: int = 5) -> DataFrame:
     final = classes.join(joined, F.col("rep") == F.col("node"), "left").select(
         "class", F.coalesce("component", "rep").alias("component_id")
     )
-    rows = signed.select("doc_id", "n", "class").join(final, "class", "left")
+    rows = signed.select("doc_id", "text", "n", "class").join(final, "class", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"),
+        "doc_id", "text", F.col("n").alias("n_shingles"), own.alias("component_id"),
         F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
 
 
+def near_duplicates(documents: DataFrame, size: int = 5) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document row."""
+    return memberships(documents, size).drop("text")
+
+
 def one_of_each(documents: DataFrame, size: int = 5) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    gone = near_duplicates(documents, size).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti").select(*documents.columns)
+    """The documents that stay, with all their columns. A row goes by its id and text: other texts of its id may stay."""
+    own = own_prefix(documents)
+    gone = memberships(documents, size).where("not kept").select("doc_id", "text").distinct().toDF(f"{own}id", f"{own}text")
+    same = (F.col("doc_id").cast("long") == F.col(f"{own}id")) & (F.xxhash64("text") == F.col(f"{own}text"))
+    return documents.join(gone, same, "left_anti").select(*columns_of(documents))

@@ -29,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import fold, python_tasks, raw_texts, sampled, worker_cache
+from adtally.llm.common import columns_of, fold, numbered, own_prefix, python_tasks, raw_texts, sampled, worker_cache
 from adtally.llm.crf import fit, forward_backward, logistic, summed
 from adtally.llm.hashing import hashed_words
+from adtally.session import materialize
 
 #: A line of the sample takes about 1.5 KB of the driver while the field is fitted.
 TRAIN_DOCUMENTS, TRAIN_LINES, LEAST_EACH = 8000, 300_000, 50
@@ -191,13 +192,11 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Model | None:
 
     python_tasks(documents.sparkSession)
     rows = sampled(documents, labels, "quality", FOLDS, HELD_OUT, TRAIN_DOCUMENTS)
-    binned = rows.select(F.xxhash64("doc_id").alias("place"), "y", "text").mapInArrow(measured, "place bigint, y int, n bigint, bins binary, sizes binary").persist()
-    try:
-        last = enough([tuple(r) for r in binned.select("place", "y", "n").collect()])
-        taken = [(F.col("y") == label) & (F.col("place") <= place) for label, place in last.items()]
-        return train([tuple(r) for r in binned.where(reduce(or_, taken, F.lit(False))).select("y", "bins", "sizes").collect()])
-    finally:
-        binned.unpersist()
+    binned = rows.select(F.xxhash64("doc_id").alias("place"), "y", "text").mapInArrow(measured, "place bigint, y int, n bigint, bins binary, sizes binary")
+    binned = materialize(binned, "labelled-lines")
+    last = enough([tuple(r) for r in binned.select("place", "y", "n").collect()])
+    taken = [(F.col("y") == label) & (F.col("place") <= place) for label, place in last.items()]
+    return train([tuple(r) for r in binned.where(reduce(or_, taken, F.lit(False))).select("y", "bins", "sizes").collect()])
 
 
 def score_texts(model: Model | None, texts: list[bytes | None]) -> np.ndarray:
@@ -218,10 +217,10 @@ def scored(documents: DataFrame, model: Model | None, name: str = "score") -> Da
         worker_cache("quality")
         for batch in batches:
             values = pa.array(score_texts(sent.value, raw_texts(batch.column(at))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, "score"])
 
-    types = ", ".join(f"`{column}` {kind}" for column, kind in documents.dtypes)
-    return documents.mapInArrow(score, f"{types}, `{name}` double")
+    plain, types = numbered(documents)
+    return plain.mapInArrow(score, f"{types}, score double").toDF(*documents.columns, name)
 
 
 def quality_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -235,5 +234,6 @@ def quality_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score reaches the threshold, with all their columns."""
-    rows = scored(documents, fitted(documents, labels), "_score")
-    return rows.where(F.col("_score") >= THRESHOLD).select(*documents.columns)
+    score = f"{own_prefix(documents)}score"
+    rows = scored(documents, fitted(documents, labels), score)
+    return rows.where(F.col(score) >= THRESHOLD).select(*columns_of(documents))

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from adtally.llm.common import fold, python_tasks, raw_texts, sampled, worker_cache
 from adtally.llm.crf import logistic
 from adtally.llm.hashing import hashed_prefixes, small_letters
+from adtally.session import materialize
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
@@ -326,24 +327,22 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Model | None:
 
         return [np.frombuffer(r.words, np.uint64) for r in rows.select("text").mapInArrow(distinct, "words binary").collect()]
 
-    chosen = sampled(documents, labels, "toxic", FOLDS, HELD_OUT, TRAIN_DOCUMENTS).select("y", "text").persist()
-    try:
-        counts = {r.y: r["count"] for r in chosen.groupBy("y").count().collect()}
-        if not counts.get(1) or not counts.get(0):
-            return None
-        vocabulary = learnable(chosen, counts[1] / (counts[0] + counts[1]))
-        toxic, clean = (words_of(chosen.where(F.col("y") == y), vocabulary) for y in (1, 0))
-        lexicon = toxic_words(toxic + clean, np.repeat([1, 0], [len(toxic), len(clean)]))
-        bare = Model(costs, lexicon, np.zeros(5))
-
-        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                columns = [pa.array(c, pa.int64()) for c in _measured(raw_texts(batch.column(1)), bare.words, bare)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["y", "hits", "each", "n"])
+    chosen = sampled(documents, labels, "toxic", FOLDS, HELD_OUT, TRAIN_DOCUMENTS).select("y", "text")
+    chosen = materialize(chosen, "labelled-texts")
+    counts = {r.y: r["count"] for r in chosen.groupBy("y").count().collect()}
+    if not counts.get(1) or not counts.get(0):
+        return None
+    vocabulary = learnable(chosen, counts[1] / (counts[0] + counts[1]))
+    toxic, clean = (words_of(chosen.where(F.col("y") == y), vocabulary) for y in (1, 0))
+    lexicon = toxic_words(toxic + clean, np.repeat([1, 0], [len(toxic), len(clean)]))
+    bare = Model(costs, lexicon, np.zeros(5))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [pa.array(c, pa.int64()) for c in _measured(raw_texts(batch.column(1)), bare.words, bare)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["y", "hits", "each", "n"])
 
-        measures = np.array([tuple(r) for r in chosen.mapInArrow(measure, "y int, hits bigint, each bigint, n bigint").collect()], np.int64)
-    finally:
-        chosen.unpersist()
+    measures = np.array([tuple(r) for r in chosen.mapInArrow(measure, "y int, hits bigint, each bigint, n bigint").collect()], np.int64)
     return Model(costs, lexicon, logistic(_inputs(*measures[:, 1:].T), measures[:, 0], prior=0.1))
 
 

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from adtally.llm import hashing
-from adtally.llm.common import fold, sampled, worker_cache
+from adtally.llm.common import columns_of, fold, own_prefix, sampled, worker_cache
 
 
 def test_fold(spark):
@@ -45,3 +45,18 @@ def test_segments_do_not_change_hashes(monkeypatch):
     parts = hashing.hashed_prefixes(text, (3, 5))
     assert all(np.array_equal(a, b) for a, b in zip(whole[0], parts[0], strict=True))
     assert np.array_equal(whole[1], parts[1]) and np.array_equal(whole[2], parts[2])
+
+
+def test_sample_bounds_rows_of_a_repeated_id(spark):
+    documents = spark.range(5000).selectExpr("cast(1 as long) as doc_id", "concat('t', id) as text").union(
+        spark.createDataFrame([(2, None), (2, None), (3, "x")], "doc_id long, text string")
+    )
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    rows = sampled(documents, labels, "toxic", 4, 9, 10).collect()
+    assert sorted((r.doc_id, r.text, r.y) for r in rows) == [(1, "t0", 1), (2, None, 0), (3, "x", 1)]
+
+
+def test_own_prefix_and_names(spark):
+    rows = spark.createDataFrame([(1, 2, 3, 4)], "`a.b` int, `c``d` int, _x int, __Y int")
+    assert own_prefix(rows) == "___" and own_prefix(rows.select("`a.b`")) == "_"
+    assert rows.select(*columns_of(rows)).collect() == rows.collect()

@@ -112,3 +112,31 @@ def test_odd_rows(spark, tmp_path, rows):
         if name != "packing":
             assert result.columns == docs.columns
             docs = result
+
+
+def test_clashing_columns_pass_through(spark, tmp_path):
+    """Names that the stages use themselves, with values that must come out as they went in."""
+    names = ["_id", "_text", "_drop", "_drop_id", "_drop_text", "_n_lines", "_n_removed", "_lines", "_score", "_gone", "_hits", "_words", "_items", "a.b"]
+    wanted = [f"'{n}' as `{n}`" for n in names]
+    rows = [(i, f"shared line\nown words of number {i} and {i * 7} more {i * 31}", f"site{i}") for i in range(7)] + [(9, "one two three four", "s"), (10, "one two three four", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'en' as lang", "length(text) as n_chars", *wanted)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "own words of number 3 and 21 more 93")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    counts = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, docs, str(tmp_path))
+        assert result.columns == docs.columns
+        found = result.collect()
+        assert all(r[n] == n for r in found for n in names)
+        counts[name], docs = len(found), corpus_pipeline.materialize(result, "clash")
+        if name == "lines":
+            assert sorted(r.doc_id for r in found if "shared line" in r.text) == [0]
+    assert counts == {"quality": 9, "lines": 9, "near_duplicates": 8, "decontamination": 7}
+
+
+def test_texts_of_a_shared_id_are_kept(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long), (2, long), (2, "a unique text that nothing else resembles at all"), (1, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([rows[0], rows[3], rows[2]])
