@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.operators.order import numbered
-from adtally.session import materialize
 
 FeatureColumns = Sequence[tuple[str, str]]
 
@@ -65,19 +64,17 @@ def labelled_rows(
 def encode(rows: DataFrame, index: DataFrame, columns: FeatureColumns) -> DataFrame:
     """Label and ascending feature indices of every row; unknown features are skipped.
 
-    The rows are stored once with a number; their features are unpivoted to (row, feature), meet the
-    dictionary in one join whatever the number of columns, and return to their row by its number.
+    Rows are numbered and their features unpivoted to (row, feature), which meet the dictionary in one join whatever the
+    number of columns; one aggregate brings the indices of a row together. A row whose features are all null or
+    unknown keeps its label, since the unpivoting and the join are outer.
     """
     cells = F.array(*[_feature(column, short) for column, short in columns])
-    stored = materialize(
-        rows.select(F.monotonically_increasing_id().alias("row"), "label", cells.alias("cells")), "feature-rows"
-    )
-    each = stored.select("row", F.explode("cells").alias("feature")).where("feature is not null")
-    known = each.join(index, "feature").groupBy("row").agg(F.array_sort(F.collect_list("idx")).alias("indices"))
-    none = F.array().cast("array<bigint>")
-    return stored.select("row", "label").join(known, "row", "left").select(
-        "label", F.coalesce("indices", none).alias("indices")
+    each = rows.select(F.monotonically_increasing_id().alias("row"), "label", cells.alias("cells"))
+    each = each.select("row", "label", F.explode_outer("cells").alias("feature"))
+    known = each.join(index, "feature", "left").groupBy("row").agg(
+        F.first("label").alias("label"), F.array_sort(F.collect_list("idx")).alias("indices")
     )
+    return known.select("label", "indices")
 
 
 def libsvm_lines(encoded: DataFrame) -> DataFrame:

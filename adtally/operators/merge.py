@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.session import folder_exists, materialize
+from adtally.sinks.files import replace_partitions
+
+BUCKET = "bucket"
+
 
 def additive_merge(
     target: DataFrame, delta: DataFrame, keys: Sequence[str], measures: Sequence[str]
@@ -58,3 +63,32 @@ def stored_beside(
     """Every delta row with the stored measures (``stored_*``, NULL for a new key)."""
     joined = delta.join(_stored(target, [*keys, *measures]), _same_key(keys), "left")
     return joined.select(*delta.columns, *[f"stored_{name}" for name in measures])
+
+
+def merge_into_buckets(
+    delta: DataFrame, path: str, keys: Sequence[str], measures: Sequence[str], buckets: int
+) -> list[int]:
+    """Add a delta to the table below ``path``, rewriting only the buckets that its keys fall in; gives their numbers.
+
+    Rows lie in folders by a hash of their key, so a key has one bucket, and ``buckets`` must stay what it was. The
+    merged rows are stored before the folders are replaced: a merge that fails earlier leaves the table as it was.
+    """
+    spark = delta.sparkSession
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    new = materialize(delta.select(*keys, *measures, number.alias(BUCKET)), "bucket-delta")
+    # At most ``buckets`` rows.
+    touched = sorted(row[BUCKET] for row in new.select(BUCKET).distinct().collect())
+    merged = new
+    if folder_exists(spark, path):
+        merged = additive_merge(read_buckets(spark, path, delta, keys, measures, touched), new, [*keys, BUCKET], measures)
+    replace_partitions(materialize(merged, "merged-buckets"), path, [BUCKET])
+    return touched
+
+
+def read_buckets(
+    spark: SparkSession, path: str, like: DataFrame, keys: Sequence[str], measures: Sequence[str], some: Sequence[int] | None = None
+) -> DataFrame:
+    """Rows of the table, or of some of its buckets; the scan reads their folders only."""
+    schema = like.select(*keys, *measures, F.lit(0).alias(BUCKET)).schema
+    stored = spark.read.schema(schema).parquet(path)
+    return stored if some is None else stored.where(F.col(BUCKET).isin(list(some)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from adtally.functions.labels import TV_CHANNELS
 from adtally.plans.adapters import PACK_WORDS
-from adtally.plans.queries import BOUNDARY, PARTS, REACH_WORDS
+from adtally.plans.queries import ACTIVE_AD, BOUNDARY, LIMITED_FILES, PARTS, REACH_WORDS, START_DAY, START_LINE
 
 TRACKING = """tracking AS (
  SELECT event_id, ts, strftime(ts, '%Y%m%d') AS d, CAST(hour(ts) AS INT) AS h,
@@ -269,6 +269,22 @@ FROM bids WHERE d BETWEEN '20240101' AND '20240131' AND tagid IN ('1', '2', '3',
     "traffic_dynamic_iqiyi": _with(BIDS) + f"""
 SELECT {DAY} AS day, h AS hour, '爱奇艺' AS platform, count(*) AS count
 FROM bids WHERE d BETWEEN '20240101' AND '20240120' GROUP BY ALL""",
+    "traffic_from_rollup": _with(BIDS) + f"""
+SELECT 'full' AS request, {DAY} AS day, h AS hour, '优酷视频' AS platform, {ON_DEMAND_DEVICE} AS device, channel,
+ {SIZE} AS size, {OS} AS os, count(*) AS count, NULL::VARCHAR AS tagid, NULL::VARCHAR AS placementid
+FROM bids WHERE d BETWEEN '20240103' AND '20240125' AND device_type IN (0, 1)
+ AND {OS} IN ('IOS', 'Android', 'Windows') AND channel IN ('c0', 'c1', 'c2', 'c3', 'c4')
+ AND {SIZE} IN ('640x480', '1280x720') GROUP BY ALL
+UNION ALL BY NAME SELECT 'placement' AS request, placementid, tagid, {DAY} AS day, count(*) AS count
+FROM bids WHERE d BETWEEN '20240101' AND '20240131' AND tagid IN ('1', '2', '3', '5', '8', '13')
+ AND placementid IN ('p1', 'p2', 'p3', 'p5', 'p8') GROUP BY ALL
+UNION ALL BY NAME SELECT 'plain' AS request, {DAY} AS day, h AS hour, '爱奇艺' AS platform, count(*) AS count
+FROM bids WHERE d BETWEEN '20240101' AND '20240120' GROUP BY ALL""",
+    "json_inferred": """
+SELECT event_id AS id, CASE event_id % 4 WHEN 0 THEN CAST(event_id % 100 AS VARCHAR) WHEN 1 THEN event_type END AS v,
+ CASE event_id % 4 WHEN 1 THEN user_id END AS user, CASE event_id % 4 WHEN 0 THEN event_id % 7 END AS k,
+ CASE event_id % 4 WHEN 2 THEN CAST(event_id % 8 AS DOUBLE) / 8 END AS w
+FROM (SELECT event_type, user_id, CASE WHEN event_id % 4 < 3 THEN event_id END AS event_id FROM events)""",
     "reach_estimate": _with(BIDS, REACH) + f"""
 SELECT 'youku' AS platform, channel, hour, count(*) AS count FROM reach
 WHERE channel IN ('c0', 'c1', 'c2', '{TV_CHANNELS[0]}', 'c5') AND device IN ('Mobile', 'PC') AND size = '640x480'
@@ -351,6 +367,18 @@ UNION ALL SELECT concat('blk:', name), 'ip' FROM ip_scored WHERE p < 1e-4""",
         f"FROM new JOIN old USING ({ALL_SLICE})",
         positive=False,
     )),
+    "report_merge_buckets": _halves(_finished(
+        f"SELECT {ALL_SLICE}, {SUMS} FROM (SELECT * FROM old UNION ALL SELECT * FROM new) GROUP BY {ALL_SLICE}",
+        positive=False,
+    )),
+    "partition_switch": _with(TRACKING) + _finished(
+        _counts("client_id", where=f"d >= '20240112' AND NOT d BETWEEN '{BOUNDARY}' AND '20240118'") + " UNION ALL "
+        + _counts("client_id", STREAM_BILLED, f"d BETWEEN '{BOUNDARY}' AND '20240118'"),
+        positive=False,
+    ),
+    "active_day_report": _with(TRACKING) + _finished(
+        _counts("client_id", where=f"d IN (SELECT d FROM tracking WHERE ad_id = {ACTIVE_AD} AND event = 6)"), positive=False
+    ),
     "partition_replace": _with(TRACKING) + _finished(
         _counts("client_id", where=f"d < '{BOUNDARY}'") + " UNION ALL "
         + _counts("client_id", STREAM_BILLED, f"d >= '{BOUNDARY}'"),
@@ -359,6 +387,19 @@ UNION ALL SELECT concat('blk:', name), 'ip' FROM ip_scored WHERE p < 1e-4""",
     "stream_report": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
     "stream_report_folded": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
     "stream_replay_safe": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
+    "stream_from_offsets": _with(
+        TRACKING.replace("tracking AS", "every AS", 1),
+        f"""tracking AS (
+ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY d ORDER BY event_id) AS line FROM every)
+ WHERE d > '{START_DAY}' OR (d = '{START_DAY}' AND line > {START_LINE}))""",
+    ) + _finished(STREAM_COUNTS, positive=False),
+    "stream_limited": _with(TRACKING) + f"SELECT *, CAST({LIMITED_FILES} AS BIGINT) AS batches FROM ({_finished(STREAM_COUNTS, positive=False)})",
+    "stream_pane_counts": """
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
+ strftime(w + INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S') AS window_end, word, count(*) AS n
+FROM (SELECT unnest([event_type, 'any']) AS word,
+  time_bucket(INTERVAL 10 SECOND, ts) - INTERVAL 10 SECOND * back AS w
+ FROM events, (SELECT unnest(range(6)) AS back)) GROUP BY w, word""",
     "stream_sliding_counts": """
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
  strftime(w + INTERVAL 20 SECOND, '%Y-%m-%d %H:%M:%S') AS window_end, word, count(*) AS n
@@ -372,6 +413,9 @@ FROM (SELECT unnest([event_type, 'any']) AS word,
 SELECT concat_ws(' ', CAST(label AS VARCHAR), concat(a.idx, ':1'), concat(b.idx, ':1')) AS value
 FROM labelled LEFT JOIN feature_ids a ON a.feature = concat('sc_', subchannel)
  LEFT JOIN feature_ids b ON b.feature = concat('cr_', creative_id)""",
+    "ctr_split": _with(DELIVERIES, LABELLED) + """
+SELECT CASE WHEN CAST(concat('0x', left(md5(CAST(click_uuid AS VARCHAR)), 8)) AS BIGINT) % 1000 < 800 THEN 'train' ELSE 'test' END AS part,
+ subchannel, count(*) AS n, CAST(sum(label) AS BIGINT) AS converted FROM labelled GROUP BY ALL""",
     "ctr_auc": _with(DELIVERIES, LABELLED) + """
 , scored AS (SELECT label, price AS score FROM labelled),
 points AS (SELECT score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM scored GROUP BY score),

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.functions.labels import TV_CHANNELS
-from adtally.operators import anomaly, ctr, features, keywords, merge, profiles, reports, traffic
+from adtally.operators import anomaly, ctr, features, keywords, merge, profiles, reports, rollups, traffic
+from adtally.operators.slices import active_slices, in_slices
 from adtally.operators.tracking import normalize, parse_lines, rejected_lines, to_log_lines
 from adtally.plans import adapters as a
 from adtally.session import materialize, scratch_path
 from adtally.sinks.exports import json_message
-from adtally.sinks.files import replace_partitions, write_lines
+from adtally.sinks.files import partitioned_table, replace_partitions, switch_partition, write_lines
+from adtally.sources.logs import inferred_json_rows, stream_file_lines
 from adtally.sources.models import read_libsvm
+from adtally.sources.offsets import stream_log_lines
 from adtally.sources.requests import ReachSpec, ReportSpec
 from adtally.streaming import report as stream
 from adtally.streaming import windows
@@ -90,8 +95,8 @@ def tracking_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_rows_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a stream keeps of the same lines."""
-    return _as_double(stream.stream_rows(_dirty_lines(spark, sf_dir)), "price")
+    """What a stream keeps of the same lines, which are stored first, as a log is."""
+    return _as_double(stream.stream_rows(materialize(_dirty_lines(spark, sf_dir), "log-lines")), "price")
 
 
 @query
@@ -183,6 +188,27 @@ def traffic_dynamic_iqiyi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _traffic(spark, sf_dir, PLAIN_REQUEST)
 
 
+REQUESTS = {"full": FULL_REQUEST, "placement": PLACEMENT_REQUEST, "plain": PLAIN_REQUEST}
+#: Groupings that are kept: one each for requests by client and by place, coarse ones, and the hours of a platform without more.
+GROUPINGS = [
+    ("hour", "device", "channel", "size", "os"), ("tagid", "placementid"), ("device", "os"), ("channel",), ("hour",),
+]
+
+
+@query
+def traffic_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three requests above, answered from stored rollups."""
+    bids, parts = _bids(spark, sf_dir), []
+    paths = {platform: scratch_path(spark, f"rollups-{platform}") for platform in ("youku", "iqiyi")}
+    rollups.store_rollups(bids, paths["youku"], GROUPINGS)
+    rollups.store_rollups(bids, paths["iqiyi"], [("hour",)], "iqiyi")
+    for name, request in REQUESTS.items():
+        spec = ReportSpec.from_json(request)
+        rows = traffic.display_rows(rollups.rollup_report(spark, paths[spec.platform], spec, bids))
+        parts.append(rows.withColumn("request", F.lit(name)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 REACH_WORDS = ["click", "signup", "k3", "k7", "u1"]
 REACH_REQUEST = """{"id": 7, "path": "packs:one", "channel": ["c0", "c1", "c2", "%s", "c5"],
  "device": ["Mobile", "PC"], "size": ["640x480"], "system": ["Windows", "Linux", "Mac", "IOS", "Android", "Other"],
@@ -372,6 +398,7 @@ def low_probability_blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Merges and sinks
 
 BOUNDARY = "20240115"
+ACTIVE_AD = 7
 REPORT_KEYS = reports.GRAIN["all_report"]
 
 
@@ -417,6 +444,44 @@ def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.finish(stored, positive_only=False)
 
 
+@query
+def report_merge_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge in place: only the buckets of the keys of a batch are written again."""
+    path = scratch_path(spark, "report-buckets")
+    target, delta = _halves(spark, sf_dir)
+    for rows in (target, delta):
+        merge.merge_into_buckets(rows, path, REPORT_KEYS, reports.MEASURES, 32)
+    stored = merge.read_buckets(spark, path, target, REPORT_KEYS, reports.MEASURES).drop(merge.BUCKET)
+    return reports.finish(stored, positive_only=False)
+
+
+@query
+def partition_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report table by day, some of whose days are switched to rows under other billing."""
+    path, name = scratch_path(spark, "partition-switch"), f"report_{uuid.uuid4().hex}"
+    keys = ["client_id", *reports.SLICE]
+    rows = _tracking(spark, sf_dir)
+    first = materialize(reports.rollup(rows, keys), "first-billing")
+    later = rows.where(F.col("d").between(BOUNDARY, "20240118"))
+    second = materialize(reports.rollup(later, keys, reports.stream_billing), "second-billing")
+    partitioned_table(first, name, path)
+    for version in (first.where(F.col("d") >= "20240112"), second):
+        for row in version.select("d").distinct().orderBy("d").collect():
+            switch_partition(version.where(F.col("d") == row.d), name, path, "d", row.d)
+    return reports.finish(spark.table(name), positive_only=False)
+
+
+@query
+def active_day_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the days on which an ad was active; days come from a join and prune the stored table as it runs."""
+    path = scratch_path(spark, "tracking-by-day")
+    replace_partitions(_tracking(spark, sf_dir), path, ["d"])
+    active = materialize(active_slices(_tracking(spark, sf_dir), ACTIVE_AD, ["d"]), "active-days")
+    stored = spark.read.parquet(path).withColumn("d", F.col("d").cast("string"))
+    rows = in_slices(stored, active.where(F.col("ad_id") == ACTIVE_AD), ["d"])
+    return reports.finish(reports.rollup(rows, ["client_id", *reports.SLICE]), positive_only=False)
+
+
 # Streams
 
 
@@ -447,10 +512,10 @@ def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_report_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches, the second and third with late hours for days that are folded before them."""
     path = scratch_path(spark, "stream-folded")
-    lines = to_log_lines(_tracking(spark, sf_dir), a.log_stamp())
     parts = F.pmod(F.xxhash64("value"), F.lit(3))
+    lines = materialize(to_log_lines(_tracking(spark, sf_dir), a.log_stamp()).withColumn("part", parts), "log-lines")
     for batch in range(3):
-        rows = stream.stream_rows(lines.where(parts == batch))
+        rows = stream.stream_rows(lines.where(F.col("part") == batch))
         stream.store_batch(stream.batch_counts(rows), path, "one", batch, by=["d"])
         stream.fold(spark, path, f"d <= '{BOUNDARY}'" if batch < 2 else "d > '20240120'")
     return stream.read_report(spark, path)
@@ -465,8 +530,28 @@ def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     counts = windows.sliding_counts(lines, watermark=None)
     windows.start_sliding_counts(counts, f"{path}/counts", f"{path}/state").awaitTermination()
+    return _window_rows(spark, f"{path}/counts")
+
+
+@query
+def stream_pane_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a minute every ten seconds, as sums of panes; a later line without words ends the last of them."""
+    path = scratch_path(spark, "stream-panes")
+    lines = a.table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.concat_ws(" ", "event_type", F.lit("any")).alias("value")
+    )
+    end = lines.agg(F.max("ts") + F.expr("INTERVAL 1 DAY")).select(F.col("*"), F.lit(None).cast("string")).toDF("ts", "value")
+    for rows in (lines, end):
+        rows.write.mode("append").parquet(f"{path}/lines")
+        stored = spark.readStream.schema(lines.schema).parquet(f"{path}/lines")
+        counts = windows.pane_counts(stored, "0 seconds", "60 seconds", "10 seconds")
+        windows.start_sliding_counts(counts, f"{path}/counts", f"{path}/state", mode="append").awaitTermination()
+    return _window_rows(spark, f"{path}/counts")
+
+
+def _window_rows(spark: SparkSession, path: str) -> DataFrame:
     stamp = "yyyy-MM-dd HH:mm:ss"
-    return windows.read_sliding_counts(spark, f"{path}/counts").select(
+    return windows.read_sliding_counts(spark, path).select(
         F.date_format("window_start", stamp).alias("window_start"),
         F.date_format("window_end", stamp).alias("window_end"),
         "word",
@@ -474,9 +559,72 @@ def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+START_DAY, START_LINE = "20240110", 5
+
+
+@query
+def stream_from_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report that starts within a day's file, stops when the days up to the boundary are read, and goes on with the rest."""
+    path = scratch_path(spark, "stream-offsets")
+    rows = _tracking(spark, sf_dir).withColumn("id", F.col("event_id").cast("string"))
+    lines = to_log_lines(rows, a.log_stamp()).select(
+        "value", F.substring("value", 1, 8).alias("d"), F.regexp_extract("value", '"id":"([0-9]+)"', 1).cast("long").alias("n")
+    )
+    stored = materialize(lines, "log-lines")
+    for days in (F.col("d") <= BOUNDARY, F.col("d") > BOUNDARY):
+        part = stored.where(days).repartition("d").sortWithinPartitions("d", "n").drop("n")
+        part.write.mode("append").partitionBy("d").text(f"{path}/logs")
+        file = spark.read.text(f"{path}/logs").where(F.col("d") == START_DAY).select("_metadata.file_name").first()
+        start = {"file": f"d={START_DAY}/{file.file_name}", "line": START_LINE}
+        logs = stream_log_lines(spark, f"{path}/logs", start)
+        stream.start_report(logs, f"{path}/counts", f"{path}/state", by=["d"]).awaitTermination()
+    return stream.read_report(spark, f"{path}/counts")
+
+
+@query
+def stream_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running report with one file admitted to a batch, and how many batches there were."""
+    path = scratch_path(spark, "stream-limited")
+    lines = to_log_lines(_tracking(spark, sf_dir), a.log_stamp())
+    write_lines(materialize(lines, "log-lines"), f"{path}/logs", files=LIMITED_FILES)
+    logs = stream_file_lines(spark, f"{path}/logs", max_files_per_trigger=1)
+    stream.start_report(logs, f"{path}/counts", f"{path}/state", by=["d"]).awaitTermination()
+    batches = spark.read.parquet(f"{path}/counts/batches").agg(F.countDistinct("batch_id"))
+    return stream.read_report(spark, f"{path}/counts").withColumn("batches", batches.scalar())
+
+
+LIMITED_FILES = 5
+
+
+@query
+def json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON texts with differing fields, a field of two types and a nested one, some of them no JSON at all."""
+    n, events = F.col("event_id"), a.table(spark, sf_dir, "events")
+    texts = (
+        F.when(n % 4 == 0, F.to_json(F.struct(n.alias("id"), (n % 100).alias("v"), F.struct((n % 7).alias("k")).alias("props"))))
+        .when(n % 4 == 1, F.to_json(F.struct(n.alias("id"), F.col("event_type").alias("v"), F.col("user_id").alias("user"))))
+        .when(n % 4 == 2, F.to_json(F.struct(n.alias("id"), (n % 8 / 8).alias("w"))))
+        .otherwise(F.concat(F.lit("no json "), n.cast("string")))
+    )
+    rows = inferred_json_rows(materialize(events.select(texts.alias("value")), "json-texts"))
+    return rows.select("id", "v", "user", F.col("props.k").alias("k"), F.col("w").cast("double").alias("w"))
+
+
 # Conversion model
 
 
+@query
+def ctr_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and conversions of both parts of a split by click."""
+    rows = features.labelled_rows(_deliveries(spark, sf_dir), a.conversions(a.table(spark, sf_dir, "orders")))
+    parts = zip(("train", "test"), ctr.split_by_key(rows, "click_uuid", 0.8), strict=True)
+    counted = [
+        part.groupBy("subchannel").agg(F.count("*").alias("n"), F.sum("label").alias("converted")).withColumn("part", F.lit(name))
+        for name, part in parts
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.feature_index(features.feature_values(_deliveries(spark, sf_dir), a.FEATURES))
 
@@ -521,7 +669,7 @@ def ctr_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
         _deliveries(spark, sf_dir), a.conversions(a.table(spark, sf_dir, "orders"))
     )
     scored = rows.select(F.col("label").cast("double").alias("label"), (F.col("price").cast("double") / 200000).alias("score"))
-    areas = ctr.areas(materialize(scored, "fixed-scores"))
+    areas = ctr.areas(scored)
     return spark.createDataFrame([(name, round(value, 6)) for name, value in areas.items()], "metric string, value double")
 
 

@@ -94,6 +94,19 @@ def job_scratch(spark: SparkSession):
         drop_folder(spark, path)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Settings of the session that hold within the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def owns_scratch(job):
     """A job (first argument: the session) that returns no DataFrame and leaves no scratch tables."""
     @functools.wraps(job)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -52,3 +53,24 @@ def replace_partitions(
         .partitionBy(*by)
         .parquet(path)
     )
+
+
+def partitioned_table(like: DataFrame, name: str, path: str, by: str = "d") -> None:
+    """An external table whose partitions are added by ``switch_partition``."""
+    columns = ", ".join(f"`{column}` {kind}" for column, kind in like.dtypes)
+    like.sparkSession.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{by}`) LOCATION '{path}'")
+
+
+def switch_partition(df: DataFrame, name: str, path: str, by: str, value: str) -> str:
+    """Give a partition of the table new rows, written beside the old ones first; gives their folder.
+
+    The partition then points to the new folder in one step, so readers find the old rows or the new ones, never some
+    of each. The old files stay for readers that were planned before; whoever knows that there are none may delete them.
+    """
+    spark = df.sparkSession
+    folder = f"{path}/{by}={value}/{uuid.uuid4().hex}"
+    df.drop(by).write.parquet(folder)
+    part = f"PARTITION (`{by}` = '{value}')"
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {part} LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{folder}'")
+    return folder

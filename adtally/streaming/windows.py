@@ -7,13 +7,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adtally.schemas import WINDOW_COUNTS
-from adtally.session import DEFAULTS, drop_folder, materialize
+from adtally.session import DEFAULTS, drop_folder, materialize, settings
 from adtally.sinks.files import replace_partitions
 from adtally.streaming.naming import BATCH, batch_stream
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
+def _words(lines: DataFrame, watermark: str | None) -> DataFrame:
+    """(ts, word) of every word of ``value``."""
+    if watermark:
+        lines = lines.withWatermark("ts", watermark)
+    text = F.rtrim("value")
+    blank = (text == "") & (F.col("value") != "")
+    return lines.select("ts", F.explode(F.when(~blank, F.split(text, " "))).alias("word"))
+
+
+def _shown(counts: DataFrame) -> DataFrame:
+    return counts.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "word", "n"
+    )
+
+
 def sliding_counts(
     lines: DataFrame,
     watermark: str | None,
@@ -25,42 +40,45 @@ def sliding_counts(
     Works on a table and on a stream. The watermark lets a stream forget old windows; None keeps every
     window, which only a source that ends can afford.
     """
-    if watermark:
-        lines = lines.withWatermark("ts", watermark)
-    text = F.rtrim("value")
-    blank = (text == "") & (F.col("value") != "")
-    split = F.when(~blank, F.split(text, " "))
-    words = lines.select("ts", F.explode(split).alias("word"))
-    counts = words.groupBy(F.window("ts", size, slide).alias("w"), "word").agg(
-        F.count("*").alias("n")
-    )
-    return counts.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "word", "n"
-    )
+    words = _words(lines, watermark)
+    return _shown(words.groupBy(F.window("ts", size, slide).alias("w"), "word").agg(F.count("*").alias("n")))
+
+
+def pane_counts(lines: DataFrame, watermark: str | None, size: str = "20 seconds", slide: str = "10 seconds") -> DataFrame:
+    """The same counts, from panes: a row counts once, in the pane of one slide, and a window is the sum of its panes.
+
+    ``sliding_counts`` copies every row into all its windows; here the counts of a pane are copied, once
+    the watermark has closed it. As a stream both steps keep state, rows come out when their window has ended
+    (append mode), and the watermark is needed.
+    """
+    panes = _words(lines, watermark).groupBy(F.window("ts", slide).alias("pane"), "word").agg(F.count("*").alias("n"))
+    windows = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), "word")
+    return _shown(windows.agg(F.sum("n").alias("n")))
 
 
 def start_sliding_counts(
-    counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, mode: str = "update"
 ) -> StreamingQuery:
-    """Store the windows each batch changes, one partition per stream and batch.
+    """Store the windows each batch changes (or, in append mode, ends), one partition per stream and batch.
 
     The stream is named by the query id, which belongs to the checkpoint: streams on one path do not
     touch each other, and one that is started without its checkpoint is another stream. The state is
     kept by RocksDB, on disk, since the number of open windows grows with the data.
     """
     spark = counts.sparkSession
-    spark.conf.set(STATE_STORE, DEFAULTS[STATE_STORE])
 
     def store(batch: DataFrame, batch_id: int) -> None:
         replace_partitions(_named(batch, batch_stream(spark), batch_id), path, BATCH)
 
-    return (
-        counts.writeStream.outputMode("update")
+    writer = (
+        counts.writeStream.outputMode(mode)
         .foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    with settings(spark, {STATE_STORE: DEFAULTS[STATE_STORE]}):
+        # A query keeps the settings it was started with.
+        return writer.start()
 
 
 def _named(rows: DataFrame, stream_id: str, batch_id: int) -> DataFrame:
