@@ -15,13 +15,18 @@ representative; links are sought between classes only.
    copies gives one pair per member.
 4. Pairs of unlike sizes go; for the others the sketch of the union estimates the similarity, and those
    far below the limit go. The rest are confirmed on the full sets of shingle hashes.
-5. Members of a pivot's group that are still apart from the pivot's component are compared with all of
-   the group on full sets, block by block; only a link for each component that it joins comes out.
+5. Groups of which members are still apart from the pivot's component are looked at by full sets. Values
+   are ranked from rare to common over all such groups; two sets as similar as asked share one of the first
+   fifth of theirs (``ranked``). What only one class holds counts for the rank but needs no list, so
+   pages of one template with a fifth or more of their own have none. Short lists give pairs as in step 1, for step 4.
+6. Only classes that share such a value with very many others go on: those apart are compared with the
+   others of their pivot's group, block by block, and a link for each component that one joins comes out. Of two sets
+   as similar, the smaller has a ninth of its values for itself at most, so others than these meet these only.
 
 Components are found by label rounds over the confirmed links (``components``). Full sets are made
 only for classes in likely pairs and of step 3. No list is cut off, and no step collects one without a
-bound or sends links to the driver. Step 5 is the only one whose work grows with a product: members
-that are apart times members of their group.
+bound or sends links to the driver. Step 6 is the only one whose work grows with a product: classes that
+are apart times those of their group, of those with hardly any values that are not common.
 
 A document without words or text has no shingle and is linked with nothing. A null id has no
 component and is kept. Repeated rows of an id are linked by their texts like any others, and each row
@@ -96,13 +101,13 @@ def _postings(classes: DataFrame, n: int) -> DataFrame:
     return classes.select("key", F.explode(F.slice("sketch", 1, n)).alias("value"))
 
 
-def _list_pairs(postings: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs that share at least ``SHARED`` lists of at most ``HOT`` members."""
+def _list_pairs(postings: DataFrame, held: DataFrame, least: int = SHARED) -> DataFrame:
+    """Pairs that share at least so many lists of at most ``HOT`` members."""
     short = held.where(F.col("held").between(2, HOT)).select("value")
     lists = postings.join(short, "value").groupBy("value").agg(F.array_sort(F.collect_list("key")).alias("members"))
     heads = lists.select("members", F.posexplode("members").alias("at", "a"))
     pairs = heads.select("a", F.explode(F.slice("members", F.col("at") + 2, F.lit(HOT))).alias("b")).where("a != b")
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= SHARED).select("a", "b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least).select("a", "b")
 
 
 def _cold_enough() -> Column:
@@ -220,7 +225,30 @@ def _compared(table: pa.Table) -> pa.Table:
     return pa.table({"rep_a": pa.array([a for a, _ in found], pa.int64()), "rep_b": pa.array([b for _, b in found], pa.int64())})
 
 
-def _still_apart(members: DataFrame, pivots: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+def ranked(sets: DataFrame, size: Column) -> DataFrame:
+    """Stored (key, n, own, value, held): the first values of each set, from rare to common, that another set may share.
+
+    ``own`` is how many of its ``n`` values the set has for itself, and ``held`` how many sets have the value. Sets
+    with a similarity of ``SIMILAR`` percent share one of the first ``n - ceil(n SIMILAR / 100) + 1`` in one common order.
+    """
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                values = np.frombuffer(data, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), key)), pa.array(values)], ["key", "value"])
+
+    values = sets.select("key", "shingles").mapInArrow(each, "key bigint, value bigint")
+    counts = values.groupBy("value").agg(F.count("*").alias("held")).where("held > 1")
+    shared = values.join(materialize(counts, "shared-shingles"), "value").join(sets.select("key", size.alias("n")), "key")
+    by_key = Window.partitionBy("key")
+    own = F.col("n") - F.count("*").over(by_key)
+    first = F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1
+    place = F.row_number().over(by_key.orderBy("held", "value"))
+    rows = shared.select("key", "n", own.alias("own"), "value", "held", place.alias("place"))
+    return materialize(rows.where(F.col("own") + F.col("place") <= first).drop("place"), "first-shingles")
+
+
+def _still_apart(members: DataFrame, pivots: DataFrame, links: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (rep_a, rep_b) of members that no link has brought to the component of their group's pivot."""
     joined = components(links.select("rep_a", "rep_b").toDF("a", "b"))
     held = members.join(pivots, "value").groupBy("key", "pivot").agg(F.count("*").alias("values"))
@@ -232,21 +260,44 @@ def _still_apart(members: DataFrame, pivots: DataFrame, links: DataFrame, sets:
     named = named.select("key", "bytes", F.coalesce("component", "rep").alias("component"))
     rows = groups.join(named, "key").join(named.select(F.col("key").alias("pivot"), F.col("component").alias("main")), "pivot")
     rows = materialize(rows.withColumn("apart", F.col("component") != F.col("main")), "groups")
+    open_groups = rows.where("apart").select("pivot").distinct()
+    rows = rows.join(open_groups, "pivot", "left_semi")
+    keys = rows.groupBy("key").agg(F.first("component").alias("component"), F.max("apart").alias("apart"))
+    first = ranked(sets.join(keys.select("key"), "key", "left_semi"), (F.length("shingles") / 8).cast("bigint"))
+    lists = first.groupBy("value").agg(F.count("*").alias("held"))
+    near = _list_pairs(first.select("key", "value"), lists, 1)
+    for side in ("a", "b"):
+        near = near.join(keys.select(F.col("key").alias(side), F.col("component").alias(f"c_{side}"), F.col("apart").alias(f"apart_{side}")), side)
+    near = near.where("c_a != c_b and (apart_a or apart_b)").select("a", "b")
+    found = _confirmed(_likely(near, classes), sets).select("rep_a", "rep_b")
+    common = lists.where(F.col("held") > HOT).select("value")
+    # Of n values a ninth may be a set's own if it is the smaller one of a pair.
+    least = 2 * F.col("n") * SIMILAR <= (F.col("n") - F.col("own")) * (100 + SIMILAR)
+    deep = first.join(common, "value", "left_semi").groupBy("key").agg(F.first(least).alias("shares"))
+    return found.union(_block_links(rows.join(deep, "key"), sets))
+
+
+def _block_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of the rows that are apart with all others of their group, or with those that share most values."""
+    rows = rows.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("kind")).where("kind or shares or apart")
+    mine = F.col("apart") & (F.col("shares") == F.col("kind"))
+    rows = rows.select("pivot", "kind", "key", "bytes", "component", mine.alias("apart"), (F.col("kind") | F.col("shares")).alias("other"))
+    rows = materialize(rows.where("apart or other"), "common-groups")
 
     def blocks(which: Column) -> Column:
         most = F.greatest(F.count(F.when(which, 1)) / BLOCK_ROWS, F.sum(F.when(which, F.col("bytes"))) / BLOCK_BYTES)
         return F.greatest(F.lit(1), F.ceil(most)).cast("int")
 
-    counted = rows.groupBy("pivot").agg(
-        F.count(F.when(F.col("apart"), 1)).alias("n_apart"), blocks(F.col("apart")).alias("mine"), blocks(F.lit(True)).alias("theirs")
+    counted = rows.groupBy("pivot", "kind").agg(
+        F.count(F.when(F.col("apart"), 1)).alias("n_apart"), blocks(F.col("apart")).alias("mine"), blocks(F.col("other")).alias("theirs")
     ).where("n_apart > 0").drop("n_apart")
-    rows = rows.join(counted, "pivot")
+    rows = rows.join(counted, ["pivot", "kind"])
     own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    one = rows.where("apart").select("pivot", own("mine").alias("mine"), every("theirs").alias("theirs"), "key", "component", F.lit(True).alias("apart"))
-    two = rows.select("pivot", every("mine").alias("mine"), own("theirs").alias("theirs"), "key", "component", F.lit(False).alias("apart"))
+    one = rows.where("apart").select("pivot", "kind", own("mine").alias("mine"), every("theirs").alias("theirs"), "key", "component", F.lit(True).alias("apart"))
+    two = rows.where("other").select("pivot", "kind", every("mine").alias("mine"), own("theirs").alias("theirs"), "key", "component", F.lit(False).alias("apart"))
     pairs = one.unionByName(two).join(sets, "key")
-    return materialize(pairs.groupBy("pivot", "mine", "theirs").applyInArrow(_compared, "rep_a bigint, rep_b bigint").distinct(), "late-links")
+    return materialize(pairs.groupBy("pivot", "kind", "mine", "theirs").applyInArrow(_compared, "rep_a bigint, rep_b bigint").distinct(), "late-links")
 
 
 def links_of(documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:
@@ -279,7 +330,7 @@ def links_of(documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     wanted = likely.select(F.explode(F.array("a", "b")).alias("key")).union(mostly.select("key"))
     sets = _full_sets(wanted, documents, classes, size)
     links = _confirmed(likely, sets).select("rep_a", "rep_b")
-    return links.union(_still_apart(members, pivots, links, sets))
+    return links.union(_still_apart(members, pivots, links, sets, classes))
 
 
 def memberships(documents: DataFrame, size: int) -> DataFrame:

@@ -95,3 +95,27 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (201, 202), (5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 0, 200: 200, 201: 200, 202: 200}
+
+
+@pytest.mark.parametrize("own, most", [(200, 0), (40, 123 * 14)])
+def test_pages_of_one_template(spark, monkeypatch, own, most):
+    """A common template and own words: pages that cannot be alike are not compared; those that are, are found."""
+    monkeypatch.setattr(neardup, "HOT", 8)
+    seen, plain = [], neardup._block_links
+
+    def counted(rows, sets):
+        n = {(r.apart, r.shares): r["count"] for r in rows.groupBy("apart", "shares").count().collect()}
+        sharing = n.get((True, True), 0) + n.get((False, True), 0)
+        seen.append(n.get((True, True), 0) * sum(n.values()) + n.get((True, False), 0) * sharing)
+        return plain(rows, sets)
+
+    monkeypatch.setattr(neardup, "_block_links", counted)
+    rng = random.Random(own)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    template = [word() for _ in range(300)]
+    pages = [template[:150] + [word() for _ in range(own)] + template[150:] for _ in range(120)]
+    pages += [edited(rng, pages[n], 0.01) for n in (3, 50, 77)]
+    rows = list(enumerate(" ".join(p) for p in pages))
+    want = same(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5), rows, 5)
+    assert all(want[120 + i][1] == want[n][1] for i, n in enumerate((3, 50, 77)))
+    assert len(seen) == 1 and seen[0] <= most
