@@ -29,7 +29,9 @@ def inferred_schema(lines: DataFrame, column: str = "value") -> StructType:
     are null throughout. Texts that are not a JSON object do not count.
     """
     objects = lines.select(F.try_parse_json(column).alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
-    found = objects.agg(F.schema_of_variant_agg("v")).first()[0] or "OBJECT<>"
+    found = objects.agg(F.schema_of_variant_agg("v")).first()[0]
+    if not found.startswith("OBJECT<"):  # no object at all
+        return StructType()
     text = re.sub(r"\b(VARIANT|VOID)\b(?=[,>])", "STRING", found.replace("OBJECT<", "STRUCT<"))
     return _parse_datatype_string(text) if text != "STRUCT<>" else StructType()
 
