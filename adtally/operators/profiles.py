@@ -8,11 +8,16 @@ all requests is spread over all tasks until one small row per task is left of it
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.functions.dates import epoch_day_number, epoch_hour
 from adtally.functions.numbers import ratio2
+from adtally.session import folder_exists
+from adtally.sinks.files import replace_partitions
 from adtally.sources.tables import day_between
 
 
@@ -23,8 +28,9 @@ def device_usage(
     width: int = 640,
     height: int = 480,
     zone_offset: int = 0,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Videos and hour mask per device, IP and day, for devices with a dashed id."""
+    """Videos and hour mask per device, IP and day (and the columns ``by``), for devices with a dashed id."""
     rows = bids.where(
         day_between(start, end)
         & (F.col("width") == width)
@@ -36,11 +42,43 @@ def device_usage(
         "ip",
         epoch_day_number(F.col("time_i"), zone_offset).alias("day"),
         F.call_function("shiftleft", F.lit(1), epoch_hour(F.col("time_i"), zone_offset)).alias("bit"),
-    ).groupBy("idfa", "ip", "day").agg(
+        *by,
+    ).groupBy("idfa", "ip", "day", *by).agg(
         F.count("*").alias("videos"), F.bit_or("bit").alias("mask")
     )
 
 
+def update_usage(bids: DataFrame, path: str, start: str, end: str, **size: int) -> list[str]:
+    """Store the usage of the days of a range that are not stored yet; gives those days.
+
+    Usage is kept per day, so a profile of any range is an aggregate of stored days. Bids are read for new days only, in
+    one pass. A day is known as stored by a row of its own, which also days without usage get.
+    """
+    spark = bids.sparkSession
+    wanted = [(day(start) + dt.timedelta(n)).strftime("%Y%m%d") for n in range((day(end) - day(start)).days + 1)]
+    done = set()
+    if folder_exists(spark, f"{path}/days"):
+        days = spark.read.schema("d string").parquet(f"{path}/days")
+        done = {row.d for row in days.where(day_between(start, end)).collect()}
+    new = [d for d in wanted if d not in done]
+    if new:
+        rows = bids.where(F.col("d").isin(new))
+        replace_partitions(device_usage(rows, by=("d",), **size), f"{path}/usage", ["d"])
+        replace_partitions(spark.createDataFrame([(d, d) for d in new], "d string, day string"), f"{path}/days", ["d"])
+    return new
+
+
+def day(compact: str) -> dt.date:
+    return dt.datetime.strptime(compact, "%Y%m%d").date()
+
+
+def stored_usage(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
+    """The usage of a range of stored days, as ``device_usage`` gives it; only their folders are read."""
+    schema = "idfa string, ip string, day int, videos bigint, mask int, d string"
+    rows = spark.read.schema(schema).parquet(f"{path}/usage").where(day_between(start, end))
+    return rows.groupBy("idfa", "ip", "day").agg(F.sum("videos").alias("videos"), F.bit_or("mask").alias("mask"))
+
+
 def _by_key(usage: DataFrame, key: str, partner: str) -> DataFrame:
     """Per key: partners, most partners in a day, videos, most videos in a day, days, hour mask."""
     sets = usage.groupingSets([[key, partner], [key, "day"]], key, partner, "day").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from adtally.functions.labels import TV_CHANNELS
 from adtally.plans.adapters import PACK_WORDS
-from adtally.plans.queries import ACTIVE_AD, BOUNDARY, LIMITED_FILES, PARTS, REACH_WORDS, START_DAY, START_LINE
+from adtally.plans.queries import ACTIVE_AD, BOUNDARY, LIMITED_FILES, PARTS, RANGES, REACH_WORDS, START_DAY, START_LINE
 
 TRACKING = """tracking AS (
  SELECT event_id, ts, strftime(ts, '%Y%m%d') AS d, CAST(hour(ts) AS INT) AS h,
@@ -135,6 +135,15 @@ IPS = f"""ips AS (
  JOIN (SELECT ip, sum(pow(2, hr)) AS hour_mask FROM (SELECT DISTINCT ip, hr FROM used) GROUP BY ip)
         USING (ip))"""
 
+
+def _ranges() -> list[str]:
+    parts = []
+    for start, end in RANGES:
+        parts.append(USED.replace("used AS", f"used{start} AS").replace("'20240102' AND '20240129'", f"'{start}' AND '{end}'"))
+        parts.append(DEVICES.replace("devices AS", f"devices{start} AS").replace("FROM used", f"FROM used{start}"))
+    return parts
+
+
 DEVICE_FEATURES = ["ipcount", "vcount", "ipmax", "vcountmax", "vdays", "vdaymean", "vipmean", "hours", "ipdaymean"]
 IP_FEATURES = ["idfacount", "vcount", "vcountmax", "vdays", "vdaymean", "hour_mask"]
 
@@ -301,6 +310,12 @@ UNION ALL SELECT count(*) + 1, ']}' FROM (SELECT DISTINCT channel, hour FROM rea
     "keyword_pv": _with(DELIVERIES, PACK, KEYWORD_ROWS) + """
 SELECT system, keyword, count(*) AS pv FROM words JOIN pack USING (keyword)
 WHERE system <> '-' GROUP BY system, keyword""",
+    "keyword_pv_from_packs": _with(DELIVERIES, KEYWORD_ROWS, """pack AS (
+ SELECT p_brand AS keyword FROM part WHERE p_partkey % 2 = 0
+ UNION SELECT split_part(p_name, ' ', 1) FROM part WHERE p_partkey % 3 = 0)""") + """
+SELECT system, keyword, count(*) AS pv FROM words JOIN pack USING (keyword)
+WHERE system <> '-' GROUP BY system, keyword""",
+    "systems_by_function": _with(BIDS) + f"SELECT {OS} AS system, count(*) AS n FROM bids GROUP BY ALL",
     "channel_keyword_pv": _with(DELIVERIES, PACK, KEYWORD_ROWS) + """
 SELECT system, channel, keyword, count(*) AS pv FROM words JOIN pack USING (keyword)
 WHERE system <> '-' AND channel <> '' AND keyword <> '' GROUP BY system, channel, keyword""",
@@ -342,6 +357,9 @@ SELECT keyword, impression, click, {_half_up('cost', '100')} AS cost,
 FROM (SELECT keyword, CAST(sum(impression) AS BIGINT) AS impression,
  CAST(sum(click) AS BIGINT) AS click, CAST(sum(cost) AS BIGINT) AS cost FROM first WHERE d BETWEEN '19940101' AND '19961231' AND ad_id = '7' AND platform = 'O' GROUP BY keyword)""",
     "device_profile": _with(BIDS, USED, DEVICES) + "SELECT * FROM devices",
+    "device_profile_rolling": _with(BIDS, *_ranges()) + " UNION ALL ".join(
+        f"SELECT *, '{start}' AS start FROM devices{start}" for start, _ in RANGES
+    ),
     "ip_profile": _with(BIDS, USED, IPS) + "SELECT * FROM ips",
     "device_scores": _with(BIDS, USED, DEVICES, DEVICE_SCORED) + _score_rows("device_scored", DEVICE_FEATURES),
     "ip_scores": _with(BIDS, USED, IPS, IP_SCORED) + _score_rows("ip_scored", IP_FEATURES),
@@ -362,6 +380,10 @@ UNION ALL SELECT concat('blk:', name), 'ip' FROM ip_scored WHERE p < 1e-4""",
     "report_new_rows": _halves(_finished(
         f"SELECT * FROM new ANTI JOIN old USING ({ALL_SLICE})", positive=False
     )),
+    "report_stored_beside": _halves(
+        f"SELECT {', '.join(f'new.{c.strip()}' for c in ALL_SLICE.split(','))}, new.impression, old.impression AS stored_impression, "
+        f"CAST(old.billed AS DOUBLE) AS stored_billed FROM new LEFT JOIN old USING ({ALL_SLICE})"
+    ),
     "report_updated_rows": _halves(_finished(
         f"SELECT {ALL_SLICE}, {', '.join(f'new.{c} + old.{c} AS {c}' for c in COUNTERS)} "
         f"FROM new JOIN old USING ({ALL_SLICE})",
@@ -385,6 +407,7 @@ UNION ALL SELECT concat('blk:', name), 'ip' FROM ip_scored WHERE p < 1e-4""",
         positive=False,
     ),
     "stream_report": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
+    "stream_state_report": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
     "stream_report_folded": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
     "stream_replay_safe": _with(TRACKING) + _finished(STREAM_COUNTS, positive=False),
     "stream_from_offsets": _with(

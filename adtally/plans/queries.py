@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.functions.labels import TV_CHANNELS
+from adtally.functions.labels import TV_CHANNELS, register_sql_functions
 from adtally.operators import anomaly, ctr, features, keywords, merge, profiles, reports, rollups, traffic
 from adtally.operators.slices import active_slices, in_slices
 from adtally.operators.tracking import normalize, parse_lines, rejected_lines, to_log_lines
@@ -20,6 +20,7 @@ from adtally.sinks.files import partitioned_table, replace_partitions, switch_pa
 from adtally.sources.logs import inferred_json_rows, stream_file_lines
 from adtally.sources.models import read_libsvm
 from adtally.sources.offsets import stream_log_lines
+from adtally.sources.packs import read_pack
 from adtally.sources.requests import ReachSpec, ReportSpec
 from adtally.streaming import report as stream
 from adtally.streaming import windows
@@ -247,6 +248,24 @@ def keyword_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keywords.keyword_pv(_keyword_bids(spark, sf_dir), a.fixed_pack(spark))
 
 
+@query
+def keyword_pv_from_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views of the words of two pack files, of which the first field counts."""
+    path, part = scratch_path(spark, "packs"), a.table(spark, sf_dir, "part")
+    write_lines(part.select("p_brand", "p_name").where("p_partkey % 2 = 0"), f"{path}/brands", files=3)
+    write_lines(part.select(F.split_part("p_name", F.lit(" "), F.lit(1)), "p_type").where("p_partkey % 3 = 0"), f"{path}/names")
+    pack = read_pack(spark, f"{path}/brands,{path}/names", first_field=True)
+    return keywords.keyword_pv(_keyword_bids(spark, sf_dir), pack.distinct())
+
+
+@query
+def systems_by_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bid requests per system, by the function that SQL can call."""
+    register_sql_functions(spark)
+    _bids(spark, sf_dir).createOrReplaceTempView("bids_with_systems")
+    return spark.sql("SELECT checkos(os) AS system, count(*) AS n FROM bids_with_systems GROUP BY ALL")
+
+
 @query
 def channel_keyword_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keywords.channel_keyword_pv(_keyword_bids(spark, sf_dir), a.fixed_pack(spark))
@@ -330,6 +349,20 @@ def ip_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.ip_profile(_usage(spark, sf_dir))
 
 
+RANGES = [("20240102", "20240110"), ("20240105", "20240115"), ("20240110", "20240129")]
+
+
+@query
+def device_profile_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of three ranges that overlap, from stored days; each day's bids are read once."""
+    path, parts = scratch_path(spark, "daily-usage"), []
+    for start, end in RANGES:
+        profiles.update_usage(_bids(spark, sf_dir), path, start, end)
+        rows = profiles.device_profile(profiles.stored_usage(spark, path, start, end))
+        parts.append(rows.withColumn("start", F.lit(start)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _device_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly.device_scores(materialize(device_profile(spark, sf_dir), "device-profile"))
 
@@ -424,6 +457,14 @@ def report_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.finish(merge.new_rows(delta, target, REPORT_KEYS), positive_only=False)
 
 
+@query
+def report_stored_beside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New counters with what is stored for their keys, if anything."""
+    target, delta = _halves(spark, sf_dir)
+    rows = merge.stored_beside(delta, target, REPORT_KEYS, ["impression", "billed"])
+    return _as_double(rows.select(*REPORT_KEYS, "impression", "stored_impression", "stored_billed"), "stored_billed")
+
+
 @query
 def report_updated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, delta = _halves(spark, sf_dir)
@@ -497,6 +538,18 @@ def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.read_report(spark, f"{path}/counts")
 
 
+@query
+def stream_state_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from the state of a query that was started twice, each time with new files."""
+    path = scratch_path(spark, "stream-state")
+    lines = to_log_lines(_tracking(spark, sf_dir), a.log_stamp())
+    stored = materialize(lines.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(2))), "log-lines")
+    for part in range(2):
+        stored.where(F.col("part") == part).drop("part").write.mode("append").text(f"{path}/logs")
+        stream.start_state_report(stream_file_lines(spark, f"{path}/logs"), f"{path}/state").awaitTermination()
+    return stream.read_state_report(spark, f"{path}/state")
+
+
 @query
 def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batch stored twice counts once."""

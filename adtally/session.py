@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,7 +18,7 @@ DEFAULTS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Call sites are not recorded for every column expression: plans are built twice as fast.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass":
+    STATE_STORE:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 

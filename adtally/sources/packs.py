@@ -36,10 +36,9 @@ def ad_keyword_pack(spark: SparkSession, ad_files: DataFrame, folder: str, ads:
     of files that are not in the folder are passed over.
     """
     wanted = ad_files if ads is None else ad_files.join(ads.select("ad_id").distinct(), "ad_id", "left_semi")
-    names = sorted({row.file for row in wanted.select("file").distinct().collect() if row.file})
+    names = wanted.select("file").where("file <> ''").distinct()
     listing = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"))
-    there = {row.file for row in listing.distinct().collect()}
-    paths = [f"{folder}/{name}" for name in names if name in there]
+    paths = sorted(f"{folder}/{row.file}" for row in names.join(listing, "file", "left_semi").collect())
     lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
     file = F.col("_metadata.file_name") if paths else F.lit("")
     words = lines.select(F.col("value").alias("keyword"), file.alias("file"))

@@ -18,10 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 from adtally.functions.dates import stamp_day, stamp_hour
 from adtally.functions.labels import source_alias
 from adtally.functions.numbers import int_or_zero, price_or_zero
-from adtally.operators.reports import GRAIN, MEASURES, counters, finish, reroll, stream_billing
+from adtally.operators.reports import COUNTERS, GRAIN, MEASURES, counters, finish, reroll, stream_billing
 from adtally.operators.tracking import REJECT, parse_lines
 from adtally.schemas import FOLDED_COUNTS, STREAM_COUNTS
-from adtally.session import drop_folder, folder_exists, materialize
+from adtally.session import DEFAULTS, STATE_STORE, drop_folder, folder_exists, materialize, settings
 from adtally.sinks.files import replace_partitions
 from adtally.streaming.naming import BATCH, batch_stream
 
@@ -106,6 +106,27 @@ def start_report(
     )
 
 
+def start_state_report(lines: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the running totals in the state of the query itself; ``read_state_report`` reads them there.
+
+    Nothing else is stored. Every key stays in the state, in RocksDB on disk, so this suits keys whose number is bounded
+    by what is advertised; ``start_report`` with ``fold`` is for keys that grow with time.
+    """
+    spark = lines.sparkSession
+    writer = batch_counts(stream_rows(lines)).writeStream.outputMode("update").format("noop")
+    with settings(spark, {STATE_STORE: DEFAULTS[STATE_STORE]}):
+        return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_state_report(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The report as of the last finished batch, from the state below a checkpoint; the query need not run."""
+    state = spark.read.format("statestore").load(checkpoint)
+    # The state holds the aggregates in their order; a decimal sum has a mark beside it that it is empty.
+    fields = [*(f"{name}: bigint" for name in COUNTERS), f"billed: {STREAM_COUNTS['billed'].dataType.simpleString()}", "none: boolean"]
+    values = F.col("value").cast(f"struct<{', '.join(fields)}>").alias("value")
+    return finish(state.select("key.*", values).select(*KEYS, *[f"value.{name}" for name in MEASURES]), positive_only=False)
+
+
 def _stored(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The newest folded rows of each day and stream, and the batches that they do not hold."""
     batches = spark.read.schema(STREAM_COUNTS).parquet(f"{path}/batches")

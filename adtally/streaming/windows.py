@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adtally.schemas import WINDOW_COUNTS
-from adtally.session import DEFAULTS, drop_folder, materialize, settings
+from adtally.session import DEFAULTS, STATE_STORE, drop_folder, materialize, settings
 from adtally.sinks.files import replace_partitions
 from adtally.streaming.naming import BATCH, batch_stream
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-
 
 def _words(lines: DataFrame, watermark: str | None) -> DataFrame:
     """(ts, word) of every word of ``value``."""

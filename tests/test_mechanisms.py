@@ -2,19 +2,21 @@
 
 import glob
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from adtally.operators import ctr, merge, rollups
+from adtally.operators import ctr, merge, profiles, rollups
 from adtally.operators.slices import active_slices, in_slices
 from adtally.operators.traffic import traffic_report
 from adtally.plans import adapters as a
 from adtally.plans import queries as q
 from adtally.session import scratch_path, settings
 from adtally.sinks.files import partitioned_table, replace_partitions, switch_partition
+from adtally.sources.logs import stream_file_lines
 from adtally.sources.requests import ReportSpec
-from adtally.streaming import windows
+from adtally.streaming import report, windows
 
 SF = "/root/testdata/sf0.001"
 
@@ -168,3 +170,33 @@ def test_the_split_is_the_same_for_any_partitioning(spark):
     assert train.count() + test.count() == 5000 and train.count() == 5 * len(keys)
     none = spark.createDataFrame([(None,)], "key long")
     assert sum(part.count() for part in ctr.split_by_key(none, "key")) == 1
+
+
+def test_days_are_read_once(spark):
+    """Profiles of overlapping ranges; bids of stored days are not looked at again."""
+    bids = a.bids(a.table(spark, SF, "events"))
+    path = scratch_path(spark, "daily-usage")
+    assert profiles.update_usage(bids, path, "20240102", "20240104") == ["20240102", "20240103", "20240104"]
+    nothing = bids.where("false")
+    assert profiles.update_usage(nothing, path, "20240103", "20240105") == ["20240105"]
+    assert profiles.update_usage(bids, path, "20240102", "20240105") == []
+    for start, end in (("20240102", "20240104"), ("20240103", "20240105"), ("20240104", "20240104")):
+        want = profiles.device_usage(bids.where("d != '20240105'"), start, end)
+        got = profiles.stored_usage(spark, path, start, end)
+        assert bag(profiles.device_profile(got)) == bag(profiles.device_profile(want))
+        assert bag(profiles.ip_profile(got)) == bag(profiles.ip_profile(want))
+    assert len(profiles.update_usage(bids, path, "20240228", "20240302")) == 4  # a leap day, and no bids
+
+
+def test_the_state_of_a_stream_is_its_report(spark, tmp_path):
+    fields = [("2024010207", "1", "5"), ("2024010207", "1", "2.5"), ("2024010208", "3", None)]
+    for n, (stamp, event, price) in enumerate(fields * 2):
+        log = {"hqClientId": "7", "hqSource": "bc", "hqEvent": event} | ({"hqPrice": price} if price else {})
+        (tmp_path / "logs").mkdir(exist_ok=True)
+        (tmp_path / "logs" / f"{n}.log").write_text(f"{stamp}\tad\t{json.dumps(log)}\n")
+        if n in (2, 5):
+            lines = stream_file_lines(spark, f"{tmp_path}/logs")
+            report.start_state_report(lines, f"{tmp_path}/state").awaitTermination()
+            rows = {r.h: (r.impression, r.cost) for r in report.read_state_report(spark, f"{tmp_path}/state").collect()}
+            times = 1 if n == 2 else 2
+            assert rows == {7: (2 * times, 0.0075 * times), 8: (0, 0.0)}
