@@ -1,4 +1,4 @@
-"""Nearest neighbours by inner product: a vantage-point tree per shard, searched by blocks of queries.
+"""Nearest neighbours by inner product: vantage-point trees per shard, searched by blocks of queries.
 
 Vectors are parted into bands of nearly equal length and each band has a tree over their directions, so
 that the lengths take no part in the distances and one long vector does not move the others. A vector
@@ -11,8 +11,10 @@ inequality allows is within ``factor`` times that largest distance. Factor 1 is
 Bands are searched from the longest vectors down, and all queries of a block walk the trees together.
 
 Vectors are dealt to shards by number, never by value, so that many equal vectors do not meet in one
-shard; a shard and a block of queries have a bounded size. Every block meets every shard and gets its
-nearest there, and the best of all shards remain. Candidates that the matrix product finds near the
+shard; a shard and a block of queries have a bounded size. The trees of a shard are built once and stored
+with it, and no shard is copied: a task holds one and reads the stored blocks of queries one after the other. Blocks
+are stored with a limit for each query, its k-th score in one shard, below which no other shard needs to look.
+Every block gets its nearest in every shard, and the best of all shards remain. Candidates that the matrix product finds near the
 limit are scored anew by a running sum in the order of the components, so that equal vectors tie.
 
 Null or zero vectors and those with a null or non-finite component take no part, nor do rows with a
@@ -22,10 +24,14 @@ occurs, and for its twins too. An empty table gives no rows; other columns are n
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,13 +95,39 @@ def build(points: np.ndarray, lengths: np.ndarray, members: np.ndarray, rng: np.
     return node
 
 
+@dataclass
+class Shard:
+    """Vectors with their trees, one per band of lengths, those of the longest first."""
+
+    vectors: np.ndarray
+    ids: np.ndarray
+    rows: np.ndarray
+    trees: list[Node]
+
+    @classmethod
+    def of(cls, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> Shard:
+        points, lengths = directions(vectors)
+        rng = np.random.default_rng(11)
+        return cls(vectors, ids, rows, [build(points, lengths, members, rng) for members in bands(lengths)])
+
+
+@dataclass
+class Block:
+    """Queries, and for each a score that its nearest reach."""
+
+    queries: np.ndarray
+    ids: np.ndarray
+    rows: np.ndarray
+    least: np.ndarray
+
+
 class Search:
     """The nearest of one shard to one block of queries."""
 
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, factor: float):
-        self.vectors, self.ids, self.rows = vectors, ids, rows
-        self.queries, self.own, self.k, self.factor = queries, own, k, factor
-        self.points, self.lengths = directions(vectors)
+    def __init__(self, shard: Shard, block: Block, k: int, factor: float):
+        self.vectors, self.ids, self.rows, self.trees = shard.vectors, shard.ids, shard.rows, shard.trees
+        self.queries, self.own, self.least, self.k, self.factor = block.queries, block.rows, block.least, k, factor
+        queries = block.queries
         self.asked, self.reach = directions(queries)
         # The k best so far of every query, best first.
         self.score = np.full((len(queries), k), -np.inf)
@@ -103,13 +135,16 @@ class Search:
         self.visited = 0
 
     def run(self) -> None:
-        rng = np.random.default_rng(11)
-        for members in bands(self.lengths):
-            self.visit(build(self.points, self.lengths, members, rng), np.arange(len(self.queries)))
+        for tree in self.trees:
+            self.visit(tree, np.arange(len(self.queries)))
+
+    def kth(self, some: np.ndarray) -> np.ndarray:
+        """The score that a candidate must reach."""
+        return np.maximum(self.score[some, -1], self.least[some])
 
     def cosine(self, node: Node, some: np.ndarray) -> np.ndarray:
         """The least cosine with which a vector of the node reaches the k-th score, less a slack for rounding."""
-        score = self.score[some, -1] / self.reach[some]
+        score = self.kth(some) / self.reach[some]
         return np.where(score > 0, score / node.longest, score / node.shortest) * (1 - CLOSE) - CLOSE
 
     def limit(self, node: Node, some: np.ndarray) -> np.ndarray:
@@ -133,7 +168,7 @@ class Search:
     def compare(self, members: np.ndarray, some: np.ndarray) -> None:
         self.visited += len(members) * len(some)
         product = self.queries[some] @ self.vectors[members].T
-        close = product >= (self.score[some, -1] - CLOSE * np.maximum(1, np.abs(product).max(1)))[:, None]
+        close = product >= (self.kth(some) - CLOSE * np.maximum(1, np.abs(product).max(1)))[:, None]
         close &= self.rows[members][None, :] != self.own[some][:, None]
         one, two = np.nonzero(close)
         if not len(one):
@@ -161,6 +196,24 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return materialize(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.size("vector").alias("dim"), "vector"), "vectors")
 
 
+def nearest_of(shard: Shard, block: Block, k: int, factor: float) -> pa.RecordBatch:
+    found = Search(shard, block, k, factor)
+    found.run()
+    query, place = np.nonzero(found.found >= 0)
+    which = found.found[query, place]
+    columns = [block.rows[query], block.ids[query], shard.rows[which], shard.ids[which], found.score[query, place]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_row", "query_id", "row", "vec_id", "score"])
+
+
+def stored_rows(files: list[str]) -> Iterator[tuple]:
+    """The rows of stored Parquet files, one at a time."""
+    for file in files:
+        store, path = pa.fs.FileSystem.from_uri(file)
+        with store.open_input_file(path) as data:
+            for batch in pq.ParquetFile(data).iter_batches(batch_size=1):
+                yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
 def nearest(embeddings: DataFrame, is_query: Column, k: int = NEAREST, factor: float = FACTOR) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows of every query row, its own left out."""
     python_tasks(embeddings.sparkSession)
@@ -172,29 +225,50 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = NEAREST, factor: f
     )
     sized = rows.join(counts, "dim")
     own = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    held = sized.select("dim", own("shards").alias("shard"), every("blocks").alias("block"), "row", "vec_id", "vector", F.lit(False).alias("asks"))
-    asked = sized.where("query").select("dim", every("shards").alias("shard"), own("blocks").alias("block"), "row", "vec_id", "vector", F.lit(True).alias("asks"))
+    sized = sized.withColumn("vec_id", F.col("vec_id").cast("long"))
 
-    def search(table: pa.Table) -> pa.Table:
-        asks = table.column("asks").to_numpy()
+    def arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         vectors = table.column("vector").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-        ids, numbers = table.column("vec_id").to_numpy(), table.column("row").to_numpy()
-        found = Search(vectors[~asks], ids[~asks], numbers[~asks], vectors[asks], numbers[asks], k, factor)
-        if len(found.vectors):
-            found.run()
-        query, place = np.nonzero(found.found >= 0)
-        which = found.found[query, place]
-        return pa.table({
-            "query_row": numbers[asks][query], "query_id": ids[asks][query], "row": numbers[~asks][which],
-            "vec_id": ids[~asks][which], "score": found.score[query, place],
-        })
-
-    # As many tasks as the session shuffles into: small in bytes, the groups are large in work.
-    tasks = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = held.unionByName(asked).withColumn("vec_id", F.col("vec_id").cast("long"))
-    grouped = both.repartition(tasks, "dim", "shard", "block").groupBy("dim", "shard", "block")
-    found = grouped.applyInArrow(search, "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double")
+        return vectors, table.column("vec_id").to_numpy(), table.column("row").to_numpy()
+
+    def stored(key: tuple, value: Shard | Block) -> pa.Table:
+        dim, number = (pa.array([part.as_py()], pa.int32()) for part in key)
+        return pa.table({"dim": dim, "number": number, "data": pa.array([pickle.dumps(value)], pa.binary())})
+
+    def planted(key: tuple, table: pa.Table) -> pa.Table:
+        return stored(key, Shard.of(*arrays(table)))
+
+    kind = "dim int, number int, data binary"
+    dealt = sized.select("dim", own("shards").alias("shard"), "row", "vec_id", "vector")
+    shards = materialize(dealt.groupBy("dim", "shard").applyInArrow(planted, kind), "shards")
+    first = materialize(shards.where("number = 0"), "first-shards").inputFiles()
+
+    def limited(key: tuple, table: pa.Table) -> pa.Table:
+        queries, ids, rows = arrays(table)
+        block = Block(queries, ids, rows, np.full(len(ids), -np.inf))
+        for dim, number, data in stored_rows(first):
+            if (dim, number) == (key[0].as_py(), 0):
+                found = Search(pickle.loads(data), block, k, factor)
+                found.run()
+                block.least = found.score[:, -1]
+        return stored(key, block)
+
+    asked = sized.where("query").select("dim", own("blocks").alias("block"), "row", "vec_id", "vector")
+    blocks = materialize(asked.groupBy("dim", "block").applyInArrow(limited, kind), "query-blocks").inputFiles()
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for dim, _, data in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                shard = pickle.loads(data)
+                for other, _, queries in stored_rows(blocks):
+                    if other == dim:
+                        yield nearest_of(shard, pickle.loads(queries), k, factor)
+
+    # A task per shard: small in bytes, they are large in work.
+    tasks = max(1, shards.count())
+    found = shards.repartition(tasks, "dim", "number").mapInArrow(
+        search, "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double"
+    )
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -48,6 +48,7 @@ def test_query_recall(spark):
 def test_factor_one_is_exact(spark, monkeypatch, leaf):
     """Several shards, lengths that differ, many equal vectors."""
     monkeypatch.setattr(neighbours, "SHARD_ROWS", 60)
+    monkeypatch.setattr(neighbours, "BLOCK", 5)
     monkeypatch.setattr(neighbours, "LEAF", leaf)
     rng = random.Random(5)
     rows = [(n, [rng.gauss(0, 1) * rng.choice([1, 1, 3]) for _ in range(3)]) for n in range(150)]
@@ -92,10 +93,20 @@ def test_recall_with_unequal_lengths(lengths, grouped):
     product[np.arange(len(asked)), asked] = -np.inf
     true = np.argsort(-product, axis=1)[:, :k]
     for factor, least in [(neighbours.FACTOR, 0.99), (1.0, 1.0)]:
-        search = neighbours.Search(vectors, np.arange(n), np.arange(n), vectors[asked], asked, k, factor)
-        search.run()
-        recall = sum(len(set(a) & set(b)) for a, b in zip(true, search.found, strict=True)) / true.size
-        assert recall >= least
+        # In four shards, each started with the k-th scores of the first; and in one.
+        for parts in (4, 1):
+            found, low = [], np.full(len(asked), -np.inf)
+            for part in range(parts):
+                some = np.arange(part, n, parts)
+                shard = neighbours.Shard.of(vectors[some], some, some)
+                search = neighbours.Search(shard, neighbours.Block(vectors[asked], asked, asked, low), k, factor)
+                search.run()
+                if part == 0 and parts > 1:
+                    low = search.score[:, -1]
+                found.append(np.where(search.found >= 0, some[search.found], -1))
+            found = [set(row.tolist()) for row in np.concatenate(found, axis=1)]
+            recall = sum(len(set(a.tolist()) & b) for a, b in zip(true, found, strict=True)) / true.size
+            assert recall >= least, (parts, recall)
 
 
 def test_factor_one_is_exact_for_lengths_far_apart(spark, monkeypatch):
