@@ -18,6 +18,28 @@ from pyspark.sql import functions as F
 from adtally.llm.common import whole_text
 from adtally.llm.spans import counted, has_context, ordered, places, with_spans
 
+#: Characters of an account number by country, as the public register of such numbers gives them.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22,
+    "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20,
+    "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18,
+    "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31,
+    "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29,
+    "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+
+
+def iban_pattern() -> str:
+    """Country, check digits and the rest of the country's length; a blank may stand before any character."""
+    by_length: dict[int, list[str]] = {}
+    for country, length in IBAN_LENGTHS.items():
+        by_length.setdefault(length, []).append(country)
+    parts = [f"(?:{'|'.join(countries)})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{length - 4}}}" for length, countries in sorted(by_length.items())]
+    return f"(?:{'|'.join(parts)})"
+
+
 LOCAL = "[A-Za-z0-9._%+-]"
 #: A start within a run of the same characters can only match where an earlier start did, save right after a match.
 PATTERNS = {
@@ -25,7 +47,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[0-9]{1,3})?",
+    "iban": rf"(?<![A-Z0-9]){iban_pattern()}",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
 }
 NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
@@ -84,7 +106,7 @@ def _valid(kind: str, span: Column) -> Column:
         return F.length(digits).between(9, 15)
     if kind == "iban":
         compact = F.replace(value, F.lit(" "), F.lit(""))
-        return F.when(F.length(compact).between(15, 34) & _alone(span, "A-Za-z0-9"), mod97(compact) == 1).otherwise(False)
+        return F.when(_alone(span, "A-Za-z0-9"), mod97(compact) == 1).otherwise(False)
     if kind == "ssn":
         return ~value.rlike("^(?:000|666|9)|-00-|-0000$") & _alone(span, "0-9-")
     return F.lit(True)
@@ -165,7 +187,7 @@ spans AS ({_sql_kind("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]
 UNION ALL {_sql_kind("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "list_max(list_transform(string_split(value, '.'), lambda x: x::HUGEINT)) <= 255")}
 UNION ALL {_sql_kind("card", r"[0-9](?:[ -]?[0-9])+", f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_LUHN}")}
 UNION ALL {_sql_kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15")}
-UNION ALL {_sql_kind("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[0-9]{1,3})?", f"length({_COMPACT}) BETWEEN 15 AND 34 AND NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]') AND {_MOD97}")}
+UNION ALL {_sql_kind("iban", r"\b" + iban_pattern(), f"NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]') AND {_MOD97}")}
 UNION ALL {_sql_kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "NOT regexp_matches(value, '^(?:000|666|9)|-00-|-0000$') AND NOT regexp_matches(before, '[0-9-]$') AND NOT regexp_matches(after, '^[0-9-]')")}),
 kept AS (SELECT *, kind || ':' || start || ':' || stop AS place FROM spans WHERE rank < 4 OR score >= {LEAST_SCORE}),
 byrow AS (

@@ -1,9 +1,10 @@
-"""Secrets: patterns propose candidates, and how many owners hold a candidate tells a copied example from a live one.
+"""Secrets: patterns propose candidates, and how widely a candidate is held tells a copied example from a live one.
 
-Base kinds (assign, access, hex) are always reported. A long mixed token that no base kind names is
-added as ``owned`` when at most ``MAX_OWNERS`` owners in the whole corpus hold it: a token that many
-owners share is an example from a manual, a token of one owner is likely to open something. The
-same count gives ``n_live``, the reported spans whose secret is held by so few.
+Base kinds (assign, access, hex) are always reported. A candidate is live when at most ``MAX_OWNERS`` owners in the whole
+corpus hold it, in at most ``MAX_REPOSITORIES`` repositories: a token that many owners share is an example from a manual,
+and so is one that a single owner copies into everything; a token of one owner in a few places is likely to
+open something. A long mixed token that no base kind names is added as ``owned`` when it is live. ``n_live`` counts
+the live spans, and both counts are given for each.
 
 The counts are exact: distinct (hash, owner) and (hash, repository) rows, then rows per hash. Both
 steps combine before they shuffle, so a token in a third of all documents is one row per owner or
@@ -33,8 +34,8 @@ PATTERNS = {
     "owned": "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+",
 }
 BASE = ("assign", "access", "hex")
-#: An added token has a small letter, a capital and a digit, and at most this many owners.
-MAX_OWNERS = 2
+#: An added token has a small letter, a capital and a digit, and like any live one at most so many owners and repositories.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 10
 
 
 def _candidates(kind: str) -> Column:
@@ -81,7 +82,7 @@ def judged(candidates: DataFrame, counts: DataFrame) -> DataFrame:
     """(row, spans): each candidate with its counts and whether it is live; widely held tokens are left out."""
     each = candidates.select("row", F.explode("spans").alias("span"))
     counted = each.select("row", "span", F.col("span.hash").alias("hash")).join(counts, "hash")
-    live = F.col("owners") <= MAX_OWNERS
+    live = (F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)
     kept = counted.where(F.col("span.kind").isin(*BASE) | live)
     span = F.struct(
         "span.start", "span.rank", "span.end", "span.kind", "hash", "owners", "repositories", live.alias("live"),
@@ -98,8 +99,13 @@ def secret_spans(documents: DataFrame, owner: str = "source", repository: str =
     return joined.select("doc_id", F.coalesce("judged", none).alias("spans"))
 
 
+def _joined(name: str) -> Column:
+    return F.array_join(F.transform("spans", lambda s: s[name].cast("string")), ",").alias(name)
+
+
 def secret_report(documents: DataFrame) -> DataFrame:
-    """One row per document: counts of the base kinds, the digest of their places, all places, live ones."""
+    """One row per document: counts of the base kinds, the digest of their places, all places, live ones, and for
+    each place how many owners and repositories hold its secret."""
     found = secret_spans(documents)
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     counts = [counted("spans", kind) for kind in BASE]
@@ -107,6 +113,7 @@ def secret_report(documents: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(places(base).cast("binary"), 256).alias("base_sha256"),
         places(F.col("spans")).alias("spans"), live.alias("n_live"),
+        _joined("owners"), _joined("repositories"),
     )
 
 
@@ -127,21 +134,25 @@ _SECRET = "regexp_replace(value, '^" + _NAMED.replace("'", "''") + "', '')"
 
 SQL = f"""
 WITH docs AS (
-  SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '\x01') AS owner, coalesce(text, '') AS text FROM documents),
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '\x01') AS owner,
+    coalesce(doc_id::VARCHAR, '\x01') AS repository, coalesce(text, '') AS text FROM documents),
 spans AS ({_sql_kind("assign", _NAMED + "[A-Za-z0-9+/_.=-]+", _SECRET, f"length({_SECRET}) >= 8")}
 UNION ALL {_sql_kind("access", "AKIA[A-Z0-9]+", "value", "length(value) >= 16")}
 UNION ALL {_sql_kind("hex", "[0-9a-f]{32,}", "value", "TRUE")}
 UNION ALL {_sql_kind("owned", "[A-Za-z0-9+/_-]{20,}", "value", "regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')")}),
-owners AS (SELECT secret, count(DISTINCT owner) AS n FROM spans JOIN docs USING (rid) GROUP BY secret),
+owners AS (
+  SELECT secret, count(DISTINCT owner) AS o, count(DISTINCT repository) AS r FROM spans JOIN docs USING (rid) GROUP BY secret),
 kept AS (
-  SELECT *, kind || ':' || start || ':' || stop AS place, n <= {MAX_OWNERS} AS live FROM spans JOIN owners USING (secret)
-  WHERE rank < 3 OR n <= {MAX_OWNERS}),
+  SELECT *, kind || ':' || start || ':' || stop AS place, o <= {MAX_OWNERS} AND r <= {MAX_REPOSITORIES} AS live
+  FROM spans JOIN owners USING (secret) WHERE rank < 3 OR (o <= {MAX_OWNERS} AND r <= {MAX_REPOSITORIES})),
 byrow AS (
   SELECT rid, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c, count(*) FILTER (kind = 'hex') AS h,
     count(*) FILTER (live) AS l, string_agg(place, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
-    string_agg(place, ',' ORDER BY start, rank) AS spans
+    string_agg(place, ',' ORDER BY start, rank) AS spans, string_agg(o::VARCHAR, ',' ORDER BY start, rank) AS owners,
+    string_agg(r::VARCHAR, ',' ORDER BY start, rank) AS repositories
   FROM kept GROUP BY rid)
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(l, 0) AS n_live
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(l, 0) AS n_live,
+  coalesce(owners, '') AS owners, coalesce(repositories, '') AS repositories
 FROM docs LEFT JOIN byrow USING (rid)
 """

@@ -99,3 +99,37 @@ def test_ownership(spark):
     got = {r.doc_id: r for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert [s.kind for s in got[0].spans] == [] and [(s.kind, s.owners, s.live) for s in got[9].spans] == [("owned", 1, True), ("assign", 1, True)]
     assert [(s.kind, s.owners, s.repositories, s.live) for s in got[10].spans] == [("assign", 5, 5, False)]
+
+
+def test_a_token_copied_through_one_owner_is_no_live_one(spark):
+    copied, few = "Abcdefgh1jklmnopQRST9", "Zyxwvuts8qponmlkJIHG7"
+    rows = [(i, f"password={copied} {copied}", "one") for i in range(secrets.MAX_REPOSITORIES + 1)]
+    rows += [(100 + i, few, "one") for i in range(secrets.MAX_REPOSITORIES)] + [(100, few, "one")]
+    report = secrets.secret_report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    got = {(r.doc_id, r.n_live, r.owners, r.repositories, r.spans.count("owned")) for r in report}
+    assert got == {(i, 0, "1", "11", 0) for i in range(11)} | {(100 + i, 1, "1", "10", 1) for i in range(10)}
+
+
+def valid_iban(country, rest):
+    """With its check digits."""
+    number = int("".join(str(int(c, 36)) for c in rest + country + "00"))
+    return f"{country}{98 - number % 97:02d}{rest}"
+
+
+def test_account_numbers_of_all_countries(spark):
+    """Written in one run, by fours, and before or after other words in capitals."""
+    rng, rows, want = random.Random(4), [], {}
+    for country, length in pii.IBAN_LENGTHS.items():
+        whole = valid_iban(country, "".join(rng.choice("0123456789ABCXYZ") for _ in range(length - 4)))
+        for shown in (whole, " ".join(whole[i:i + 4] for i in range(0, length, 4))):
+            for text in (shown, f"TO {shown} PAID", f"({shown}), 12"):
+                want[len(rows)] = [shown]
+                rows.append((len(rows), text))
+        for wrong in (whole[:2] + f"{(int(whole[2:4]) + 1) % 97:02d}" + whole[4:], whole + "7", "X" + whole):
+            want[len(rows)] = []
+            rows.append((len(rows), wrong))
+    rows += [(9001, "BE68 5390 0754 7034 PAID"), (9002, "MT84 MALT 0110 0001 2345 MTLC AST0 01S")]
+    want |= {9001: ["BE68 5390 0754 7034"], 9002: ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"]}
+    found = pii.pii_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: [s.value for s in r.spans if s.kind == "iban"] for r in found}
+    assert {k: (got[k], v) for k, v in want.items() if got[k] != v} == {}
