@@ -5,11 +5,13 @@ letters count as affixes), its first and last three letters with the blank, and
 lexicon of words that are frequent in the sample. Transitions between languages are learned from
 code-switched chains: passages of documents of different languages in a row. Forward-backward gives
 each word's chance per language; the document's share of a language is the mean of its words' chances,
-weighted by their length, and the prediction is the language with the largest share.
+weighted by their length, and the prediction is the language with the largest share. ``word_languages`` gives the
+labels themselves: runs of words of one language, with their places in the original text.
 
 The model is fitted on the driver from about ``PER_LANGUAGE`` documents of each language, chosen by a
 hash of their id. Texts of more than ``DRAWN`` times ``DRAWN_WORDS`` words give so many passages, drawn by a
-hash of the text, one from each equal part of the whole; others are read whole. Prediction reads whole texts: a long text is
+hash of the text, one from each equal part of the whole; others are read whole. Each language brings its own
+``LEXICON`` words and ``CHAINS`` passages' beginnings, however many there are. Prediction reads whole texts: a long text is
 cut into chains of ``CHAIN`` words, each run with ``CONTEXT`` words of its neighbours on both sides,
 whose own chances are not used twice.
 
@@ -36,8 +38,9 @@ from adtally.llm.hashing import hashed_words, mixed, small_letters
 
 FOLDS, HELD_OUT = 4, 2
 PER_LANGUAGE, DRAWN, DRAWN_WORDS = 400, 8, 160
-CHAINS, CHAIN_WORDS, PASSAGE = 1200, 80, (4, 40)
-LEXICON, LEXICON_LEAST = 3000, 5
+#: Code-switched chains and words of the lexicon for each language.
+CHAINS, CHAIN_WORDS, PASSAGE = 300, 80, (4, 40)
+LEXICON, LEXICON_LEAST = 750, 5
 CHAIN, CONTEXT = 512, 16
 UNKNOWN = "und"
 
@@ -104,6 +107,12 @@ class Model:
         return total + np.add.reduceat(letters, words.first_letter, axis=0)
 
 
+def frequent_words(hashes: np.ndarray) -> np.ndarray:
+    known, counts = np.unique(hashes, return_counts=True)
+    frequent = np.argsort(-counts, kind="stable")[:LEXICON]
+    return known[frequent[counts[frequent] >= LEXICON_LEAST]]
+
+
 def train(rows: list[tuple[str, bytes]]) -> Model | None:
     """From (language, text)."""
     languages = sorted({lang for lang, _ in rows})
@@ -116,7 +125,7 @@ def train(rows: list[tuple[str, bytes]]) -> Model | None:
         return None
     rng = np.random.default_rng(7)
     texts, gold, lengths = [], [], []
-    for _ in range(CHAINS):
+    for _ in range(CHAINS * len(languages)):
         chain: list[bytes] = []
         while len(chain) < CHAIN_WORDS:
             state = int(rng.integers(len(languages)))
@@ -128,9 +137,7 @@ def train(rows: list[tuple[str, bytes]]) -> Model | None:
         texts.append(b" ".join(chain))
         lengths.append(len(chain))
     words, truth = words_of(b" ".join(texts)), np.array(gold)
-    known, counts = np.unique(words.hashes, return_counts=True)
-    frequent = np.argsort(-counts, kind="stable")[:LEXICON]
-    lexicon = np.sort(known[frequent[counts[frequent] >= LEXICON_LEAST]])
+    lexicon = np.unique(np.concatenate([frequent_words(words.hashes[truth == state]) for state in range(len(languages))]))
     size = FIRST_WORD + len(lexicon) + 2
     bare = Model(languages, lexicon, np.zeros((size, len(languages))), np.zeros((len(languages), len(languages))))
     row = np.arange(len(truth))
@@ -162,15 +169,17 @@ def fitted(documents: DataFrame) -> Model | None:
     # A hash of the id between 0 and 1 picks about so many of each language.
     place = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 20)) / float(1 << 20)
     share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 1.2 * PER_LANGUAGE / n)))])
-    chosen = usable.where(place < share[F.col("lang")]).select("lang", "text")
+    chosen = usable.select(place.alias("place"), "lang", "text").where(F.col("place") < share[F.col("lang")])
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([drawn(t) for t in raw_texts(batch.column(1))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["lang", "text"])
+            texts = pa.array([drawn(t) for t in raw_texts(batch.column(2))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["place", "lang", "text"])
 
+    # Words are drawn first, so that only they are ordered; the bound matters where an id repeats very often.
     most = 2 * PER_LANGUAGE * len(counts)
-    return train(sorted((r.lang, bytes(r.text)) for r in chosen.limit(most).mapInArrow(draw, "lang string, text binary").collect()))
+    words = chosen.mapInArrow(draw, "place double, lang string, text binary").orderBy("place", "lang", "text").limit(most)
+    return train(sorted((r.lang, bytes(r.text)) for r in words.collect()))
 
 
 def _chains(counts: np.ndarray):
@@ -194,25 +203,73 @@ def _chains(counts: np.ndarray):
     return places, size, own
 
 
+def labelled(model: Model, texts: list[bytes | None]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts, the text of each and where it begins there (in bytes), and its chance of every language."""
+    plain = [small_letters(t or b"") for t in texts]
+    words = words_of(b" ".join(plain))
+    ends = np.cumsum([len(p) + 1 for p in plain])
+    doc = np.searchsorted(ends, words.starts, "right")
+    chances = np.zeros((len(words.sizes), len(model.languages)))
+    if len(words.sizes):
+        places, lengths, own = _chains(np.bincount(doc, minlength=len(texts)))
+        marginals, _ = forward_backward(model.scores(words)[places], lengths, model.transitions)
+        chances[places[own]] = marginals[own]
+    return words, doc, words.starts - (ends - [len(p) + 1 for p in plain])[doc], chances
+
+
 def shares(model: Model, texts: list[bytes | None]) -> np.ndarray:
     """Share of every language in every text; zeros for a text without words."""
-    plain = [small_letters(t or b"") for t in texts]
     result = np.zeros((len(texts), len(model.languages)))
-    joined = b" ".join(plain)
-    words = words_of(joined)
-    if not len(words.sizes):
+    if not texts:
         return result
-    sizes = np.array([len(p) + 1 for p in plain])
-    doc = np.searchsorted(np.cumsum(sizes), words.starts, "right")
-    places, lengths, own = _chains(np.bincount(doc, minlength=len(texts)))
-    marginals, _ = forward_backward(model.scores(words)[places], lengths, model.transitions)
-    weighted = np.zeros((len(words.sizes), len(model.languages)))
-    weighted[places[own]] = marginals[own] * words.sizes[places[own]][:, None]
+    words, doc, _, chances = labelled(model, texts)
+    weighted = chances * words.sizes[:, None]
     for state in range(len(model.languages)):
         result[:, state] = np.bincount(doc, weighted[:, state], len(texts))
     return result / np.maximum(result.sum(1, keepdims=True), 1e-300)
 
 
+def runs(model: Model, texts: list[bytes | None]) -> list[list[tuple[int, int, str, int, float]]]:
+    """(start, end, language, words, score) of the runs of words of one language in every text.
+
+    Places are code points of the original text, end exclusive; the score is the mean chance of the words.
+    """
+    found: list[list] = [[] for _ in texts]
+    if not texts:
+        return found
+    words, doc, starts, chances = labelled(model, texts)
+    if not len(doc):
+        return found
+    best = chances.argmax(1)
+    first = np.flatnonzero(np.concatenate(([True], (np.diff(best) != 0) | (np.diff(doc) != 0))))
+    last = np.concatenate((first[1:], [len(doc)])) - 1
+    point = {d: np.concatenate(([0], np.cumsum((np.frombuffer(texts[d], np.uint8) & 0xC0) != 0x80))) for d in np.unique(doc).tolist()}
+    for a, b in zip(first.tolist(), last.tolist(), strict=True):
+        d = int(doc[a])
+        start, end = point[d][[starts[a], starts[b] + words.sizes[b]]].tolist()
+        found[d].append((start, end, model.languages[best[a]], b - a + 1, float(chances[a:b + 1, best[a]].mean())))
+    return found
+
+
+def word_languages(documents: DataFrame, model: Model | None) -> DataFrame:
+    """(doc_id, spans) of every document: the runs of words of one language; none without a model or words."""
+    python_tasks(documents.sparkSession)
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+    rows = documents.select("doc_id", "text")
+    names = [("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string()), ("words", pa.int64()), ("score", pa.float64())]
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language")
+        for batch in batches:
+            texts = raw_texts(batch.column(1))
+            found = runs(sent.value, texts) if sent.value else [[] for _ in texts]
+            spans = [[dict(zip((n for n, _ in names), run, strict=True)) for run in each] for each in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.struct(names)))], ["doc_id", "spans"])
+
+    span = "struct<start: bigint, end: bigint, lang: string, words: bigint, score: double>"
+    return rows.mapInArrow(label, f"doc_id {dict(rows.dtypes)['doc_id']}, spans array<{span}>")
+
+
 def has_letter(text: bytes | None) -> bool:
     if not text:
         return False

@@ -197,3 +197,27 @@ def test_words_in_spaced_out_runs_and_doubled_letters():
     assert hits(b"all good books we need, a committee of a b c d e f g") == 0
     assert toxicity.restored_text(b"he is a m o r o n", model) == "he is a moron"
     assert toxicity.restored_text(b"the committee needs good moorron books", model) == "the committee needs good moron books"
+
+
+def test_words_of_mixed_texts_have_their_language(spark):
+    """Runs cover all words in order, in the original text, and change where the language does."""
+    english = "the and that with from this have will been they which would there their about "
+    german = "und der die das nicht sich auch eine für über werden wurde nach durch große "
+    rows = [(f"{'en' if i % 2 else 'de'}", ((english if i % 2 else german) * (3 + i % 5)).encode()) for i in range(60)]
+    model = langid.train(rows)
+    mixed = "Über " + german + "- " + english.upper() + "ÄÖÜ! 12 " + german
+    table = spark.createDataFrame([(1, mixed), (2, None), (3, "12 !"), (4, "")], "doc_id long, text string").selectExpr("*", "'x' as spans")
+    got = {r.doc_id: r.spans for r in langid.word_languages(table, model).collect()}
+    assert got[2] == got[3] == got[4] == []
+    spans = got[1]
+    assert [s.lang for s in spans][:2] == ["de", "en"] and spans[-1].lang == "de"
+    assert mixed[spans[0].start:].startswith("Über und") and mixed[spans[1].start:].startswith("THE AND") and mixed[:spans[-1].end].endswith("große")
+    assert all(a.end < b.start for a, b in zip(spans, spans[1:], strict=False)) and all(0.5 <= s.score <= 1.0001 for s in spans)
+    assert sum(s.words for s in spans) == len(langid.small_letters(mixed.encode()).split())
+    assert langid.word_languages(table, None).where("size(spans) > 0").isEmpty()
+
+
+def test_every_language_has_its_own_lexicon():
+    rows = [(f"l{n}", " ".join(f"w{n}x{i % 9}" for i in range(400)).translate(str.maketrans("0123456789", "abcdefghij")).encode()) for n in range(12)]
+    model = langid.train(rows)
+    assert len(model.lexicon) == 12 * 9
