@@ -44,7 +44,7 @@ THRESHOLD = 0.3
 TRAIN_DOCUMENTS = 10_000
 #: Beginnings of words, in bytes, that may be learned like words.
 PREFIXES = (5, 6, 7)
-LEAST_DOCUMENTS, LEAST_SHARE, MOST_WORDS = 4, 0.15, 200
+LEAST_DOCUMENTS, LEAST_SHARE = 4, 0.15
 REMEMBERED = 200_000
 
 SIGNS = 28  # 0: anything else, 1-26: letters, 27: bytes beyond ASCII
@@ -289,7 +289,7 @@ def learnable(chosen: DataFrame, base: float) -> np.ndarray:
 
 
 def toxic_words(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Hashes of words, each the best for the toxic documents that the earlier ones leave over."""
+    """Hashes of words, each the best for the toxic documents that the earlier ones leave over, while one has enough of them."""
     owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     vocabulary, word = np.unique(np.concatenate(docs), return_inverse=True)
     n = len(vocabulary)
@@ -297,7 +297,7 @@ def toxic_words(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     # A word that is no likelier in toxic documents than anywhere tells nothing.
     base = labels.mean()
     open_, picked = labels == 1, []
-    while len(picked) < MOST_WORDS:
+    while True:
         toxic = np.bincount(word, open_[owner], n)
         share = toxic / np.maximum(toxic + clean, 1)
         usable = (toxic >= LEAST_DOCUMENTS) & (share >= max(LEAST_SHARE, 2 * base))

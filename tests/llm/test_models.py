@@ -1,6 +1,8 @@
 """Chains against enumeration; the models on held-out rows and odd texts."""
 
 import itertools
+import math
+import random
 import zlib
 
 import numpy as np
@@ -221,3 +223,46 @@ def test_every_language_has_its_own_lexicon():
     rows = [(f"l{n}", " ".join(f"w{n}x{i % 9}" for i in range(400)).translate(str.maketrans("0123456789", "abcdefghij")).encode()) for n in range(12)]
     model = langid.train(rows)
     assert len(model.lexicon) == 12 * 9
+
+
+def every_reading(token, costs, ends_words):
+    """(cost, word) of all paths of a token's lattice, with the rules written out once more."""
+    found, text = [], token.lower()
+
+    def go(at, a, b, cost, word):
+        if at == len(text):
+            found.append((cost + costs[a, b, 0], word.strip()))
+            return
+        char = text[at]
+        again = at > 0 and text[at - 1] == char
+        if "a" <= char <= "z":
+            go(at + 1, b, ord(char) - 96, cost + costs[a, b, ord(char) - 96], word + char)
+            if again and b == ord(char) - 96:
+                go(at + 1, a, b, cost + toxicity.REPEAT, word)
+            return
+        letters = toxicity.LEET.get(char, "")
+        for c in letters:
+            go(at + 1, b, ord(c) - 96, cost + toxicity.SUBSTITUTE + math.log(len(letters)) + costs[a, b, ord(c) - 96], word + c)
+        silent = toxicity.SEPARATE if char in toxicity.SEPARATORS or not char.isascii() else toxicity.LEAVE_OUT
+        if again and any(ord(c) - 96 == b for c in letters):
+            silent = min(silent, toxicity.REPEAT)
+        go(at + 1, a, b, cost + silent, word)
+        if ends_words and char in toxicity.SEPARATORS and b:
+            go(at + 1, b, 0, cost + costs[a, b, 0], word + " ")
+
+    go(0, 0, 0, 0.0, "")
+    return found
+
+
+def test_decoder_finds_the_cheapest_of_all_paths():
+    rng = random.Random(8)
+    counts = [(rng.randrange(toxicity.SIGNS ** 3), rng.randint(1, 500)) for _ in range(4000)]
+    costs = toxicity.letter_costs(counts)
+    tokens = ["", "a", "1", "m0r0n", "i d i o t", "$tup1d", "aaa", "!!1", "é", "h-a-t-e", "**"]
+    tokens += ["".join(rng.choice("abim01!$| .-*3aé") for _ in range(rng.randint(1, 8))) for _ in range(300)]
+    for token in tokens:
+        for ends_words in (False, True):
+            paths = every_reading(token, costs, ends_words)
+            cheapest = min(cost for cost, _ in paths)
+            word = toxicity.decode(token, costs, ends_words)
+            assert min(cost for cost, w in paths if w == word) <= cheapest + 1e-9, (token, word)
