@@ -366,3 +366,26 @@ def one_of_each(documents: DataFrame, size: int = 5) -> DataFrame:
     gone = memberships(documents, size).where("not kept").select("doc_id", "text").distinct().toDF(f"{own}id", f"{own}text")
     same = (F.col("doc_id").cast("long") == F.col(f"{own}id")) & (F.xxhash64("text") == F.col(f"{own}text"))
     return documents.join(gone, same, "left_anti").select(*columns_of(documents))
+
+
+#: Four-word shingles; every pair of sets that share one is compared, and all that a set reaches is listed.
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)) AS s FROM d),
+docs AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN sha256(array_to_string(s, chr(10))) END AS class, s FROM sets),
+classes AS (SELECT class, min(doc_id) AS rep, any_value(n) AS n, any_value(s) AS s FROM docs WHERE class IS NOT NULL GROUP BY class),
+held AS (SELECT rep, n, unnest(s) AS v FROM classes),
+pairs AS (
+  SELECT a.rep AS a, b.rep AS b, count(*) AS common, any_value(a.n + b.n) AS n
+  FROM held a JOIN held b ON a.v = b.v AND a.rep < b.rep GROUP BY a.rep, b.rep),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 80 * (n - common)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT rep AS node, rep AS root FROM classes UNION SELECT b, root FROM reached JOIN ways ON node = a),
+lowest AS (SELECT node, min(root) AS component FROM reached GROUP BY node)
+SELECT doc_id, docs.n AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM docs LEFT JOIN classes USING (class) LEFT JOIN lowest ON node = rep
+"""

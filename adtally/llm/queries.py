@@ -85,5 +85,6 @@ ORACLE: dict[str, str] = {
     "op2_pii": pii.SQL,
     "op3_secrets": secrets.SQL,
     "op5_line_dedup": lines.SQL,
+    "op8_near_duplicates": neardup.SQL,
     "op10_decontamination": decontam.SQL,
 }
