@@ -162,7 +162,7 @@ def keyword_hour_report(
     if scope == "ad":
         return _matched_report(rows, ad_pack, ["ad_id"])
     hour_words = active_ads(rows).join(ad_pack, "ad_id").select("d", "h", "keyword").distinct()
-    return _matched_report(rows, hour_words, ["d", "h"])
+    return _head_first_report(rows, hour_words, ["d", "h"])
 
 
 def _delivery_rows(deliveries: DataFrame) -> DataFrame:
@@ -176,3 +176,25 @@ def _matched_report(rows: DataFrame, words: DataFrame, scope: Sequence[str] = ()
     first = _found(rows, words, scope).groupBy("row").agg(F.min_by("keyword", "at").alias("keyword"))
     labelled = rows.drop("keywords").join(first, "row", "left").fillna(UNKNOWN, subset=["keyword"])
     return _hour_rows(_delivery_sums(labelled, ["d", "h", *REPORT_KEYS]))
+
+
+def _head_first_report(rows: DataFrame, words: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """The same report where most rows match with their first keyword: later ones are only looked up for rows that do not.
+
+    First keywords meet the (distinct) words alone. What they match is added up at once; the other rows keep their number,
+    and only their further keywords cross the shuffles.
+    """
+    heads = rows.select("row", "d", "h", "ad_id", "platform", *DELIVERY_SUMS, F.get("keywords", F.lit(0)).alias("keyword"))
+    hit = F.col("hit").isNotNull()
+    tried = heads.join(words.select(*scope, "keyword", F.lit(True).alias("hit")), [*scope, "keyword"], "left").select(
+        "d", "h", F.when(hit, F.col("keyword")).alias("keyword"), "ad_id", "platform", F.when(~hit, F.col("row")).alias("row"), *DELIVERY_SUMS
+    )
+    sums = materialize(_delivery_sums(tried, ["d", "h", *REPORT_KEYS, "row"]), "first-keywords")
+    missed = sums.where("row is not null").drop("keyword")
+    # Arrays cross no shuffle here either: rows are exploded before they meet those that missed.
+    each = rows.select("row", *scope, F.posexplode("keywords").alias("at", "keyword")).where("at > 0")
+    later = each.join(missed.select("row"), "row", "left_semi").join(words, [*scope, "keyword"], "left_semi")
+    first = later.groupBy("row").agg(F.min_by("keyword", "at").alias("keyword"))
+    rest = missed.join(first, "row", "left").fillna(UNKNOWN, subset=["keyword"])
+    both = sums.where("row is null").unionByName(rest).drop("row")
+    return _hour_rows(_delivery_sums(both, ["d", "h", *REPORT_KEYS]))

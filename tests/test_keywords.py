@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adtally.operators import keywords
+from adtally.session import materialize
 from adtally.sources import packs
 
 BIDS = "os string, channel string, keywords array<string>"
@@ -140,6 +141,25 @@ def test_hour_report(spark, join_form, scope):
     assert set(map(tuple, got.collect())) == brute(rows, words_of)
 
 
+def test_hour_report_looks_up_later_words_of_missed_rows_only(spark, monkeypatch):
+    """Rows that match with their first word are added up before any later word is looked up."""
+    stored = {}
+
+    def kept(df, name):
+        stored[name] = materialize(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(keywords, "materialize", kept)
+    row = ("20240101", 3, "1", "x", ["a", "b", "c"], 1, 0, 2, Decimal("1.5"), 1)
+    late, none, empty = ((*row[:4], words, *row[5:]) for words in (["z", "c", "b"], ["z", None], []))
+    rows = [row] * 50 + [late] * 2 + [none, empty]
+    ad_pack = spark.createDataFrame([("1", w) for w in "abc"] + [("9", "z")], "ad_id string, keyword string")
+    got = keywords.keyword_hour_report(spark.createDataFrame(rows, DELIVERIES), ad_pack)
+    assert set(map(tuple, got.collect())) == brute(rows, lambda d, h, ad: set("abc"))
+    tried = [(r.keyword, r.row is None, r.impression) for r in stored["first-keywords"].collect()]
+    assert sorted(tried, key=str) == [("a", True, 50), *[(None, False, 1)] * 4]
+
+
 def test_unknown_scope(spark):
     with pytest.raises(ValueError):
         keywords.keyword_hour_report(None, None, "day")
