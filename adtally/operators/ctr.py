@@ -23,12 +23,19 @@ class Trained:
     area_under_roc: float
 
 
+def equal_rows(rows: DataFrame, *more: str) -> DataFrame:
+    """Every distinct (label, features) with its number as ``weight``, stored: whoever reads it several times counts once."""
+    counted = rows.groupBy("label", "features", *more).agg(F.count("*").cast("double").alias("weight"))
+    return materialize(counted, "equal-rows")
+
+
 def fit(rows: DataFrame, max_iter: int = 100) -> LogisticRegressionModel:
     """Logistic regression without intercept and penalty; the optimiser is L-BFGS.
 
-    Equal rows enter once with their number as weight: the same sums, over fewer rows in every pass.
+    Equal rows enter once with their number as weight (``equal_rows`` may have been called before): the same sums, over
+    fewer rows in every pass.
     """
-    weighted = rows.groupBy("label", "features").agg(F.count("*").cast("double").alias("weight"))
+    weighted = rows if "weight" in rows.columns else equal_rows(rows)
     regression = LogisticRegression(fitIntercept=False, regParam=0.0, maxIter=max_iter, tol=1e-6, weightCol="weight")
     return regression.fit(weighted)
 
@@ -48,25 +55,31 @@ def split_by_key(rows: DataFrame, key: str, share: float = 0.8) -> tuple[DataFra
 def train(
     rows: DataFrame, train_share: float = 0.8, test_share: float = 0.2, max_iter: int = 100
 ) -> Trained:
-    """Fit on a random share of the rows and measure on the rest."""
-    training, test = rows.randomSplit([train_share, test_share], seed=SEED)
-    model = fit(training, max_iter)
-    measured = areas(score(model, test))
+    """Fit on a random share of the rows and measure on the rest.
+
+    Each row draws its part once, in the only pass over all rows; both parts are stored as distinct rows with weights.
+    """
+    drawn = F.rand(SEED) < train_share / (train_share + test_share)
+    parts = equal_rows(rows.withColumn("training", drawn), "training")
+    model = fit(parts.where("training"), max_iter)
+    measured = areas(score(model, parts.where("not training")))
     return Trained(model, measured["auPRC"], measured["auROC"])
 
 
 def score(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
-    """Label and raw probability of the positive class, no threshold applied."""
+    """Label and raw probability of the positive class, no threshold applied; a ``weight`` stays with its row."""
     probability = F.get(vector_to_array("probability"), F.lit(1))
-    return model.transform(rows).select("label", probability.alias("score"))
+    weight = [name for name in rows.columns if name == "weight"]
+    return model.transform(rows).select("label", probability.alias("score"), *weight)
 
 
 def areas(scored: DataFrame) -> dict[str, float]:
-    """Areas under both curves of (label, score) rows; every distinct score is a point of the curve.
+    """Areas under both curves of (label, score) rows, with a ``weight`` or one each; every distinct score is a point of the curve.
 
     Equal rows are counted once and stored, so that each curve sorts distinct scores only.
     """
-    points = scored.groupBy("label", "score").agg(F.count("*").cast("double").alias("weight"))
+    number = F.sum("weight") if "weight" in scored.columns else F.count("*")
+    points = scored.groupBy("label", "score").agg(number.cast("double").alias("weight"))
     points = materialize(points, "score-points")
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0, weightCol="weight")
     return {
@@ -76,13 +89,16 @@ def areas(scored: DataFrame) -> dict[str, float]:
 
 
 def feature_means(model: LogisticRegressionModel, rows: DataFrame, index: DataFrame) -> DataFrame:
-    """(feature, mean_label, mean_score) over the rows that have each feature."""
+    """(feature, mean_label, mean_score) over the rows (with a ``weight`` or not) that have each feature; equal rows are scored once."""
     score_of = F.get(vector_to_array("probability"), F.lit(1))
     held = F.filter(
         F.transform(vector_to_array("features"), lambda x, at: F.when(x != 0, (at + 1).cast("bigint"))), lambda at: at.isNotNull()
     )
-    each = model.transform(rows).select("label", score_of.alias("score"), F.explode(held).alias("idx"))
-    means = each.groupBy("idx").agg(F.avg("label").alias("mean_label"), F.avg("score").alias("mean_score"))
+    number = F.col("weight") if "weight" in rows.columns else F.lit(1)
+    equal = rows.groupBy("features").agg(F.sum(number).alias("n"), F.sum(F.col("label") * number).alias("labels"))
+    each = model.transform(equal).select("n", "labels", score_of.alias("score"), F.explode(held).alias("idx"))
+    sums = each.groupBy("idx").agg(F.sum("n").alias("n"), F.sum("labels").alias("labels"), F.sum(F.col("score") * F.col("n")).alias("scores"))
+    means = sums.select("idx", (F.col("labels") / F.col("n")).alias("mean_label"), (F.col("scores") / F.col("n")).alias("mean_score"))
     return means.join(index, "idx").select("feature", "mean_label", "mean_score")
 
 

@@ -14,6 +14,9 @@ FeatureColumns = Sequence[tuple[str, str]]
 #: Tasks over which the deliveries of one click are spread at most; raise it with the cluster.
 SALTS = 64
 
+#: How often a row is repeated by one array at most.
+CHUNK = 65_536
+
 
 def column_list(feature_columns: DataFrame) -> list[tuple[str, str]]:
     """The (column, short) pairs of a column file; a query needs them to name its columns."""
@@ -64,17 +67,33 @@ def labelled_rows(
 def encode(rows: DataFrame, index: DataFrame, columns: FeatureColumns) -> DataFrame:
     """Label and ascending feature indices of every row; unknown features are skipped.
 
-    Rows are numbered and their features unpivoted to (row, feature), which meet the dictionary in one join whatever the
-    number of columns; one aggregate brings the indices of a row together. A row whose features are all null or
-    unknown keeps its label, since the unpivoting and the join are outer.
+    Equal rows of a partition are encoded once and come back as often as they were there. Rows are numbered and their
+    features unpivoted to (row, feature), which meet the dictionary in one join whatever the number of columns; one
+    aggregate brings the indices of a row together. A row whose features are all null or unknown keeps its label, since
+    the unpivoting and the join are outer.
     """
+    names = list(dict.fromkeys(column for column, _ in columns))
+    # Grouped within partitions: equal rows of all of them may be too many to come back from one task.
+    part = F.spark_partition_id().alias("part")
+    equal = rows.groupBy("label", *names, part).agg(F.count("*").alias("times"))
     cells = F.array(*[_feature(column, short) for column, short in columns])
-    each = rows.select(F.monotonically_increasing_id().alias("row"), "label", cells.alias("cells"))
-    each = each.select("row", "label", F.explode_outer("cells").alias("feature"))
+    each = equal.select(F.monotonically_increasing_id().alias("row"), "label", "times", cells.alias("cells"))
+    each = each.select("row", "label", "times", F.explode_outer("cells").alias("feature"))
     known = each.join(index, "feature", "left").groupBy("row").agg(
-        F.first("label").alias("label"), F.array_sort(F.collect_list("idx")).alias("indices")
+        F.first("label").alias("label"), F.first("times").alias("times"), F.array_sort(F.collect_list("idx")).alias("indices")
     )
-    return known.select("label", "indices")
+    return _repeated(known, "times").select("label", "indices")
+
+
+def _repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Every row as often as ``times`` says, by sequences of at most ``CHUNK`` numbers.
+
+    The sequences are spread by number: few rows may make many, and the adaptive plan sees the size of the few.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(times) - 1, F.lit(CHUNK).cast("bigint"))).alias("start"))
+    last = F.least(F.col("start") + CHUNK, F.col(times)) - 1
+    return starts.repartition(tasks, "row", "start").select("*", F.explode(F.sequence("start", last)).alias("at"))
 
 
 def libsvm_lines(encoded: DataFrame) -> DataFrame:

@@ -733,8 +733,8 @@ def ctr_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = features.encode(_labelled(spark, sf_dir), index, a.FEATURES)
     path = scratch_path(spark, "libsvm")
     write_lines(features.libsvm_lines(encoded), path)
-    fitted = ctr.fit(read_libsvm(spark, path, index.count()))
-    return ctr.feature_means(fitted, read_libsvm(spark, path, index.count()), index).select(
+    rows = ctr.equal_rows(read_libsvm(spark, path, index.count()))
+    return ctr.feature_means(ctr.fit(rows), rows, index).select(
         "feature", F.round("mean_label", 3).alias("mean_label"), F.round("mean_score", 3).alias("mean_score")
     )
 

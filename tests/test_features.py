@@ -121,3 +121,37 @@ def test_encode_joins_once(spark):
         assert counts[0] == counts[1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_equal_rows_are_encoded_once(spark, monkeypatch):
+    """They come back as often as they were there, in more than one sequence and task."""
+    monkeypatch.setattr(features, "CHUNK", 7)
+    rows = spark.range(0, 200, 1, 3).select((F.col("id") % 2).cast("int").alias("label"), F.lit("a").alias("c"))
+    index = spark.createDataFrame([("s_a", 1)], "feature string, idx long")
+    encoded = features.encode(rows, index, [("c", "s")])
+    assert sorted((r.label, r.indices, r["count"]) for r in encoded.groupBy("label", "indices").count().collect()) == [(0, [1], 100), (1, [1], 100)]
+    assert len([n for n in encoded.rdd.glom().map(len).collect() if n]) > 1
+
+
+def test_rows_are_read_once_for_a_fit(spark, tmp_path):
+    """A fit and its measures pass over distinct rows; all rows are read by one pass."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+
+    random.seed(3)
+    texts = [(f"{int(random.random() < (0.9 if i % 2 else 0.1))} {1 + i % 2}:1",) for i in range(400)]
+    write_lines(spark.createDataFrame(texts, "value string"), str(tmp_path / "rows"))
+    watched = F.udf(count, "double").asNondeterministic()
+    rows = read_libsvm(spark, str(tmp_path / "rows"), 2).select(watched("label").alias("label"), "features")
+    trained = ctr.train(rows)
+    assert seen.value == 400 and trained.area_under_roc > 0.8
+    index = spark.createDataFrame([("sc_A", 1), ("sc_N", 2)], "feature string, idx long")
+    plain = read_libsvm(spark, str(tmp_path / "rows"), 2)
+    means = [
+        sorted((r.feature, round(r.mean_label, 9), round(r.mean_score, 9)) for r in ctr.feature_means(trained.model, part, index).collect())
+        for part in (plain, ctr.equal_rows(plain))
+    ]
+    assert means[0] == means[1] and len(means[0]) == 2
