@@ -15,15 +15,22 @@ BUCKET = "bucket"
 
 
 def additive_merge(
-    target: DataFrame, delta: DataFrame, keys: Sequence[str], measures: Sequence[str]
+    target: DataFrame, delta: DataFrame, keys: Sequence[str], measures: Sequence[str], counted: bool = False
 ) -> DataFrame:
     """Target rows with the delta added: new keys appear, measures of known keys are summed.
 
     A union and one aggregate give the same rows as a full outer join with sums, but NULL keys
     need no care and both sides are combined before the shuffle, whatever the key skew.
+
+    ``counted`` says that each side has a key once, fresh from an aggregate. There is nothing to combine then, and without
+    a shuffle of its own the merge would keep its hash tables beside those of the aggregates, in tasks that the adaptive
+    plan has made few; its rows are spread over all shuffle partitions instead.
     """
     columns = [*keys, *measures]
     both = target.select(*columns).unionByName(delta.select(*columns))
+    if counted:
+        # In another order of the keys, or the shuffle would be left out as one that the aggregates have made already.
+        both = both.repartition(int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")), *reversed(keys))
     sums = [
         F.sum(name).cast(target.schema[name].dataType).alias(name) for name in measures
     ]

@@ -447,7 +447,7 @@ def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query
 def report_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, delta = _halves(spark, sf_dir)
-    merged = merge.additive_merge(target, delta, REPORT_KEYS, reports.MEASURES)
+    merged = merge.additive_merge(target, delta, REPORT_KEYS, reports.MEASURES, counted=True)
     return reports.finish(merged, positive_only=False)
 
 

@@ -2,6 +2,7 @@ from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from adtally.operators import merge
 
@@ -43,6 +44,17 @@ def test_one_source_for_both_sides(spark):
     assert bag(merge.updated_rows(delta, target, KEYS, MEASURES)) == [("a", 1, 2, 2.0)]
 
 
+def test_counted_sides_are_added_in_tasks_of_their_own(spark):
+    """The hash tables of the merge are not in the tasks that still hold those of the aggregates."""
+    rows = frame(spark, [("a", 1, 1), ("b", 2, 2), (None, 2, 3)])
+    sides = [rows.where(where).groupBy(*KEYS).agg(F.sum("n").alias("n"), F.sum("v").alias("v")) for where in ("j > 0", "j = 2")]
+    merged = merge.additive_merge(*sides, KEYS, MEASURES, counted=True)
+    assert bag(merged) == [("a", 1, 1, 1.0), ("b", 2, 4, 4.0), (None, 2, 6, 6.0)]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    above = plan[plan.index("== Initial Plan ==") if "== Initial Plan ==" in plan else 0:]
+    assert "REPARTITION_BY_NUM" in above[:above.index("Union")]
+
+
 ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 2), st.integers(-9, 9)), max_size=6)
 
 
