@@ -21,7 +21,7 @@ from adtally.functions.numbers import int_or_zero, price_or_zero
 from adtally.operators.reports import COUNTERS, GRAIN, MEASURES, counters, finish, reroll, stream_billing
 from adtally.operators.tracking import REJECT, parse_lines
 from adtally.schemas import FOLDED_COUNTS, STREAM_COUNTS
-from adtally.session import DEFAULTS, STATE_STORE, drop_folder, folder_exists, materialize, settings
+from adtally.session import DEFAULTS, STATE_STORE, drop_folder, folder_exists, settings
 from adtally.sinks.files import replace_partitions
 from adtally.streaming.naming import BATCH, batch_stream
 
@@ -160,16 +160,19 @@ def fold(spark: SparkSession, path: str, closed: str) -> None:
     """
     folded, batches = _stored(spark, path)
     batches = batches.where(closed)
-    upto = batches.groupBy("d", "stream_id").agg(F.max("batch_id").alias("upto"))
+    # At most one row per closed day and stream.
+    done = {(r.d, r.stream_id): r.upto for r in batches.groupBy("d", "stream_id").agg(F.max("batch_id").alias("upto")).collect()}
+    if not done:
+        return
+    # Built in the plan, so that its size is known to the optimizer.
+    known = [F.struct(F.lit(day).alias("d"), F.lit(name).alias("stream_id"), F.lit(last).cast("bigint").alias("upto")) for (day, name), last in done.items()]
+    upto = spark.range(1).select(F.inline(F.array(*known)))
     rows = batches.drop("batch_id").unionByName(folded.drop("upto").join(upto, ["d", "stream_id"], "left_semi"))
     sums = rows.groupBy(*KEYS, "stream_id").agg(
         *[F.sum(name).cast(FOLDED_COUNTS[name].dataType).alias(name) for name in MEASURES]
     )
-    kept = materialize(sums.join(upto, ["d", "stream_id"]), "folded-days")
-    if kept.isEmpty():
-        return
-    replace_partitions(kept, f"{path}/folded", ["d", "stream_id", "upto"])
-    done = {(r.d, r.stream_id): r.upto for r in kept.select("d", "stream_id", "upto").distinct().collect()}
+    # Written as they are added up: a new ``upto`` is a new folder, so none that is read here is replaced.
+    replace_partitions(sums.join(upto, ["d", "stream_id"]), f"{path}/folded", ["d", "stream_id", "upto"])
     for kind, schema, number in (("batches", STREAM_COUNTS, "batch_id"), ("folded", FOLDED_COUNTS, "upto")):
         stored = spark.read.schema(schema).parquet(f"{path}/{kind}").where(closed)
         folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")

@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from adtally.operators import reports
+from adtally.session import shared_root
 from adtally.sinks import jdbc as jdbc_sink
 from adtally.sources import jdbc as jdbc_source
 from adtally.sources.tables import read_slice
@@ -112,6 +113,18 @@ def test_slice_condition_prunes_partitions(spark, tmp_path):
     assert rows.count() == 1
 
 
+def test_fold_writes_its_rows_once(spark, tmp_path):
+    """Folded days go straight to their folders; none of them are stored in the scratch folder before."""
+    root = str(tmp_path)
+    scratch = f"{shared_root(spark)}/adtally/{spark.sparkContext.applicationId}"
+    write(f"{root}/in", "1", line("2024010207"), line("2024010308"))
+    run(spark, root)
+    before, had = totals(spark, root), set(os.listdir(scratch)) if os.path.exists(scratch) else set()
+    report.fold(spark, f"{root}/counts", "d <= '20240102'")
+    assert totals(spark, root) == before
+    assert (set(os.listdir(scratch)) if os.path.exists(scratch) else set()) == had
+
+
 def test_fold(spark, tmp_path):
     """Folding changes no total, also with late rows, repeated, or broken off before the batches go."""
     root = str(tmp_path)
