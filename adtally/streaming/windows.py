@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -42,16 +45,44 @@ def sliding_counts(
     return _shown(words.groupBy(F.window("ts", size, slide).alias("w"), "word").agg(F.count("*").alias("n")))
 
 
-def pane_counts(lines: DataFrame, watermark: str | None, size: str = "20 seconds", slide: str = "10 seconds") -> DataFrame:
-    """The same counts, from panes: a row counts once, in the pane of one slide, and a window is the sum of its panes.
+def _micros(spark: SparkSession, *durations: str) -> list[int]:
+    """Lengths of time as ``window`` takes them, a day having 24 hours."""
+    zero = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+    gaps = spark.sql("SELECT " + ", ".join(f"{zero} + CAST('{text}' AS INTERVAL) - {zero}" for text in durations)).first()
+    return [gap // dt.timedelta(microseconds=1) for gap in gaps]
+
+
+#: Windows that ``pane_counts`` keeps in one row of its state at most.
+TOGETHER = 32
+
+
+def pane_counts(
+    lines: DataFrame, watermark: str | None, size: str = "20 seconds", slide: str = "10 seconds", together: int | None = None
+) -> DataFrame:
+    """The same counts, from panes: a row counts once, in its pane, and a window is the sum of its panes.
+
+    ``sliding_counts`` copies every row into all its windows; here the counts of a pane are added to windows, once
+    the watermark has closed it. As a stream both steps keep state (append mode), and the watermark is needed.
 
-    ``sliding_counts`` copies every row into all its windows; here the counts of a pane are copied, once
-    the watermark has closed it. As a stream both steps keep state, rows come out when their window has ended
-    (append mode), and the watermark is needed.
+    The second step has a row for ``together`` consecutive windows of a word, a sum for each, and a pane goes into the
+    few rows that hold its windows (two at most by default, up to ``TOGETHER`` slides a window), not into each window.
+    The windows of a row come out, whole, when the last of them has ended: up to ``together`` - 1 slides after the first,
+    by default less than a window's size. One keeps windows apart: each comes out when it has ended.
     """
-    panes = _words(lines, watermark).groupBy(F.window("ts", slide).alias("pane"), "word").agg(F.count("*").alias("n"))
-    windows = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"), "word")
-    return _shown(windows.agg(F.sum("n").alias("n")))
+    length, step = _micros(lines.sparkSession, size, slide)
+    together = together or min(-(-length // step), TOGETHER)
+    pane = F.window("ts", f"{math.gcd(length, step)} microseconds")
+    panes = _words(lines, watermark).groupBy(pane.alias("pane"), "word").agg(F.count("*").alias("n"))
+    run = F.window(F.window_time("pane"), f"{(together - 1) * step + length} microseconds", f"{together * step} microseconds")
+    rows = panes.select(run.alias("run"), F.col("pane.start").alias("at"), "word", "n")
+    begin, kind = F.unix_micros(F.col("run.start").cast("timestamp")), rows.schema["at"].dataType
+    into = F.unix_micros(F.col("at").cast("timestamp")) - begin
+    sums = [F.sum(F.when(into.between(k * step, k * step + length - 1), F.col("n"))) for k in range(together)]
+    runs = rows.groupBy("run", "word").agg(F.array(*sums).alias("counts"))
+    windows = runs.select("run", "word", F.posexplode("counts").alias("k", "n")).where("n IS NOT NULL")
+    start = begin + F.col("k") * step
+    bounds = {"window_start": F.timestamp_micros(start).cast(kind), "window_end": F.timestamp_micros(start + length).cast(kind)}
+    return windows.withColumns(bounds).select(*bounds, "word", "n")
 
 
 def start_sliding_counts(

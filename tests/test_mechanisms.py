@@ -151,6 +151,41 @@ def test_panes_give_the_same_windows_with_less_state(spark, tmp_path):
     assert bag(windows.read_sliding_counts(spark, f"{tmp_path}/counts")) == want
 
 
+def test_panes_are_not_copied_into_every_window(spark, tmp_path):
+    """Lines far apart: a pane goes into two rows of the second state at most, not into each of its six windows."""
+    lines = spark.range(200).select(F.timestamp_seconds(F.col("id") * 610 + 7).alias("ts"), F.lit("a b").alias("value"))
+    end = spark.sql("SELECT timestamp_seconds(1000000) AS ts, CAST(NULL AS STRING) AS value")
+    written = []
+    for rows in (lines, end):
+        rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/lines")
+        stream = spark.readStream.schema(lines.schema).parquet(f"{tmp_path}/lines")
+        counts = windows.pane_counts(stream, "0 seconds", "60 seconds", "10 seconds")
+        query = windows.start_sliding_counts(counts, f"{tmp_path}/counts", f"{tmp_path}/state", mode="append")
+        query.awaitTermination()
+        written += [[s.numRowsUpdated for s in p.stateOperators] for p in query.recentProgress]
+    second, first = (sum(rows) for rows in zip(*written, strict=True))
+    assert first == 400 and second <= 800
+    stored = spark.read.parquet(f"{tmp_path}/counts")
+    assert stored.count() == stored.select("window_start", "word").distinct().count() == 6 * 400
+    assert bag(windows.read_sliding_counts(spark, f"{tmp_path}/counts")) == bag(windows.sliding_counts(lines, None, "60 seconds", "10 seconds"))
+
+
+@pytest.mark.parametrize("size, slide, together", [
+    ("60 seconds", "10 seconds", None), ("60 seconds", "10 seconds", 1), ("60 seconds", "10 seconds", 32), ("1 minute", "1 minute", None),
+    ("25 seconds", "10 seconds", None), ("40 seconds", "1 second", None), ("2 days", "1 day", None),
+])
+def test_panes_of_any_length(spark, size, slide, together):
+    """A window need not be a whole number of slides; times before 1970, at edges, and none at all."""
+    at = F.when(F.col("id") % 50 > 0, (F.col("id") * F.col("id") * 7919) % 400_000_000 - 200_000_000)
+    whole = F.when(F.col("id") % 3 == 0, F.floor(at / 10_000_000) * 10_000_000).otherwise(at)
+    text = F.when(F.col("id") % 7 > 0, F.concat_ws(" ", F.lit("any"), F.concat(F.lit("w"), F.col("id") % 4)))
+    lines = spark.range(1000).select(F.timestamp_micros(whole).alias("ts"), text.alias("value"))
+    for kind in ("timestamp", "timestamp_ntz"):
+        typed = lines.withColumn("ts", F.col("ts").cast(kind))
+        want, got = windows.sliding_counts(typed, None, size, slide), windows.pane_counts(typed, None, size, slide, together)
+        assert bag(want) and bag(got) == bag(want) and dict(got.dtypes) == dict(want.dtypes)
+
+
 def test_settings_hold_within_a_block(spark):
     key = windows.STATE_STORE
     before = spark.conf.get(key)
