@@ -114,15 +114,22 @@ def _named(rows: DataFrame, stream_id: str, batch_id: int) -> DataFrame:
     return rows.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("long")})
 
 
-def _newest(stored: DataFrame) -> DataFrame:
-    """The newest count of every window and word of each stream."""
-    return stored.groupBy("stream_id", "window_start", "window_end", "word").agg(F.max_by("n", "batch_id").alias("n"))
+#: What a count is of.
+COUNTED = ["window_start", "window_end", "word"]
+
+
+def _newest(stored: DataFrame, *streams: str) -> DataFrame:
+    """The newest count of every window and word, of each stream if the column is given."""
+    return stored.groupBy(*streams, *COUNTED).agg(F.max_by("n", "batch_id").alias("n"))
 
 
 def read_sliding_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The counts of every window and word, all streams together."""
-    newest = _newest(spark.read.schema(WINDOW_COUNTS).parquet(path))
-    return newest.groupBy("window_start", "window_end", "word").agg(F.sum("n").alias("n"))
+    """The counts of every window and word, all streams together; those of one stream are not added up."""
+    stored = spark.read.schema(WINDOW_COUNTS).parquet(path)
+    streams = {file.rsplit("/", 3)[1] for file in stored.inputFiles()}
+    if len(streams) == 1:
+        return _newest(stored)
+    return _newest(stored, "stream_id").groupBy(*COUNTED).agg(F.sum("n").alias("n"))
 
 
 def fold_sliding_counts(spark: SparkSession, path: str) -> None:
@@ -141,7 +148,7 @@ def fold_sliding_counts(spark: SparkSession, path: str) -> None:
         if not older:
             continue
         rows = stored.where((F.col("stream_id") == stream_id) & (F.col("batch_id") <= last))
-        kept = materialize(_newest(rows).drop("stream_id"), "folded-windows")
+        kept = materialize(_newest(rows), "folded-windows")
         replace_partitions(_named(kept, stream_id, last), path, BATCH)
         for number in older:
             drop_folder(spark, f"{path}/stream_id={stream_id}/batch_id={number}")

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 
@@ -243,6 +244,22 @@ def test_sliding_streams_share_a_path(spark, tmp_path):
     assert folders() < held
 
 
+def test_counts_of_one_stream_are_read_in_one_aggregate(spark, tmp_path):
+    """Later counts of a window replace earlier ones; only several streams are added up."""
+    columns = "window_start timestamp, window_end timestamp, word string, n long, stream_id string, batch_id long"
+    at = [dt.datetime(2024, 1, 1, 0, 0, 10 * n) for n in range(3)]
+    rows = [(at[0], at[2], "a", n + 1, stream, n) for stream in ("one", "two") for n in range(11)] + [(at[0], at[2], None, 5, "one", 0)]
+    root, exchanges = str(tmp_path / "stream_id=x" / "counts"), []
+    for stream, times in (("one", 1), ("two", 2)):
+        stored = spark.createDataFrame(rows, columns).where(F.col("stream_id") == stream)
+        stored.write.mode("append").partitionBy("stream_id", "batch_id").parquet(root)
+        read = windows.read_sliding_counts(spark, root)
+        assert read.columns == ["window_start", "window_end", "word", "n"]
+        assert sorted((str(r.word), r.n) for r in read.collect()) == [("None", 5), ("a", 11 * times)]
+        exchanges.append(read._jdf.queryExecution().sparkPlan().toString().count("HashAggregate"))
+    assert exchanges == [2, 4]
+
+
 def test_watermark_bounds_the_state(spark, tmp_path):
     """After a later batch the state holds fewer windows than were ever open."""
     root = str(tmp_path)
